@@ -154,37 +154,44 @@ def next_batch(subscriptions: DataFrame, ticks: DataFrame, now=None, min_lag_sec
     )
 
 
-def find_tick(subscriptions: DataFrame, ticks: DataFrame, min_count: int | None, min_interval_us: int | None) -> DataFrame:
+def find_tick(
+    subscriptions: DataFrame,
+    ticks: DataFrame,
+    min_count: int | None,
+    min_interval_us: int | None,
+    seq_width: int = 1024,
+    time_width_us: int = 600_000_000,
+) -> DataFrame:
     """Tick to read up to when a batch should be large: the newest tick if it meets an ask and
     is not over twice any; if it is over twice, the first tick meeting an ask; else none.
 
-    The two candidates are order statistics over the ticks past the cursor. Joining those ticks
-    to each subscription is the answer's own input (a backlog), aggregated map-side.
+    Sequence and time never fall along the ticks of a queue, so "first tick meeting an ask" is one
+    as-of lookup per ask and no subscription is paired with every tick.
     """
     cursor = ticks.select(
-        "queue", F.col("tick_id").alias("last_tick"), F.col("tick_time").alias("_t0"), F.col("event_seq").alias("_s0")
+        "queue", F.col("tick_id").alias("last_tick"), F.unix_micros("tick_time").alias("_t0"), F.col("event_seq").alias("_s0")
     )
-    subs = subscriptions.select("queue", "sub_id", "last_tick").join(cursor, ["queue", "last_tick"])
-    count = F.col("event_seq") - F.col("_s0")
-    age = F.unix_micros("tick_time") - F.unix_micros("_t0")
-    meets, over = F.lit(False), F.lit(False)
+    newest = ticks.groupBy("queue").agg(F.max(F.struct("tick_id", "event_seq", F.unix_micros("tick_time").alias("t"))).alias("_new"))
+    subs = subscriptions.select("queue", "sub_id", "last_tick").join(cursor, ["queue", "last_tick"]).join(newest, "queue")
+    count, age = F.col("_new")["event_seq"] - F.col("_s0"), F.col("_new")["t"] - F.col("_t0")
+    meets, over, firsts = F.lit(False), F.lit(False), []
     if min_count is not None:
         meets, over = meets | (count >= min_count), over | (count > 2 * min_count)
+        subs = subs.withColumn("_need", F.col("_s0") + min_count)
+        right = ticks.select("queue", "event_seq", F.col("tick_id").alias("_by_count"))
+        subs = asof_lookup(subs, right, ["queue"], "_need", "event_seq", ["_by_count"], seq_width, strict=False)
+        firsts.append(F.col("_by_count"))
     if min_interval_us is not None:
         meets, over = meets | (age >= min_interval_us), over | (age > 2 * min_interval_us)
-    picked = (
-        subs.join(ticks.select("queue", "tick_id", "tick_time", "event_seq"), "queue")
-        .where(F.col("tick_id") > F.col("last_tick"))
-        .select("queue", "sub_id", "last_tick", "tick_id", meets.alias("_meets"), over.alias("_over"))
-        .groupBy("queue", "sub_id", "last_tick")
-        .agg(
-            F.max(F.struct("tick_id", "_meets", "_over")).alias("_newest"),
-            F.min(F.when(F.col("_meets"), F.col("tick_id"))).alias("_first"),
-        )
-    )
-    choice = F.when(F.col("_newest")["_over"], F.col("_first")).when(F.col("_newest")["_meets"], F.col("_newest")["tick_id"])
-    everyone = subscriptions.select("queue", "sub_id")
-    return everyone.join(picked.select("queue", "sub_id", choice.alias("found_tick")), ["queue", "sub_id"], "left")
+        subs = subs.withColumn("_need", F.col("_t0") + min_interval_us)
+        right = ticks.select("queue", F.unix_micros("tick_time").alias("_us"), F.col("tick_id").alias("_by_time"))
+        subs = asof_lookup(subs, right, ["queue"], "_need", "_us", ["_by_time"], time_width_us, strict=False)
+        firsts.append(F.col("_by_time"))
+    first = F.least(*firsts) if len(firsts) > 1 else (firsts[0] if firsts else F.lit(None).cast("bigint"))
+    behind = F.col("_new")["tick_id"] > F.col("last_tick")
+    choice = F.when(behind & over, first).when(behind & meets, F.col("_new")["tick_id"])
+    found = subs.select("queue", "sub_id", choice.alias("found_tick"))
+    return subscriptions.select("queue", "sub_id").join(found, ["queue", "sub_id"], "left")
 
 
 def receive(subscriptions: DataFrame, ticks: DataFrame, assigned: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:

@@ -15,7 +15,12 @@ QUEUES = ["q0", "q1", "q2"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A test table; zone-less timestamps are read as UTC instants."""
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    for field in df.schema.fields:
+        if field.dataType.typeName() == "timestamp_ntz":
+            df = df.withColumn(field.name, F.col(field.name).cast("timestamp"))
+    return df
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
@@ -26,7 +31,7 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("event_id") + 1).alias("ev_id"),
         F.col("ts").alias("ev_time"),
         F.expr(f"{TXID_BASE} + event_id div 3").alias("ev_txid"),
-        F.when(owned, F.lit(1)).alias("ev_owner"),
+        F.when(owned, F.col("user_id").cast("int")).alias("ev_owner"),
         F.when(owned, (F.col("event_id") % 7).cast("int")).alias("ev_retry"),
         F.col("event_type").alias("ev_type"),
         F.col("props").alias("ev_data"),
@@ -101,11 +106,69 @@ def queue_ticks(spark: SparkSession, folder: str) -> DataFrame:
     return ticks(spark, folder).select(F.explode(F.array(*[F.lit(q) for q in QUEUES])).alias("queue"), "*")
 
 
+def subscriptions(spark: SparkSession, folder: str) -> DataFrame:
+    """One subscription per customer, spread over the tick log; every fourth holds an open batch."""
+    newest = ticks(spark, folder).agg(F.max("tick_id")).scalar()
+    key = F.col("c_custkey")
+    last = F.lit(1) + F.pmod(key, newest - 1)
+    is_open = key % 4 == 0
+    return table(spark, folder, "customer").select(
+        F.concat(F.lit("q"), (key % 3).cast("string")).alias("queue"),
+        key.cast("int").alias("sub_id"),
+        F.concat(F.lit("c"), key.cast("string")).alias("consumer"),
+        last.alias("last_tick"),
+        F.when(is_open, last + 1).alias("next_tick"),
+        F.when(is_open, key + 1).alias("batch_id"),
+        F.expr("timestamp_micros(1704067200000000L + c_custkey * 60000000L)").alias("active"),
+    )
+
+
+def queue_configs(spark: SparkSession, folder: str) -> DataFrame:
+    """One queue per supplier with its settings and rotation marks."""
+    k = F.col("s_suppkey")
+    return table(spark, folder, "supplier").select(
+        F.concat(F.lit("s"), k.cast("string")).alias("queue"),
+        (k % 50 + 1).alias("max_count"),
+        ((k % 5 + 1) * 600).alias("max_lag_s"),
+        ((k % 4 + 1) * 7200).alias("idle_s"),
+        ((k % 6) * 3600).alias("rotation_s"),
+        (k % 3).alias("cur_segment"),
+        F.lit(3).cast("bigint").alias("n_segments"),
+        (F.lit(TXID_BASE) + k * 7 % 1500).alias("step1"),
+        F.when(k % 7 != 0, F.lit(TXID_BASE) + k * 7 % 1500 + 1).alias("step2"),
+        F.expr("timestamp_micros(1704067200000000L + s_suppkey * 600000000L)").alias("switch_time"),
+        (k % 11 == 0).alias("paused"),
+        (k % 5 == 0).alias("external"),
+        F.when(k % 3 != 0, (k % 6).cast("int")).alias("max_retries"),
+    )
+
+
+def retries(spark: SparkSession, folder: str) -> DataFrame:
+    """Events waiting to be delivered again."""
+    return events(spark, folder).where(F.col("ev_owner").isNotNull()).withColumn(
+        "retry_after", F.col("ev_time") + F.expr("interval 1 hour")
+    )
+
+
+def dead_letters(spark: SparkSession, folder: str) -> DataFrame:
+    """Events given up after five retries."""
+    return (
+        events(spark, folder)
+        .where(F.col("ev_retry") >= 5)
+        .select(
+            (F.col("ev_id") - 1).alias("dl_id"),
+            F.col("ev_time").alias("dl_time"),
+            F.concat(F.lit("c"), F.col("ev_owner").cast("string")).alias("consumer"),
+            "*",
+        )
+    )
+
+
 CTE: dict[str, tuple[list[str], str]] = {
     "ev": (
         [],
         """SELECT 'q' || (user_id % 3) AS queue, event_id + 1 AS ev_id, ts AS ev_time, 1000 + event_id // 3 AS ev_txid,
-        CASE WHEN event_id % 97 = 0 THEN 1 END AS ev_owner,
+        CASE WHEN event_id % 97 = 0 THEN CAST(user_id AS INTEGER) END AS ev_owner,
         CASE WHEN event_id % 97 = 0 THEN CAST(event_id % 7 AS INTEGER) END AS ev_retry,
         event_type AS ev_type, props AS ev_data, 'public.events' AS ev_extra1, CAST(NULL AS VARCHAR) AS ev_extra2
         FROM events""",
@@ -134,6 +197,31 @@ CTE: dict[str, tuple[list[str], str]] = {
         ["ticks"],
         "SELECT q.queue, t.* FROM ticks t, (SELECT unnest(['q0','q1','q2']) AS queue) q",
     ),
+    "subs": (
+        ["moments"],
+        """SELECT 'q' || (c_custkey % 3) AS queue, CAST(c_custkey AS INTEGER) AS sub_id, 'c' || c_custkey AS consumer,
+        1 + c_custkey % (newest - 1) AS last_tick,
+        CASE WHEN c_custkey % 4 = 0 THEN 2 + c_custkey % (newest - 1) END AS next_tick,
+        CASE WHEN c_custkey % 4 = 0 THEN c_custkey + 1 END AS batch_id,
+        TIMESTAMP '2024-01-01' + to_minutes(CAST(c_custkey AS INTEGER)) AS active
+        FROM customer, (SELECT max(tick_id) AS newest FROM moments)""",
+    ),
+    "queues": (
+        [],
+        """SELECT 's' || s_suppkey AS queue, s_suppkey % 50 + 1 AS max_count, (s_suppkey % 5 + 1) * 600 AS max_lag_s,
+        (s_suppkey % 4 + 1) * 7200 AS idle_s, (s_suppkey % 6) * 3600 AS rotation_s, s_suppkey % 3 AS cur_segment,
+        CAST(3 AS BIGINT) AS n_segments, 1000 + s_suppkey * 7 % 1500 AS step1,
+        CASE WHEN s_suppkey % 7 <> 0 THEN 1000 + s_suppkey * 7 % 1500 + 1 END AS step2,
+        TIMESTAMP '2024-01-01' + to_minutes(CAST(s_suppkey * 10 AS INTEGER)) AS switch_time,
+        s_suppkey % 11 = 0 AS paused, s_suppkey % 5 = 0 AS external,
+        CASE WHEN s_suppkey % 3 <> 0 THEN CAST(s_suppkey % 6 AS INTEGER) END AS max_retries
+        FROM supplier""",
+    ),
+    "retry": (["ev"], "SELECT *, ev_time + INTERVAL 1 HOUR AS retry_after FROM ev WHERE ev_owner IS NOT NULL"),
+    "dead": (
+        ["ev"],
+        "SELECT ev_id - 1 AS dl_id, ev_time AS dl_time, 'c' || ev_owner AS consumer, * FROM ev WHERE ev_retry >= 5",
+    ),
 }
 
 
@@ -154,6 +242,8 @@ def with_sql(names: str, body: str) -> str:
         return body
     heads = ",\n".join(f"{name} AS ({CTE[name][1]})" for name in done)
     tail = body.strip()
-    if tail.upper().startswith("WITH "):
+    if tail.startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {heads},\n{tail[15:]}"
+    if tail.startswith("WITH "):
         return f"WITH {heads},\n{tail[5:]}"
     return f"WITH {heads}\n{tail}"
