@@ -17,18 +17,24 @@ _NUMBER = (
 )
 _STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 MAX_DEPTH = 30
+STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
 def tag(raw: Column) -> Column:
     """Numbers become strings that start with the marker."""
-    doubled = F.regexp_replace(raw, r"(?<!\\)((?:\\\\)*+)\\u0001", r"$1\\u0001\\u0001")
+    doubled = F.when(
+        F.contains(raw, F.lit(r"\u0001")), F.regexp_replace(raw, r"(?<!\\)((?:\\\\)*+)\\u0001", r"$1\\u0001\\u0001")
+    ).otherwise(raw)
     return F.regexp_replace(doubled, _NUMBER, r'$1"\\u0001$2"')
 
 
 def untag(text: Column) -> Column:
     """JSON text with its numbers as they were written."""
     numbers = F.regexp_replace(text, r'"\\u0001(-?[0-9][0-9.eE+-]*+)"', "$1")
-    return F.regexp_replace(numbers, r"(?<!\\)((?:\\\\)*+)\\u0001\\u0001", r"$1\\u0001")
+    return F.when(
+        F.contains(numbers, F.lit(r"\u0001")),
+        F.regexp_replace(numbers, r"(?<!\\)((?:\\\\)*+)\\u0001\\u0001", r"$1\\u0001"),
+    ).otherwise(numbers)
 
 
 def is_single_value(raw: Column) -> Column:
@@ -47,6 +53,23 @@ def is_object(raw: Column) -> Column:
     return is_single_value(raw) & raw.rlike(r"^[ \t\r\n]*\{")
 
 
+def strict_object(raw: Column, shape: str) -> Column:
+    """Read one JSON object and nothing else as ``array<shape>``; see ``only``.
+
+    The text is placed in an array in front of an end marker made from its own hash. Anything after
+    the object breaks the array, closes it before the marker, or adds an entry.
+    """
+    marked = F.concat(F.lit("["), tag(raw), F.lit(',{"_end":"'), F.md5(raw), F.lit('"}]'))
+    return F.from_json(marked, f"array<{shape}>", STRICT)
+
+
+def only(entries: Column, end: Column, raw: Column) -> Column:
+    """Whether ``strict_object`` read exactly one object; ``end`` is the marker it found."""
+    return F.coalesce(
+        (F.size(entries) == 2) & (end == F.md5(raw)) & raw.rlike(r"^[ \t\r\n]*\{"), F.lit(False)
+    )
+
+
 def kind_of(token: Column) -> Column:
     """Kind of a rendered, tagged JSON token: null, bool, string, number, object, array."""
     first = F.substring(token, 1, 1)
@@ -60,16 +83,23 @@ def kind_of(token: Column) -> Column:
     )
 
 
-def string_of(token: Column) -> Column:
-    """The string a rendered JSON string token stands for (a doubled marker is undone)."""
-    value = F.from_json(F.concat(F.lit('{"v":'), token, F.lit("}")), "v string")["v"]
-    return F.when(F.startswith(value, F.lit(MARK + MARK)), F.substr(value, F.lit(2))).otherwise(value)
+def word_of(value: Column) -> Column:
+    """The string a tagged variant holds; null for every other kind. A doubled marker is undone."""
+    text = F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
+    return (
+        F.when(~F.startswith(text, F.lit(MARK)), text)
+        .when(F.startswith(text, F.lit(MARK + MARK)), F.substr(text, F.lit(2)))
+    )
+
+
+def number_of(value: Column) -> Column:
+    """Exact text of the number a tagged variant holds; null for every other kind."""
+    text = F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
+    return F.when(text.rlike("^\u0001-?[0-9]"), F.substr(text, F.lit(2)))
 
 
-def object_tokens(tagged: Column) -> Column:
-    """Map from field name to rendered token for one tagged object; null when unreadable."""
-    parsed = F.from_json(tagged, "map<string,variant>")
-    return F.transform_values(parsed, lambda _, v: F.coalesce(F.to_json(v), F.lit("null")))
+def is_null_or_missing(value: Column) -> Column:
+    return value.isNull() | F.is_variant_null(value)
 
 
 def too_deep(tagged: Column, limit: int = MAX_DEPTH) -> Column:

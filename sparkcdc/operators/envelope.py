@@ -31,27 +31,33 @@ def decode_change(df: DataFrame, raw: str = "ev_data") -> DataFrame:
     ignored, a repeated field keeps its last value, an image that repeats a field is invalid.
     """
     text = F.col(raw)
-    rows = jsonx.settle(df, _c=F.from_json(jsonx.tag(text), "schema variant, table variant, op variant, before variant, after variant"))
-    token = {n: F.to_json(F.col("_c")[n]) for n in ("schema", "table", "op", "before", "after")}
-    is_object = jsonx.is_object(text)
-    rows = jsonx.settle(rows, _is_object=is_object, **{"_" + n: t for n, t in token.items()}).drop("_c")
-    kind = {n: jsonx.kind_of(F.col("_" + n)) for n in token}
+    shape = "struct<schema:variant,table:variant,op:variant,before:variant,after:variant,_end:string>"
+    rows = jsonx.settle(df, _entries=jsonx.strict_object(text, shape))
+    change = F.get("_entries", F.lit(0))
+
+    def image_token(n: str) -> Column:
+        return F.when(~jsonx.is_null_or_missing(change[n]), F.to_json(change[n]))
+
+    rows = jsonx.settle(
+        rows,
+        _is_object=jsonx.only(F.col("_entries"), F.get("_entries", F.lit(1))["_end"], text),
+        **{f"_{n}": jsonx.word_of(change[n]) for n in ("schema", "table", "op")},
+        _odd=~(jsonx.is_null_or_missing(change["op"]) | jsonx.word_of(change["op"]).isNotNull()),
+        _before=image_token("before"),
+        _after=image_token("after"),
+    ).drop("_entries")
 
     def word(n: str) -> Column:
-        return F.when(kind[n] == "string", jsonx.string_of(F.col("_" + n)))
+        return F.col("_" + n)
 
     def absent(n: str) -> Column:
-        return F.coalesce(kind[n] == "null", F.lit(True))
+        return F.col("_" + n).isNull()
 
     def image(n: str) -> Column:
-        return F.coalesce(kind[n] == "object", F.lit(False))
-
-    def text_or_missing(n: str) -> Column:
-        return absent(n) | (kind[n] == "string")
+        return F.coalesce(F.startswith(F.col("_" + n), F.lit("{")), F.lit(False))
 
     op = word("op")
-    named = text_or_missing("schema") & text_or_missing("table") & text_or_missing("op")
-    named = named & (F.coalesce(word("schema"), F.lit("")) != "") & (F.coalesce(word("table"), F.lit("")) != "")
+    named = ~F.col("_odd") & (F.coalesce(word("schema"), F.lit("")) != "") & (F.coalesce(word("table"), F.lit("")) != "")
     fits = (
         ((op == "INSERT") & absent("before") & image("after"))
         | ((op == "UPDATE") & image("before") & image("after"))
@@ -100,13 +106,28 @@ def parse_envelope(df: DataFrame, epoch: Column, value: str = "value", progress_
     the epoch, a colon and a canonical positive decimal. A boundary has version 1, the same epoch and a time.
     """
     text = F.col(value).cast("string")
-    shape = "headers map<string,string>, payload string, " + f"`{progress_key}` struct<version:int,source_epoch:string,committed_before:string>"
-    parsed = F.from_json(text, shape)
-    known = F.size(F.array_except(F.json_object_keys(text), F.array(F.lit("headers"), F.lit("payload"), F.lit(progress_key)))) == 0
-    inner = F.json_object_keys(F.get_json_object(text, f"$.{progress_key}"))
-    inner_known = F.size(F.array_except(inner, F.array(F.lit("version"), F.lit("source_epoch"), F.lit("committed_before")))) == 0
-    rows = jsonx.settle(df, _p=parsed, _known=jsonx.is_object(text) & known, _inner_known=inner_known)
-    progress, headers, payload = F.col("_p")[progress_key], F.col("_p")["headers"], F.col("_p")["payload"]
+    rows = jsonx.settle(df, _entries=jsonx.strict_object(text, "map<string,variant>"))
+    fields = F.get("_entries", F.lit(0))
+    known = F.size(F.array_except(F.map_keys(fields), F.array(F.lit("headers"), F.lit("payload"), F.lit(progress_key)))) == 0
+    end = F.try_variant_get(F.try_element_at(F.get("_entries", F.lit(1)), F.lit("_end")), "$", "string")
+    inner = F.try_variant_get(F.try_element_at(fields, F.lit(progress_key)), "$", "map<string,variant>")
+    inner_known = F.size(F.array_except(F.map_keys(inner), F.array(F.lit("version"), F.lit("source_epoch"), F.lit("committed_before")))) == 0
+    rows = jsonx.settle(
+        rows,
+        _known=jsonx.only(F.col("_entries"), end, text) & known,
+        _inner_known=inner_known,
+        _headers=F.try_variant_get(F.try_element_at(fields, F.lit("headers")), "$", "map<string,string>"),
+        _payload=jsonx.word_of(F.try_element_at(fields, F.lit("payload"))),
+        _progress=F.when(
+            inner.isNotNull(),
+            F.struct(
+                jsonx.number_of(F.try_element_at(inner, F.lit("version"))).alias("version"),
+                jsonx.word_of(F.try_element_at(inner, F.lit("source_epoch"))).alias("source_epoch"),
+                jsonx.word_of(F.try_element_at(inner, F.lit("committed_before"))).alias("committed_before"),
+            ),
+        ),
+    )
+    progress, headers, payload = F.col("_progress"), F.col("_headers"), F.col("_payload")
     ident = F.try_element_at(headers, F.lit("ID"))
     prefix = F.concat(epoch, F.lit(":"))
     suffix = F.when(F.startswith(ident, prefix), F.substr(ident, F.length(prefix) + 1))
@@ -121,7 +142,7 @@ def parse_envelope(df: DataFrame, epoch: Column, value: str = "value", progress_
             F.when(
                 payload.isNotNull() | headers.isNotNull() | ~F.coalesce(F.col("_inner_known"), F.lit(False)), F.lit("malformed boundary")
             )
-            .when(~F.coalesce(progress["version"] == 1, F.lit(False)), F.lit("unknown version"))
+            .when(~F.coalesce(progress["version"] == "1", F.lit(False)), F.lit("unknown version"))
             .when(~F.coalesce(progress["source_epoch"] == epoch, F.lit(False)), F.lit("other epoch"))
             .when(boundary.isNull(), F.lit("missing boundary")),
         )
@@ -155,17 +176,23 @@ def typed_image(df: DataFrame, raw: str) -> DataFrame:
     """
     text = F.col(raw)
     present = df.where(text.isNotNull() & ~text.rlike(r"^\s*(null)?\s*$"))
-    reason = image_reason(text)
-    tokens = jsonx.object_tokens(F.when(reason.isNotNull(), F.raise_error(reason).cast("string")).otherwise(jsonx.tag(text)))
-    rows = present.select(*df.columns, F.explode(tokens).alias("field", "_t"))
+    rows = jsonx.settle(present, _entries=jsonx.strict_object(text, "map<string,variant>"))
+    end = F.try_variant_get(F.try_element_at(F.get("_entries", F.lit(1)), F.lit("_end")), "$", "string")
+    good = jsonx.only(F.col("_entries"), end, text)
+    deep = F.when(good, jsonx.too_deep(jsonx.tag(text)))
+    reason = F.when(~good, F.lit("not a JSON object")).when(deep, F.lit("nesting too deep"))
+    fields = F.when(reason.isNull(), F.get("_entries", F.lit(0)))
+    checked = F.when(reason.isNotNull(), F.raise_error(reason).cast("map<string,variant>")).otherwise(fields)
+    rows = rows.select(*df.columns, F.explode(checked).alias("field", "_v"))
+    rows = jsonx.settle(rows, _t=F.coalesce(F.to_json("_v"), F.lit("null")))
     kind = jsonx.kind_of(F.col("_t"))
     return rows.select(
         *df.columns,
         "field",
         kind.alias("kind"),
         F.when(kind == "bool", F.col("_t") == "true").alias("bool"),
-        F.when(kind == "string", jsonx.string_of(F.col("_t"))).alias("string"),
-        F.when(kind == "number", F.substr(jsonx.string_of(F.col("_t")), F.lit(2))).alias("number_text"),
+        F.when(kind == "string", jsonx.word_of(F.col("_v"))).alias("string"),
+        F.when(kind == "number", jsonx.number_of(F.col("_v"))).alias("number_text"),
         F.when(kind.isin("object", "array"), jsonx.untag(F.col("_t"))).alias("json"),
     )
 

@@ -47,22 +47,17 @@ def enqueue(df: DataFrame, streams: DataFrame) -> DataFrame:
     is_array = jsonx.is_single_value(F.col("headers")) & F.col("headers").rlike(r"^\s*\[")
     rows = jsonx.settle(rows, _h=F.when(is_array, F.from_json(jsonx.tag(F.col("headers")), "array<map<string,variant>>")))
 
-    def token(h: Column, name: str) -> Column:
-        return F.when(F.map_contains_key(h, F.lit(name)), F.coalesce(F.to_json(F.try_element_at(h, F.lit(name))), F.lit("null")))
-
-    def shape_of(h: Column) -> Column:
-        return F.struct(token(h, "key").alias("k"), token(h, "value").alias("v"))
-
-    rows = jsonx.settle(rows.withColumnRenamed("_h", "_parsed"), _h=F.transform("_parsed", shape_of)).drop("_parsed")
-    typed = F.transform(
-        "_shaped",
-        lambda h: F.struct(
-            F.when(jsonx.kind_of(h["k"]) == "string", jsonx.string_of(h["k"])).alias("key"),
-            F.when(jsonx.kind_of(h["v"]) == "string", jsonx.string_of(h["v"])).alias("value"),
-            F.coalesce(jsonx.kind_of(h["v"]).isin("string", "null"), F.lit(False)).alias("value_ok"),
-        ),
-    )
-    rows = jsonx.settle(rows.withColumnRenamed("_h", "_shaped"), _h=typed).drop("_shaped")
+    def typed(h: Column) -> Column:
+        value = F.try_element_at(h, F.lit("value"))
+        text = jsonx.word_of(value)
+        given = F.coalesce(F.map_contains_key(h, F.lit("value")), F.lit(False))
+        return F.struct(
+            jsonx.word_of(F.try_element_at(h, F.lit("key"))).alias("key"),
+            text.alias("value"),
+            (given & (text.isNotNull() | jsonx.is_null_or_missing(value))).alias("value_ok"),
+        )
+
+    rows = jsonx.settle(rows.withColumnRenamed("_h", "_parsed"), _h=F.transform("_parsed", typed)).drop("_parsed")
     bad_header = F.exists(
         "_h",
         lambda h: h["key"].isNull()
@@ -112,28 +107,25 @@ def decode(df: DataFrame, raw: str) -> DataFrame:
     """Adds ``id, key, value, headers`` (bytes) and ``reason``. Exactly one ``id`` header must equal the
     id, ignoring case; other headers keep order, repetition and nulls. Unknown fields are ignored."""
     text = F.col(raw)
-    shape = "id variant, key variant, value variant, headers array<map<string,variant>>"
-    rows = jsonx.settle(df, _m=F.when(jsonx.is_object(text), F.from_json(jsonx.tag(text), shape)))
-
-    def word(token: Column) -> Column:
-        return F.when(jsonx.kind_of(token) == "string", jsonx.string_of(token))
-
+    shape = "struct<id:variant,key:variant,value:variant,headers:array<map<string,variant>>,_end:string>"
+    rows = jsonx.settle(df, _entries=jsonx.strict_object(text, shape))
+    message = F.get("_entries", F.lit(0))
     tokens = F.transform(
-        F.col("_m")["headers"],
+        message["headers"],
         lambda h: F.struct(
-            word(F.to_json(F.try_element_at(h, F.lit("key")))).alias("key"),
-            F.to_json(F.try_element_at(h, F.lit("value"))).alias("t"),
+            jsonx.word_of(F.try_element_at(h, F.lit("key"))).alias("key"),
+            jsonx.word_of(F.try_element_at(h, F.lit("value"))).alias("t"),
+            jsonx.is_null_or_missing(F.try_element_at(h, F.lit("value"))).alias("empty"),
         ),
     )
-    words = {"_" + n: word(F.to_json(F.col("_m")[n])) for n in ("id", "key", "value")}
-    rows = jsonx.settle(rows, _unreadable=F.col("_m").isNull(), _tokens=tokens, **words).drop("_m")
+    rows = jsonx.settle(
+        rows,
+        _unreadable=~jsonx.only(F.col("_entries"), F.get("_entries", F.lit(1))["_end"], text),
+        _tokens=tokens,
+        **{"_" + n: jsonx.word_of(message[n]) for n in ("id", "key", "value")},
+    ).drop("_entries")
     bytes_of = F.transform(
-        "_tokens",
-        lambda h: F.struct(
-            h["key"].alias("key"),
-            codecs.unb64(word(h["t"])).alias("value"),
-            (F.coalesce(jsonx.kind_of(h["t"]), F.lit("null")) == "null").alias("empty"),
-        ),
+        "_tokens", lambda h: F.struct(h["key"].alias("key"), codecs.unb64(h["t"]).alias("value"), h["empty"].alias("empty"))
     )
     rows = jsonx.settle(
         rows.withColumnsRenamed({"_key": "_key64", "_value": "_value64"}),

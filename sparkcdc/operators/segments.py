@@ -31,11 +31,11 @@ class Measure:
     running: bool
 
 
-def _axes(frame: pd.DataFrame, measures: Sequence[Measure]):
+def _axes(frame: dict, measures: Sequence[Measure]):
     """Per measure: end and start coordinate of each row, and how far the block moves the origin."""
     ends, starts, totals = [], [], []
     for m in measures:
-        values = frame[m.column].to_numpy(dtype=np.int64)
+        values = np.asarray(frame[m.column], dtype=np.int64)
         if m.running:
             end = np.cumsum(values)
             ends.append(end)
@@ -70,7 +70,7 @@ class _Summary:
     @classmethod
     def of_rows(cls, frame, measures):
         ends, starts, totals = _axes(frame, measures)
-        n = len(frame)
+        n = len(ends[0])
         after = _following(ends, starts, measures)
         last, count = np.arange(n), np.ones(n, dtype=np.int64)
         for i in range(n - 1, -1, -1):
@@ -138,6 +138,52 @@ class _Summary:
         )
 
 
+def _groups(frames, keys: Sequence[str]):
+    """``(key, columns)`` for each run of equal keys in sorted Arrow batches; one run may span batches.
+    Yields ``None`` at the end of each batch, a point where output may be handed over."""
+    key, held = None, None
+    for frame in frames:
+        if len(frame):
+            columns = {c: frame[c].to_numpy() for c in frame.columns}
+            change = np.zeros(len(frame), dtype=bool)
+            for k in keys:
+                change[1:] |= columns[k][1:] != columns[k][:-1]
+            bounds = [0, *np.flatnonzero(change).tolist(), len(frame)]
+            for lo, hi in zip(bounds, bounds[1:]):
+                part = {c: v[lo:hi] for c, v in columns.items()}
+                here = tuple(v[lo] for v in (columns[k] for k in keys))
+                if held is not None and here == key:
+                    held = {c: np.concatenate([held[c], part[c]]) for c in held}
+                    continue
+                if held is not None:
+                    yield key, held
+                key, held = here, part
+        yield None
+    if held is not None:
+        yield key, held
+    yield None
+
+
+def _per_group(keys: Sequence[str], work, columns: Sequence[str], whole: Sequence[str] = ()):
+    """A ``mapInPandas`` function that applies ``work(key, columns)`` to each run of equal keys.
+    ``work`` returns a dict of equally long sequences."""
+
+    def run(frames):
+        out = []
+        for item in _groups(frames, keys):
+            if item is not None:
+                out.append(work(*item))
+            elif out:
+                merged = {c: [x for part in out for x in part[c]] for c in columns}
+                result = pd.DataFrame(merged, columns=list(columns))
+                for c in whole:
+                    result[c] = result[c].astype("Int64")
+                yield result
+                out = []
+
+    return run
+
+
 def greedy_cuts(
     df: DataFrame, by: Sequence[str], order: str, measures: Sequence[Measure], name: str = "segment", width: int = 65536, fan: int = 64
 ) -> DataFrame:
@@ -145,100 +191,114 @@ def greedy_cuts(
     row starts one.
 
     ``order`` is a non-negative integer column, unique per key; rows within ``width`` of it form a block,
-    ``fan`` blocks a group. One task holds one block, or the summaries of one group; the groups of
-    one key (a 4-millionth of its rows) are read in order as a stream.
+    ``fan`` blocks a group. A task holds one block, or the summaries of one group, at a time; the
+    groups of one key (a 4-millionth of its rows) are read in order as a stream.
     """
     by, measures = list(by), list(measures)
     m = len(measures)
-    needed = [*by, order, *dict.fromkeys(x.column for x in measures if x.column != order)]
-    kept = list(needed)
-    blocks = df.withColumn("_blk", F.floor(F.col(order) / width).cast("bigint"))
-    key_ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema.fields if f.name in by)
-    key_names = [f.name for f in df.schema.fields if f.name in by]
-    summary_ddl = "_counts array<bigint>" + "".join(
-        f", _e{i} array<bigint>, _x{i} array<bigint>, _t{i} bigint, _f{i} bigint" for i in range(m)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    needed = [*by, order, *dict.fromkeys(x.column for x in measures if x.column not in (order, *by))]
+    blocks = df.select(*needed, F.floor(F.col(order) / width).cast("bigint").alias("_blk"))
+    ddl = {f.name: f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields}
+    key_ddl = "".join(ddl[k] + ", " for k in by)
+    parts = [f"_{p}{i}" for i in range(m) for p in "ex"]
+    marks = [f"_{p}{i}" for i in range(m) for p in "tf"]
+    summary = ["_counts", *parts, *marks]
+    summary_ddl = ", ".join(f"{c} {'bigint' if c in marks else 'array<bigint>'}" for c in summary)
+    states = [f"_s{i}" for i in range(m)]
+    state_ddl = "_before bigint, " + ", ".join(f"{s} bigint" for s in states)
+
+    def laid_out(rows: DataFrame, keys: Sequence[str], *within: str) -> DataFrame:
+        # A fixed number of tasks: the work is Python, which small-partition coalescing would serialise.
+        return rows.repartition(tasks, *keys).sortWithinPartitions(*keys, *within)
+
+    def single(keys, key, row: dict) -> dict:
+        return {**{k: [v] for k, v in zip(keys, key)}, **{c: [v] for c, v in row.items()}}
+
+    def summarise(key, columns):
+        return single([*by, "_blk"], key, _Summary.of_rows(columns, measures).row())
+
+    leaves = laid_out(blocks, [*by, "_blk"], order).mapInPandas(
+        _per_group([*by, "_blk"], summarise, [*by, "_blk", *summary]), f"{key_ddl}_blk bigint, {summary_ddl}"
     )
-    state_names = [f"_s{i}" for i in range(m)]
-    state_ddl = "_before bigint, " + ", ".join(f"{s} bigint" for s in state_names)
-    summary_names = ["_counts"] + [f"_{p}{i}" for i in range(m) for p in "extf"]
-
-    def summarise(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(order)
-        head = {k: frame[k].iloc[0] for k in key_names}
-        return pd.DataFrame([{**head, "_blk": frame["_blk"].iloc[0], **_Summary.of_rows(frame, measures).row()}])
-
-    leaves = blocks.select(*needed, "_blk").groupBy(*by, "_blk").applyInPandas(summarise, f"{key_ddl}_blk bigint, {summary_ddl}")
     leaves = leaves.withColumn("_grp", F.floor(F.col("_blk") / fan).cast("bigint"))
 
-    def combine(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("_blk")
+    def summaries(columns):
+        for i in range(len(columns["_counts"])):
+            yield _Summary.of_row({c: columns[c][i] for c in summary}, m)
+
+    def combine(key, columns):
         whole = None
-        for _, row in frame.iterrows():
-            part = _Summary.of_row(row, m)
+        for part in summaries(columns):
             whole = part if whole is None else whole.then(part, measures)
-        head = {k: frame[k].iloc[0] for k in key_names}
-        return pd.DataFrame([{**head, "_grp": frame["_grp"].iloc[0], **whole.row()}])
+        return single([*by, "_grp"], key, whole.row())
+
+    groups = laid_out(leaves, [*by, "_grp"], "_blk").mapInPandas(
+        _per_group([*by, "_grp"], combine, [*by, "_grp", *summary]), f"{key_ddl}_grp bigint, {summary_ddl}"
+    )
 
-    groups = leaves.groupBy(*by, "_grp").applyInPandas(combine, f"{key_ddl}_grp bigint, {summary_ddl}")
-    ordered = (groups.repartition(*by) if by else groups.coalesce(1)).sortWithinPartitions(*by, "_grp")
+    def advance(state, before, part):
+        """The state after ``part``; without a state the part's first row starts the first segment."""
+        if state is None:
+            return [x[:1] for x in part.exits], before + int(part.counts[0])
+        state, counts = part.apply(state, measures)
+        return state, before + int(counts[0])
 
-    def entries(frames, unit: str):
-        """State entering each summary of a key, summaries arriving in order."""
+    def noted(state, before) -> dict:
+        return {"_before": None if state is None else before, **{s: None if state is None else int(state[i][0]) for i, s in enumerate(states)}}
+
+    def stream(frames):
         key, state, before = None, None, 0
         for frame in frames:
             out = []
-            for _, row in frame.iterrows():
-                here = tuple(row[k] for k in key_names)
+            columns = {c: frame[c].to_numpy() for c in frame.columns}
+            for i, part in enumerate(summaries(columns)):
+                here = tuple(columns[k][i] for k in by)
                 if here != key:
                     key, state, before = here, None, 0
-                if "_before" in row and state is None and row["_before"] is not None and not pd.isna(row["_before"]):
-                    before = int(row["_before"])
-                    state = [np.array([int(row[s])]) for s in state_names]
-                out.append(
-                    {**dict(zip(key_names, here)), unit: row[unit], "_before": before if state else None,
-                     **{s: (int(state[i][0]) if state else None) for i, s in enumerate(state_names)}}
-                )
-                part = _Summary.of_row(row, m)
-                if state is None:
-                    state, count = [x[:1] for x in part.exits], int(part.counts[0])
-                else:
-                    state, counts = part.apply(state, measures)
-                    count = int(counts[0])
-                before += count
-            result = pd.DataFrame(out, columns=[*key_names, unit, "_before", *state_names])
-            for c in ["_before", *state_names]:
+                out.append({**dict(zip(by, here)), "_grp": columns["_grp"][i], **noted(state, before)})
+                state, before = advance(state, before, part)
+            result = pd.DataFrame(out, columns=[*by, "_grp", "_before", *states])
+            for c in ["_before", *states]:
                 result[c] = result[c].astype("Int64")
             yield result
 
-    group_entry = ordered.mapInPandas(lambda frames: entries(frames, "_grp"), f"{key_ddl}_grp bigint, {state_ddl}")
-    inside = leaves.join(group_entry, [*by, "_grp"])
-
-    def down(frame: pd.DataFrame) -> pd.DataFrame:
-        return next(entries(iter([frame.sort_values("_blk")]), "_blk"))
-
-    leaf_entry = inside.groupBy(*by, "_grp").applyInPandas(down, f"{key_ddl}_blk bigint, {state_ddl}")
-    entered = blocks.select(*needed, "_blk").join(leaf_entry, [*by, "_blk"])
+    in_order = laid_out(groups, by, "_grp") if by else groups.coalesce(1).sortWithinPartitions("_grp")
+    group_entry = in_order.mapInPandas(stream, f"{key_ddl}_grp bigint, {state_ddl}")
+
+    def known(columns):
+        before = columns["_before"][0]
+        if before is None or pd.isna(before):
+            return None, 0
+        return [np.array([int(columns[s][0])]) for s in states], int(before)
+
+    def down(key, columns):
+        state, before = known(columns)
+        rows = []
+        for blk, part in zip(columns["_blk"], summaries(columns)):
+            rows.append({**dict(zip(by, key)), "_blk": blk, **noted(state, before)})
+            state, before = advance(state, before, part)
+        return {c: [r[c] for r in rows] for c in [*by, "_blk", "_before", *states]}
+
+    leaf_entry = laid_out(leaves.join(group_entry, [*by, "_grp"]), [*by, "_grp"], "_blk").mapInPandas(
+        _per_group([*by, "_grp"], down, [*by, "_blk", "_before", *states], ["_before", *states]), f"{key_ddl}_blk bigint, {state_ddl}"
+    )
 
-    def place(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(order)
-        ends, starts, _ = _axes(frame, measures)
+    def place(key, columns):
+        ends, starts, _ = _axes(columns, measures)
         after = _following(ends, starts, measures)
-        n, begun, k = len(frame), frame["_before"].iloc[0], 0
-        if not pd.isna(begun):
-            state = [np.array([int(frame[s].iloc[0])]) for s in state_names]
-            k = int(_first_cut(ends, state, measures)[0])
-        flags = np.zeros(n, dtype=bool)
-        while k < n:
+        state, before = known(columns)
+        k = 0 if state is None else int(_first_cut(ends, state, measures)[0])
+        flags = np.zeros(len(after), dtype=bool)
+        while k < len(after):
             flags[k] = True
             k = after[k]
-        base = 0 if pd.isna(begun) else int(begun)
-        out = frame[kept].copy()
-        out[name] = base + np.cumsum(flags)
-        out[f"{name}_start"] = flags
-        return out
+        return {**{c: columns[c] for c in needed}, name: before + np.cumsum(flags), f"{name}_start": flags}
 
-    kept_ddl = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept)
-    placed = entered.groupBy(*by, "_blk").applyInPandas(place, f"{kept_ddl}, {name} bigint, {name}_start boolean")
-    if all(c in kept for c in df.columns):
+    placed_ddl = ", ".join(ddl[c] for c in needed) + f", {name} bigint, {name}_start boolean"
+    placed = laid_out(blocks.join(leaf_entry, [*by, "_blk"]), [*by, "_blk"], order).mapInPandas(
+        _per_group([*by, "_blk"], place, [*needed, name, f"{name}_start"]), placed_ddl
+    )
+    if all(c in needed for c in df.columns):
         return placed
     return df.join(placed.select(*by, order, name, f"{name}_start"), [*by, order])
