@@ -85,10 +85,13 @@ def kind_of(token: Column) -> Column:
 
 def word_of(value: Column) -> Column:
     """The string a tagged variant holds; null for every other kind. A doubled marker is undone."""
-    text = F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
-    return (
-        F.when(~F.startswith(text, F.lit(MARK)), text)
-        .when(F.startswith(text, F.lit(MARK + MARK)), F.substr(text, F.lit(2)))
+    return unmarked(F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string")))
+
+
+def unmarked(text: Column) -> Column:
+    """A tagged string as it was written; null when it stands for a number."""
+    return F.when(~F.startswith(text, F.lit(MARK)), text).when(
+        F.startswith(text, F.lit(MARK + MARK)), F.substr(text, F.lit(2))
     )
 
 

@@ -34,6 +34,7 @@ def decode_change(df: DataFrame, raw: str = "ev_data") -> DataFrame:
     shape = "struct<schema:variant,table:variant,op:variant,before:variant,after:variant,_end:string>"
     rows = jsonx.settle(df, _entries=jsonx.strict_object(text, shape))
     change = F.get("_entries", F.lit(0))
+    words = ("schema", "table", "op")
 
     def image_token(n: str) -> Column:
         return F.when(~jsonx.is_null_or_missing(change[n]), F.to_json(change[n]))
@@ -41,14 +42,16 @@ def decode_change(df: DataFrame, raw: str = "ev_data") -> DataFrame:
     rows = jsonx.settle(
         rows,
         _is_object=jsonx.only(F.col("_entries"), F.get("_entries", F.lit(1))["_end"], text),
-        **{f"_{n}": jsonx.word_of(change[n]) for n in ("schema", "table", "op")},
-        _odd=~(jsonx.is_null_or_missing(change["op"]) | jsonx.word_of(change["op"]).isNotNull()),
+        **{f"_{n}": F.try_variant_get(change[n], "$", "string") for n in words},
+        **{f"_{n}_kind": F.schema_of_variant(change[n]) for n in words},
         _before=image_token("before"),
         _after=image_token("after"),
     ).drop("_entries")
 
     def word(n: str) -> Column:
-        return F.col("_" + n)
+        return F.when(F.col(f"_{n}_kind") == "STRING", jsonx.unmarked(F.col("_" + n)))
+
+    odd = ~F.coalesce(F.col("_op_kind") == "VOID", F.lit(True)) & word("op").isNull()
 
     def absent(n: str) -> Column:
         return F.col("_" + n).isNull()
@@ -57,7 +60,7 @@ def decode_change(df: DataFrame, raw: str = "ev_data") -> DataFrame:
         return F.coalesce(F.startswith(F.col("_" + n), F.lit("{")), F.lit(False))
 
     op = word("op")
-    named = ~F.col("_odd") & (F.coalesce(word("schema"), F.lit("")) != "") & (F.coalesce(word("table"), F.lit("")) != "")
+    named = ~odd & (F.coalesce(word("schema"), F.lit("")) != "") & (F.coalesce(word("table"), F.lit("")) != "")
     fits = (
         ((op == "INSERT") & absent("before") & image("after"))
         | ((op == "UPDATE") & image("before") & image("after"))

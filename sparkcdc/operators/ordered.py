@@ -160,8 +160,9 @@ def dense_positions(
     return running(df, by, order, {name: ("count", F.lit(1))}, width, ties, inclusive=True)
 
 
-def nearest_ranks(df: DataFrame, by: Sequence[str], value: str, ranks: dict[str, tuple[int, int]], width: int) -> DataFrame:
-    """Exact order statistics at index ``floor((n-1) * num / den)`` per group.
+def nearest_ranks(df: DataFrame, by: Sequence[str], value: str, ranks: dict[str, tuple], width: int) -> DataFrame:
+    """Exact order statistics at index ``floor((n-1) * num / den)`` per group; ``ceil`` instead when a
+    rank is given as ``(num, den, "ceil")``.
 
     ``value`` must be an integer column. Values are counted first, so the work after the
     partial aggregation grows with distinct values, not rows.
@@ -172,7 +173,11 @@ def nearest_ranks(df: DataFrame, by: Sequence[str], value: str, ranks: dict[str,
     totals = counted.groupBy(*by).agg(F.sum("_n").alias("_total"))
     both = placed.join(totals, by) if by else placed.withColumn("_total", counted.agg(F.sum("_n")).scalar())
     picks = []
-    for name, (num, den) in ranks.items():
-        index = F.floor((F.col("_total") - 1) * num / den)
+    for name, (num, den, *rounding) in ranks.items():
+        scaled = (F.col("_total") - 1) * num
+        rest = F.pmod(scaled, F.lit(den))
+        index = ((scaled - rest) / den).cast("bigint")
+        if rounding == ["ceil"]:
+            index = index + F.when(rest > 0, 1).otherwise(0)
         picks.append(F.min(F.when(F.col("_upto") > index, F.col(value))).alias(name))
     return both.groupBy(*by).agg(F.max("_total").alias("n"), *picks)
