@@ -85,7 +85,12 @@ def kind_of(token: Column) -> Column:
 
 def word_of(value: Column) -> Column:
     """The string a tagged variant holds; null for every other kind. A doubled marker is undone."""
-    return unmarked(F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string")))
+    return unmarked(text_of(value))
+
+
+def text_of(value: Column) -> Column:
+    """The text of a string or number in a tagged variant, still marked; null for other kinds."""
+    return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
 
 
 def unmarked(text: Column) -> Column:
@@ -97,7 +102,7 @@ def unmarked(text: Column) -> Column:
 
 def number_of(value: Column) -> Column:
     """Exact text of the number a tagged variant holds; null for every other kind."""
-    text = F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
+    text = text_of(value)
     return F.when(text.rlike("^\u0001-?[0-9]"), F.substr(text, F.lit(2)))
 
 

@@ -44,20 +44,32 @@ def enqueue(df: DataFrame, streams: DataFrame) -> DataFrame:
     """
     known = streams.select(F.col("name").alias("stream"), F.lit(True).alias("_known"))
     rows = df.join(known, "stream", "left")
-    is_array = jsonx.is_single_value(F.col("headers")) & F.col("headers").rlike(r"^\s*\[")
-    rows = jsonx.settle(rows, _h=F.when(is_array, F.from_json(jsonx.tag(F.col("headers")), "array<map<string,variant>>")))
-
-    def typed(h: Column) -> Column:
-        value = F.try_element_at(h, F.lit("value"))
-        text = jsonx.word_of(value)
-        given = F.coalesce(F.map_contains_key(h, F.lit("value")), F.lit(False))
-        return F.struct(
-            jsonx.word_of(F.try_element_at(h, F.lit("key"))).alias("key"),
-            text.alias("value"),
-            (given & (text.isNotNull() | jsonx.is_null_or_missing(value))).alias("value_ok"),
-        )
-
-    rows = jsonx.settle(rows.withColumnRenamed("_h", "_parsed"), _h=F.transform("_parsed", typed)).drop("_parsed")
+    given = F.col("headers")
+    entries = F.from_json(
+        F.concat(F.lit("["), jsonx.tag(given), F.lit(',[{"key":"'), F.md5(given), F.lit('"}]]')),
+        "array<array<struct<key:variant,value:variant>>>",
+        jsonx.STRICT,
+    )
+    rows = jsonx.settle(rows, _entries=entries)
+    end = F.try_variant_get(F.get(F.get("_entries", F.lit(1)), F.lit(0))["key"], "$", "string")
+    is_array = F.coalesce((F.size("_entries") == 2) & (end == F.md5(given)), F.lit(False))
+    # Read every variant once, then work on plain strings.
+    texts = F.transform(
+        F.get("_entries", F.lit(0)),
+        lambda h: F.struct(
+            jsonx.text_of(h["key"]).alias("key"), jsonx.text_of(h["value"]).alias("value"), F.is_variant_null(h["value"]).alias("empty")
+        ),
+    )
+    rows = jsonx.settle(rows, _texts=F.when(is_array, texts)).drop("_entries")
+    typed = F.transform(
+        "_texts",
+        lambda h: F.struct(
+            jsonx.unmarked(h["key"]).alias("key"),
+            jsonx.unmarked(h["value"]).alias("value"),
+            (h["empty"] | jsonx.unmarked(h["value"]).isNotNull()).alias("value_ok"),
+        ),
+    )
+    rows = jsonx.settle(rows, _h=typed).drop("_texts")
     bad_header = F.exists(
         "_h",
         lambda h: h["key"].isNull()
@@ -107,30 +119,32 @@ def decode(df: DataFrame, raw: str) -> DataFrame:
     """Adds ``id, key, value, headers`` (bytes) and ``reason``. Exactly one ``id`` header must equal the
     id, ignoring case; other headers keep order, repetition and nulls. Unknown fields are ignored."""
     text = F.col(raw)
-    shape = "struct<id:variant,key:variant,value:variant,headers:array<map<string,variant>>,_end:string>"
+    shape = "struct<id:variant,key:variant,value:variant,headers:array<struct<key:variant,value:variant>>,_end:string>"
     rows = jsonx.settle(df, _entries=jsonx.strict_object(text, shape))
     message = F.get("_entries", F.lit(0))
-    tokens = F.transform(
+    texts = F.transform(
         message["headers"],
         lambda h: F.struct(
-            jsonx.word_of(F.try_element_at(h, F.lit("key"))).alias("key"),
-            jsonx.word_of(F.try_element_at(h, F.lit("value"))).alias("t"),
-            jsonx.is_null_or_missing(F.try_element_at(h, F.lit("value"))).alias("empty"),
+            jsonx.text_of(h["key"]).alias("key"), jsonx.text_of(h["value"]).alias("t"), jsonx.is_null_or_missing(h["value"]).alias("empty")
         ),
     )
     rows = jsonx.settle(
         rows,
         _unreadable=~jsonx.only(F.col("_entries"), F.get("_entries", F.lit(1))["_end"], text),
-        _tokens=tokens,
-        **{"_" + n: jsonx.word_of(message[n]) for n in ("id", "key", "value")},
+        _texts=texts,
+        **{"_" + n: jsonx.text_of(message[n]) for n in ("id", "key", "value")},
     ).drop("_entries")
     bytes_of = F.transform(
-        "_tokens", lambda h: F.struct(h["key"].alias("key"), codecs.unb64(h["t"]).alias("value"), h["empty"].alias("empty"))
+        "_texts",
+        lambda h: F.struct(
+            jsonx.unmarked(h["key"]).alias("key"), codecs.unb64(jsonx.unmarked(h["t"])).alias("value"), h["empty"].alias("empty")
+        ),
     )
     rows = jsonx.settle(
-        rows.withColumnsRenamed({"_key": "_key64", "_value": "_value64"}),
-        _key=codecs.unb64(F.col("_key64")),
-        _value=codecs.unb64(F.col("_value64")),
+        rows.withColumnsRenamed({"_key": "_key64", "_value": "_value64", "_id": "_id_text"}),
+        _id=jsonx.unmarked(F.col("_id_text")),
+        _key=codecs.unb64(jsonx.unmarked(F.col("_key64"))),
+        _value=codecs.unb64(jsonx.unmarked(F.col("_value64"))),
         _h=bytes_of,
     )
     bad_header = F.exists(

@@ -199,6 +199,8 @@ def greedy_cuts(
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     needed = [*by, order, *dict.fromkeys(x.column for x in measures if x.column not in (order, *by))]
     blocks = df.select(*needed, F.floor(F.col(order) / width).cast("bigint").alias("_blk"))
+    # Both passes over the blocks, and both over their summaries, read one shuffle each.
+    blocks = blocks.repartition(tasks, *by, "_blk")
     ddl = {f.name: f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields}
     key_ddl = "".join(ddl[k] + ", " for k in by)
     parts = [f"_{p}{i}" for i in range(m) for p in "ex"]
@@ -218,10 +220,10 @@ def greedy_cuts(
     def summarise(key, columns):
         return single([*by, "_blk"], key, _Summary.of_rows(columns, measures).row())
 
-    leaves = laid_out(blocks, [*by, "_blk"], order).mapInPandas(
+    leaves = blocks.sortWithinPartitions(*by, "_blk", order).mapInPandas(
         _per_group([*by, "_blk"], summarise, [*by, "_blk", *summary]), f"{key_ddl}_blk bigint, {summary_ddl}"
     )
-    leaves = leaves.withColumn("_grp", F.floor(F.col("_blk") / fan).cast("bigint"))
+    leaves = leaves.withColumn("_grp", F.floor(F.col("_blk") / fan).cast("bigint")).repartition(tasks, *by, "_grp")
 
     def summaries(columns):
         for i in range(len(columns["_counts"])):
@@ -233,7 +235,7 @@ def greedy_cuts(
             whole = part if whole is None else whole.then(part, measures)
         return single([*by, "_grp"], key, whole.row())
 
-    groups = laid_out(leaves, [*by, "_grp"], "_blk").mapInPandas(
+    groups = leaves.sortWithinPartitions(*by, "_grp", "_blk").mapInPandas(
         _per_group([*by, "_grp"], combine, [*by, "_grp", *summary]), f"{key_ddl}_grp bigint, {summary_ddl}"
     )
 

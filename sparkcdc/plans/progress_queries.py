@@ -11,6 +11,7 @@ from sparkcdc.plans.batch_queries import assigned
 from sparkcdc.plans.capture_queries import changes
 from sparkcdc.plans.envelope_queries import decoded
 from sparkcdc.plans.registry import query
+from sparkcdc.session import stored
 
 MINUTE = 60_000_000
 START = 1_704_067_200_000_000
@@ -57,8 +58,9 @@ fx.CTE["log"] = (
 
 
 def log(spark, folder):
-    data = routed(spark, folder).drop("ev_data")
-    return progress.merge_log(data, marks(spark, folder), ["queue", "topic"], spacing=2)
+    """The merged log, stored: a consumer reads a topic, not the job that fills it."""
+    data = stored(routed(spark, folder).drop("ev_data"))
+    return stored(progress.merge_log(data, stored(marks(spark, folder)), ["queue", "topic"], spacing=2))
 
 
 @query("boundaries", "SELECT queue, topic, tick_id, end_us FROM marks", uses="marks")
@@ -142,15 +144,18 @@ def scope(spark, folder):
     return fx.table(spark, folder, "events").select(F.lit("public").alias("schema_name"), F.col("event_type").alias("table_name")).distinct()
 
 
-def checked(spark, folder):
-    return progress.check_log(feed(spark, folder), scope(spark, folder), F.lit("ep-1"), "cdc", SKEW)
+class Consumers:
+    """The feed of every consumer, what it accepted, where it failed, and its leases."""
 
+    def __init__(self, spark, folder):
+        rows = feed(spark, folder)
+        accepted, failures = progress.check_log(rows, scope(spark, folder), F.lit("ep-1"), "cdc", SKEW)
+        self.accepted, self.failures = stored(accepted), stored(failures)
+        at = rows.select("consumer", F.col("seq").alias("failed_seq"), F.col("now_us").alias("failed_us"))
+        self.failed_at = self.failures.join(at, ["consumer", "failed_seq"]).select("consumer", "failed_us")
 
-def failure_times(spark, folder):
-    rows = feed(spark, folder)
-    failed = progress.check_log(rows, scope(spark, folder), F.lit("ep-1"), "cdc", SKEW)[1]
-    at = rows.select("consumer", F.col("seq").alias("failed_seq"), F.col("now_us").alias("failed_us"))
-    return failed.join(at, ["consumer", "failed_seq"]).select("consumer", "failed_us")
+    def spans(self):
+        return progress.leases(self.accepted, F.lit(START + 3 * MINUTE), MAX_LAG, SKEW)
 
 
 @query(
@@ -159,9 +164,9 @@ def failure_times(spark, folder):
     uses="accepted failures",
 )
 def check_log_q(spark, folder):
-    accepted, failures = checked(spark, folder)
-    counted = accepted.groupBy("consumer").agg(F.count("*").alias("accepted"), F.count_if(F.col("kind") == "data").alias("data"))
-    return counted.join(failures, "consumer", "left")
+    state = Consumers(spark, folder)
+    counted = state.accepted.groupBy("consumer").agg(F.count("*").alias("accepted"), F.count_if(F.col("kind") == "data").alias("data"))
+    return counted.join(state.failures, "consumer", "left")
 
 
 fx.CTE["spans"] = (
@@ -171,13 +176,9 @@ fx.CTE["spans"] = (
 )
 
 
-def spans(spark, folder):
-    return progress.leases(checked(spark, folder)[0], F.lit(START + 3 * MINUTE), MAX_LAG, SKEW)
-
-
 @query("leases", "SELECT * FROM spans", uses="spans")
 def leases_q(spark, folder):
-    return spans(spark, folder)
+    return Consumers(spark, folder).spans()
 
 
 fx.CTE["probes"] = (
@@ -200,7 +201,8 @@ READY = """EXISTS (SELECT 1 FROM spans s WHERE s.consumer = p.consumer AND s.fro
 
 @query("ready_at", f"SELECT consumer, at_us, {READY.format(t='p.at_us')} AS ready FROM probes p", uses="probes spans failures")
 def ready_at_q(spark, folder):
-    return progress.ready_at(probes(spark, folder), spans(spark, folder), failure_times(spark, folder), 10 * MINUTE)
+    state = Consumers(spark, folder)
+    return progress.ready_at(probes(spark, folder), state.spans(), state.failed_at, 10 * MINUTE)
 
 
 @query(
@@ -218,8 +220,8 @@ def cache_fill_valid_q(spark, folder):
         F.when(at % 11 == 0, 2).otherwise(1).alias("store_generation"),
         (at + 3_000_000).alias("store_us"),
     )
-    accepted = checked(spark, folder)[0]
-    valid = progress.cache_fill_valid(reads, accepted, spans(spark, folder), failure_times(spark, folder), 10 * MINUTE)
+    state = Consumers(spark, folder)
+    valid = progress.cache_fill_valid(reads, state.accepted, stored(state.spans()), state.failed_at, 10 * MINUTE)
     return valid.select("consumer", "begin_us", "store_us", "valid")
 
 

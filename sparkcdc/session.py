@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -51,3 +51,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The frame written once to the checkpoint folder and read from there.
+
+    For an intermediate result that several operators read: each of them may scan its input more than
+    once, which is cheap for a table and expensive for a long plan.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Redistribute an input that comes in fewer pieces than there are cores, ahead of work that is
+    heavy per row. A large input comes in more pieces and is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)

@@ -15,12 +15,13 @@ import time
 from collections.abc import Callable
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sparkcdc.functions.codecs import utf8
 from sparkcdc.operators import envelope, outbox
+from sparkcdc.session import spread
 
 RECORD_DDL = "topic string, key binary, value binary, headers array<struct<key:string,value:binary>>, ev_id bigint"
 
@@ -118,7 +119,7 @@ def relay_stream(
     and the query ends."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        publish(sized(encode(batch)), batch_id)
+        publish(sized(encode(spread(batch, "ev_id"))), batch_id)
 
     writer = source.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     if name:
@@ -164,7 +165,7 @@ def replay_check(log: DataFrame) -> DataFrame:
     return both.where(F.col("copies") > 1)
 
 
-def applied(log: DataFrame, by: Column | None = None) -> DataFrame:
+def applied(log: DataFrame) -> DataFrame:
     """A managed log with each event once, the way an idempotent consumer sees it."""
-    rest = [c for c in log.columns if c != "ev_id"]
-    return log.groupBy("ev_id").agg(F.min(F.struct(*[c for c in rest if c not in ("headers",)])).alias("_f")).select("ev_id", "_f.*")
+    rest = [c for c in log.columns if c not in ("ev_id", "headers")]
+    return log.groupBy("ev_id").agg(F.min(F.struct(*rest)).alias("_f")).select("ev_id", "_f.*")
