@@ -41,11 +41,10 @@ def inbox_conflicts(log: DataFrame, receipts: DataFrame) -> DataFrame:
 
 
 def require_no_conflicts(effects: DataFrame, conflicts: DataFrame) -> DataFrame:
-    """Fail closed when any id carries two contents."""
-    some = conflicts.select(F.lit(True).alias("_c")).limit(1).agg(F.count("*")).scalar()
-    return effects.withColumn(
-        "id", F.when(some > 0, F.raise_error(F.lit("delivery id reused for different content")).cast("string")).otherwise(F.col("id"))
-    )
+    """Fail closed when any id carries two contents, also when nothing is left to apply: every
+    conflict becomes a row whose evaluation stops the job."""
+    stop = conflicts.select(F.raise_error(F.lit("delivery id reused for different content")).cast("string").alias("id"))
+    return effects.unionByName(stop, allowMissingColumns=True)
 
 
 def materialize(changes: DataFrame, keys: Sequence[str], order: str = "ev_id") -> DataFrame:
