@@ -13,14 +13,20 @@ TXID_BASE = 1000
 TICK_SPAN = 50
 QUEUES = ["q0", "q1", "q2"]
 
+# Table plans by session and place, so that a query naming a table twice reads its footers once.
+_TABLES: dict[tuple, DataFrame] = {}
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A test table; zone-less timestamps are read as UTC instants."""
-    df = spark.read.parquet(f"{folder}/{name}.parquet")
-    for field in df.schema.fields:
-        if field.dataType.typeName() == "timestamp_ntz":
-            df = df.withColumn(field.name, F.col(field.name).cast("timestamp"))
-    return df
+    key = (spark.sparkContext.applicationId, id(spark), folder, name)
+    if key not in _TABLES:
+        df = spark.read.parquet(f"{folder}/{name}.parquet")
+        for field in df.schema.fields:
+            if field.dataType.typeName() == "timestamp_ntz":
+                df = df.withColumn(field.name, F.col(field.name).cast("timestamp"))
+        _TABLES[key] = df
+    return _TABLES[key]
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:

@@ -35,6 +35,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, name: str =
         .appName(name)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
+        # Call sites in error messages cost a stack walk per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for key, value in SETTINGS.items():
