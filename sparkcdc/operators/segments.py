@@ -164,6 +164,12 @@ def _groups(frames, keys: Sequence[str]):
     yield None
 
 
+def _joined(pieces: list):
+    if all(isinstance(p, np.ndarray) for p in pieces):
+        return np.concatenate(pieces)
+    return [x for p in pieces for x in p]
+
+
 def _per_group(keys: Sequence[str], work, columns: Sequence[str], whole: Sequence[str] = ()):
     """A ``mapInPandas`` function that applies ``work(key, columns)`` to each run of equal keys.
     ``work`` returns a dict of equally long sequences."""
@@ -174,7 +180,7 @@ def _per_group(keys: Sequence[str], work, columns: Sequence[str], whole: Sequenc
             if item is not None:
                 out.append(work(*item))
             elif out:
-                merged = {c: [x for part in out for x in part[c]] for c in columns}
+                merged = {c: _joined([part[c] for part in out]) for c in columns}
                 result = pd.DataFrame(merged, columns=list(columns))
                 for c in whole:
                     result[c] = result[c].astype("Int64")
