@@ -32,7 +32,8 @@ def inbox_stream(
         spark = batch.sparkSession
         log = inbox.with_digest(batch)
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        spark.createDataFrame([], schema).write.mode("append").parquet(f"{path}/batch_id=-1")
+        # The first batch finds an empty store to read.
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/batch_id=-1")
         receipts = read_effects(spark, path, columns, before=batch_id).select("id", "digest")
         conflicts = inbox.inbox_conflicts(log, receipts)
         effects = inbox.require_no_conflicts(inbox.apply_inbox(log, receipts), conflicts)
