@@ -7,6 +7,7 @@ skewed-partition splitting, small-partition coalescing).
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,9 +48,13 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, name: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names for lineage cuts; a private one only where none is named."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    path = named or tempfile.mkdtemp(prefix="sparkcdc-checkpoint-")
+    """The shared folder the cluster names for lineage cuts. A private one only where none is named and
+    driver and tasks are one process; elsewhere tasks would not see it."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        path = tempfile.mkdtemp(prefix="sparkcdc-checkpoint-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
