@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkcdc.llm import mixing
-from sparkcdc.llm.common import documents
+from sparkcdc.llm import bpe, mixing, secret_scan
+from sparkcdc.llm.common import documents, sha256
+
+#: The tokenizer file every executor has; a parameter of the operators.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -66,3 +70,29 @@ def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return taken.select(
         "row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
     )
+
+
+@query("op8_secret_spans")
+def op8_secret_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of every document."""
+    found = secret_scan.scan(documents(spark, folder).select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        *[secret_scan.count_of(F.col("spans"), k).alias(f"n_{k}") for k in secret_scan.BASE_KINDS],
+        sha256(secret_scan.span_text(F.col("spans"), secret_scan.BASE_KINDS)).alias("base_sha256"),
+        secret_scan.span_text(F.col("spans")).alias("spans"),
+    )
+
+
+@query("op1_bpe_roundtrip")
+def op1_bpe_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document and the text they decode to, as digests."""
+    docs = documents(spark, folder).select("doc_id", "text")
+    encoded = bpe.encode(docs, TOKENIZER).drop("text")
+    decoded = bpe.decode(encoded, TOKENIZER)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        sha256(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
+        sha256(F.col("decoded")).alias("decoded_sha256"),
+    )
