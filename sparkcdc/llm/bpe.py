@@ -257,7 +257,9 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
         tokenizer = Tokenizer(path)
         for batch in batches:
             lists = batch.column(1)
-            texts = [decode_ids(tokenizer, lists[i].as_py() or ()) for i in range(len(lists))]
+            flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy().tolist()
+            there = lists.is_valid().to_pylist()
+            texts = [decode_ids(tokenizer, flat[a:b].tolist()) if ok else "" for a, b, ok in zip(ends, ends[1:], there)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["row", "text"])
 
     done = rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField("text", T.StringType())]))
