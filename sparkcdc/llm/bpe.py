@@ -15,6 +15,7 @@ tables need no rule; a very long text is one row of symbols like any other.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 import re
@@ -32,7 +33,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: A place where a word always starts: a space between two characters that are no white space.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Pieces remembered by a task before it starts afresh.
-KNOWN_PIECES = 1 << 19
+KNOWN_PIECES = 1 << 18
 _NONE = np.int32(1 << 30)
 
 
@@ -84,7 +85,7 @@ class Tokenizer:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.key_order[at], _NONE).astype(np.int32)
 
-    def encode_words(self, words: Sequence[bytes]) -> list[list[int]]:
+    def encode_words(self, words: Sequence[bytes]) -> list[tuple[int, ...]]:
         """Ids of each word, by one pair occurrence index over all of them."""
         if not words:
             return []
@@ -103,7 +104,7 @@ class Tokenizer:
         ends = np.cumsum(np.bincount(np.repeat(np.arange(len(words)), lengths)[left], minlength=len(words)))
         flat, out, at = ids.tolist(), [], 0
         for end in ends.tolist():
-            out.append(flat[at:end])
+            out.append(tuple(flat[at:end]))
             at = end
         return out
 
@@ -174,7 +175,7 @@ class Encoder:
     def __init__(self, tokenizer: Tokenizer, limit: int = KNOWN_PIECES):
         self.tokenizer, self.limit = tokenizer, limit
         #: Ids of pieces at the start of a stretch of text, and of pieces that follow a space.
-        self.known: tuple[dict[str, list[int]], dict[str, list[int]]] = ({}, {})
+        self.known: tuple[dict[str, tuple[int, ...]], dict[str, tuple[int, ...]]] = ({}, {})
 
     def _learn(self, pieces: list[tuple[set[str], str]]) -> None:
         """Encodes pieces that are not known: their distinct words first, by the index."""
@@ -189,40 +190,57 @@ class Encoder:
             if len(found) == 1:
                 self.known[side][piece] = ids[words[found[0]]]
             else:
-                self.known[side][piece] = [i for word in found for i in ids[words[word]]]
+                self.known[side][piece] = tuple(i for word in found for i in ids[words[word]])
 
-    def encode(self, texts: Sequence[str | None]) -> list[list[int]]:
+    def _stretches(self, text: str) -> Iterator[list[str] | int]:
+        """A text as pieces, and ids of the special tokens between them."""
         special, splitter = self.tokenizer.special, self.tokenizer.splitter
-        stretches: list[list[list[str] | int]] = []
-        for text in texts:
-            if not text:
-                stretches.append([])
-            elif splitter is None or not any(s in text for s in special):
-                stretches.append([_CUT.split(text)])
-            else:
-                stretches.append([special[s] if s in special else _CUT.split(s) for s in splitter.split(text) if s])
+        if splitter is None or not any(s in text for s in special):
+            yield _CUT.split(text)
+            return
+        for part in splitter.split(text):
+            if part in special:
+                yield special[part]
+            elif part:
+                yield _CUT.split(part)
+
+    def learn(self, texts: Sequence[str | None]) -> None:
+        """Encodes what is new in the texts, all at once. Only distinct pieces are held."""
         if sum(map(len, self.known)) > self.limit:
             self.known = ({}, {})
         heads, tails = self.known
-        new_heads, new_tails = set(), set()
-        for row in stretches:
-            for pieces in row:
+        new_heads: set[str] = set()
+        new_tails: set[str] = set()
+        for text in texts:
+            for pieces in self._stretches(text) if text else ():
                 if not isinstance(pieces, int):
                     new_heads.add(pieces[0])
                     new_tails.update(pieces[1:])
-        self._learn([(new_heads - heads.keys(), ""), (new_tails - tails.keys(), " ")])
-        out = []
-        for row in stretches:
-            ids: list[int] = []
-            for pieces in row:
-                if isinstance(pieces, int):
-                    ids.append(pieces)
-                    continue
+        # Hundreds of thousands of small lists arise at once, none in a cycle: the collector would only walk them.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            self._learn([(new_heads.difference(heads), ""), (new_tails.difference(tails), " ")])
+        finally:
+            if collecting:
+                gc.enable()
+
+    def ids_of(self, text: str | None) -> list[int]:
+        """Ids of a text whose pieces are known."""
+        heads, tails = self.known
+        ids: list[int] = []
+        for pieces in self._stretches(text) if text else ():
+            if isinstance(pieces, int):
+                ids.append(pieces)
+            else:
                 ids += heads[pieces[0]]
                 for found in map(tails.__getitem__, pieces[1:]):
                     ids += found
-            out.append(ids)
-        return out
+        return ids
+
+    def encode(self, texts: Sequence[str | None]) -> list[list[int]]:
+        self.learn(texts)
+        return [self.ids_of(text) for text in texts]
 
 
 def decode_ids(tokenizer: Tokenizer, ids: Sequence[int]) -> str:
@@ -230,22 +248,52 @@ def decode_ids(tokenizer: Tokenizer, ids: Sequence[int]) -> str:
     return b"".join(map(tokenizer.pieces.__getitem__, ids)).decode("utf-8", "replace")
 
 
-def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """Adds ``ids`` (array of int), replacing a column of that name. No shuffle; each task reads the
-    tokenizer file at ``path``, which must be on every executor."""
-    kept = [c for c in df.columns if c != ids]
+#: Characters of text whose ids are handed over together.
+_SLICE = 2_000_000
+
+
+def _slices(texts: Sequence[str | None]) -> Iterator[tuple[int, int]]:
+    start = size = 0
+    for at, text in enumerate(texts):
+        size += len(text or "")
+        if size >= _SLICE:
+            yield start, at + 1
+            start, size = at + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+    """Adds ``ids`` (array of int) and, if it is named, ``decoded``: what these ids decode to. Columns of
+    those names are replaced. No shuffle; each task reads the tokenizer file at ``path``, which must be
+    on every executor."""
+    kept = [c for c in df.columns if c not in (ids, decoded)]
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{text}`").alias("text"))
+    fields = [rows.schema["row"], T.StructField("ids", T.ArrayType(T.IntegerType()))]
+    fields += [T.StructField("decoded", T.StringType())] if decoded else []
+    names = [f.name for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Tokenizer(path))
+        tokenizer = Tokenizer(path)
+        encoder = Encoder(tokenizer)
         for batch in batches:
-            found = encoder.encode(batch.column(1).to_pylist())
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-            flat = np.fromiter((i for x in found for i in x), np.int32, int(offsets[-1]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, flat)], ["row", "ids"])
+            texts = batch.column(1).to_pylist()
+            encoder.learn(texts)
+            for start, end in _slices(texts):
+                flat: list[int] = []
+                ends, back = [0], []
+                for value in texts[start:end]:
+                    found = encoder.ids_of(value)
+                    flat += found
+                    ends.append(len(flat))
+                    if decoded:
+                        back.append(decode_ids(tokenizer, found))
+                lists = pa.ListArray.from_arrays(np.array(ends, np.int32), np.array(flat, np.int32))
+                extra = [pa.array(back, pa.string())] if decoded else []
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start), lists, *extra], names)
 
-    done = rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField("ids", T.ArrayType(T.IntegerType()))]))
-    return done.select("row.*", F.col("ids").alias(ids))
+    done = rows.mapInArrow(run, T.StructType(fields))
+    return done.select("row.*", F.col("ids").alias(ids), *([F.col("decoded").alias(decoded)] if decoded else []))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:

@@ -88,9 +88,7 @@ def op8_secret_spans(spark: SparkSession, folder: str) -> DataFrame:
 def op1_bpe_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every document and the text they decode to, as digests."""
     docs = documents(spark, folder).select("doc_id", "text")
-    encoded = bpe.encode(docs, TOKENIZER).drop("text")
-    decoded = bpe.decode(encoded, TOKENIZER)
-    return decoded.select(
+    return bpe.encode(docs, TOKENIZER, decoded="decoded").select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         sha256(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),

@@ -44,8 +44,8 @@ def test_long_words(library, tokenizer, text):
 def test_many_words_share_one_index(library, tokenizer):
     rng = random.Random(3)
     words = ["".join(rng.choices("abeinorst", k=rng.randint(1, 12))) for _ in range(2000)]
-    assert tokenizer.encode_words([w.encode() for w in words]) == [library.encode(w, add_special_tokens=False).ids for w in words]
-    assert tokenizer.encode_words([]) == [] and tokenizer.encode_words([b"", b"a"])[0] == []
+    assert tokenizer.encode_words([w.encode() for w in words]) == [tuple(library.encode(w, add_special_tokens=False).ids) for w in words]
+    assert tokenizer.encode_words([]) == [] and tokenizer.encode_words([b"", b"a"])[0] == ()
 
 
 def test_broken_bytes_decode_as_in_the_library(library, tokenizer):
@@ -65,6 +65,8 @@ def test_rows_of_every_sort(spark, library):
     assert len(got) == len(rows)
     for r in got:
         assert r.decoded == (r.text or "") and r.ids == library.encode(r.text or "", add_special_tokens=False).ids
+    both = bpe.encode(docs, PATH, decoded="back")
+    assert sorted((r.ids, r.back) for r in both.collect()) == sorted((r.ids, r.decoded) for r in got)
     empty = bpe.decode(bpe.encode(docs.where("false"), PATH), PATH)
     assert empty.count() == 0
 
