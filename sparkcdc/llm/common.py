@@ -12,6 +12,8 @@ from sparkcdc.session import ensure_checkpoint_dir
 #: Fixed value: what separates words, everywhere in this subpackage.
 WORD = r"[^\x20\x09-\x0D]+"
 
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def documents(spark, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
@@ -22,7 +24,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     executor costs a reread of a file instead of a recomputation."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    # Nothing reads this write's shuffle files again: they need not wait for the driver's garbage collector.
+    before = spark.conf.get(_SHUFFLE_CLEANUP, None)
+    spark.conf.set(_SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_SHUFFLE_CLEANUP) if before is None else spark.conf.set(_SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkcdc.llm import bpe, mixing, secret_scan
+from sparkcdc.llm import bpe, mixing, ngram_join, secret_scan
 from sparkcdc.llm.common import documents, sha256
 
 #: The tokenizer file every executor has; a parameter of the operators.
@@ -94,3 +94,9 @@ def op1_bpe_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
         sha256(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
         sha256(F.col("decoded")).alias("decoded_sha256"),
     )
+
+
+@query("op7_ngram_join")
+def op7_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """The component of near-equal texts every document belongs to."""
+    return ngram_join.join_components(documents(spark, folder))
