@@ -209,6 +209,8 @@ def shared_segments(sigs: DataFrame) -> DataFrame:
 def shingle_sets(docs: DataFrame, classes: DataFrame, keys: DataFrame, width: int) -> DataFrame:
     """``key`` and ``hashes`` of the classes in ``keys``, each from one document of the class."""
     chosen = classes.join(keys, "key", "left_semi").groupBy("key").agg(F.min("id").alias("id"))
+    # As a table its size is known: the texts are not shuffled where their ids are few.
+    chosen = written(chosen, "join-chosen")
     texts = docs.alias("d").join(chosen.alias("c"), F.col("d.id").eqNullSafe(F.col("c.id"))).select("c.key", "d.text")
 
     def fn(state, columns, found):
@@ -311,3 +313,20 @@ def join_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     return classes.join(of_key, "key", "left").select(
         F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")
     )
+
+
+def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The documents without near-duplicates: of each component the one with the least id.
+
+    Rows that repeat an id and its text count once. Rows of one id and different texts both stay or
+    both go, and a row with a null id goes if a row with an id is in its component.
+    """
+    placed = written(join_components(docs, doc_id=doc_id, text=text, **options), "join-components")
+    ids = placed.groupBy(doc_id).agg(
+        F.count("*").alias("rows"), F.max(~F.col(doc_id).eqNullSafe(F.col("component_id"))).alias("loses")
+    )
+    odd = written(ids.where("rows > 1 OR loses").select(F.col(doc_id).alias("_odd_id"), "rows", "loses"), "join-odd")
+    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("_odd_id"))
+    single = docs.join(odd.select("_odd_id"), same, "left_anti")
+    repeated = docs.join(odd.where("NOT loses").select("_odd_id"), same, "left_semi").dropDuplicates([doc_id, text])
+    return single.union(repeated)

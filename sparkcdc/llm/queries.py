@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkcdc.llm import bpe, mixing, ngram_join, secret_scan
+from sparkcdc.llm import bpe, langid, mixing, ngram_join, secret_scan
 from sparkcdc.llm.common import documents, sha256
 
 #: The tokenizer file every executor has; a parameter of the operators.
@@ -100,3 +100,11 @@ def op1_bpe_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def op7_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     """The component of near-equal texts every document belongs to."""
     return ngram_join.join_components(documents(spark, folder))
+
+
+@query("op10_language_id")
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The predicted language of every document, by a model of the rows that are not held out."""
+    docs = documents(spark, folder).select("doc_id", "text", "lang")
+    found = langid.identify(docs.drop("lang"), langid.train(docs))
+    return found.select("doc_id", (langid.remainder(F.col("doc_id")) == 1).alias("held_out"), "lang_pred", "score")
