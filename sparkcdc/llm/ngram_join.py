@@ -8,7 +8,7 @@ join on (band, segment, bits) finds every link. What it finds is verified on the
 
 * Equal sets are one class; only classes are joined.
 * With 2q segments more than needed each set may leave out q segments of its choice, and leaves out
-  those with the fewest bits, which chance would match.
+  those with the fewest flips, which chance would match.
 * A segment shared by many sets is never expanded into all pairs. One set of each segment, the hub, is
   compared with the others; what is linked becomes one component, and only sets of different
   components are compared further, with hubs from the rarest components and twice as many each round.
@@ -114,17 +114,22 @@ class Bands:
     def signatures(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(signature, 1 where the band is the set's own) of each segment that is not left out."""
         out, own = [], []
-        high, bit = hashes >> np.uint64(32), np.uint64(1) << (hashes & np.uint64(63))
+        # A segment has 2**32 bits; which of them are set is held as the XOR of a hash of each flip, so that
+        # two flips of one bit cancel as they do in the sketch.
+        high, flip = hashes >> np.uint64(32), mixed((hashes & np.uint64(0xFFFFFFFF)) * _M1 + _M2)
         for place, band in enumerate(self.places(len(hashes))):
             count, spare = self.segments(band)
             # Hashes are sorted, so their segments are too.
             segment = (high * np.uint64(count)) >> np.uint64(32)
             starts = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
             bits = np.zeros(count, np.uint64)
-            bits[segment[starts].astype(np.int64)] = np.bitwise_xor.reduceat(bit, starts)
+            filled = segment[starts].astype(np.int64)
+            bits[filled] = np.bitwise_xor.reduceat(flip, starts)
             names = np.arange(count, dtype=np.uint64)
             if spare:
-                kept = np.argsort(np.bitwise_count(bits), kind="stable")[spare:]
+                load = np.zeros(count, np.int64)
+                load[filled] = np.diff(starts, append=len(hashes))
+                kept = np.argsort(load, kind="stable")[spare:]
                 names, bits = names[kept], bits[kept]
             out.append(mixed(mixed(bits + _M1) ^ mixed((names << np.uint64(16)) + np.uint64(band))))
             own.append(np.full(len(names), 1 if place == 0 else 0, np.int64))
