@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkcdc.llm import bpe, chat, langid, mixing, ngram_join, secret_scan
+from sparkcdc.llm import bpe, chat, fingerprint, langid, mixing, ngram_join, secret_scan
 from sparkcdc.llm.common import documents, sha256, written
 
 #: The tokenizer file every executor has; a parameter of the operators.
@@ -143,3 +143,9 @@ def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     extra = spark.createDataFrame([(-7, 0, "user", hostile), (-7, 1, "assistant", hostile)], given.schema)
     nodes = written(chat.numbered_turns(given.union(extra), "conv_id", "turn", "role", "text"), "chat-nodes")
     return chat.digests(chat.formatted(chat.ranked_paths(nodes)))
+
+
+@query("op5_fingerprints")
+def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and how alike they are."""
+    return fingerprint.compared(documents(spark, folder))
