@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkcdc.llm import bpe, chat, fingerprint, langid, mixing, ngram_join, secret_scan
+from sparkcdc.llm import bpe, chat, fingerprint, langid, mixing, ngram_join, secret_scan, url_filter
 from sparkcdc.llm.common import documents, sha256, written
 
 #: The tokenizer file every executor has; a parameter of the operators.
@@ -149,3 +149,37 @@ def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of every document and its edited text, and how alike they are."""
     return fingerprint.compared(documents(spark, folder))
+
+
+def _term_sql(term: str) -> str:
+    return f"regexp_matches(shown, '(^|[^a-z0-9]){term}([^a-z0-9]|$)')"
+
+
+_SOFT_SQL = " + ".join(f"{w} * CAST({_term_sql(t)} AS INTEGER)" for t, w in url_filter.SOFT.items())
+_RULES_SQL = " ".join(
+    f"WHEN (host = '{h}' OR suffix(host, '.{h}')) AND starts_with(path, '{p}') THEN '{h}{p}|{v}'"
+    for v, h, p in sorted(url_filter.RULES, key=lambda r: -len(r[1] + r[2]))
+)
+
+
+@query(
+    "op6_url_filter",
+    f"""
+    WITH parts AS (
+        SELECT page_id, translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS shown,
+               translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+               coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+        FROM pages
+    ), ruled AS (
+        SELECT *, CASE {_RULES_SQL} END AS fit, {_SOFT_SQL} AS weight, {" OR ".join(_term_sql(t) for t in url_filter.STRICT)} AS strict
+        FROM parts
+    )
+    SELECT page_id, host, path, split_part(fit, '|', 1) AS rule,
+           coalesce(split_part(fit, '|', 2), CASE WHEN strict OR weight >= {url_filter.THRESHOLD} THEN 'block' ELSE 'allow' END) AS verdict
+    FROM ruled
+    """,
+)
+def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """The verdict on every page's URL."""
+    pages = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url")
+    return url_filter.judged(pages).select("page_id", "host", "path", "rule", "verdict")
