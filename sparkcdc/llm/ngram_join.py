@@ -7,11 +7,13 @@ sketch is cut into more segments than D: two sets that link agree on some segmen
 join on (band, segment, bits) finds every link. What it finds is verified on the sets.
 
 * Equal sets are one class; only classes are joined.
-* With 2q segments more than needed each set may leave out q segments of its choice, and leaves out
-  those with the fewest flips, which chance would match.
+* There are some segments more than needed, so each set may leave out a few, the more the smaller it is
+  within its band. It leaves out those with the fewest flips, which chance would match.
+* A pair that agrees on a segment is dropped if whole sketches differ in more than D bits; only what is
+  left is verified, and only for these are the texts read again.
 * A segment shared by many sets is never expanded into all pairs. One set of each segment, the hub, is
   compared with the others; what is linked becomes one component, and only sets of different
-  components are compared further, with hubs from the rarest components and twice as many each round.
+  components are compared further, with hubs from the rarest components and more of them each round.
   A segment is done when all its sets were hubs or those left are of one component, so no link between
   components is missed, and no cap is needed.
 
@@ -40,8 +42,8 @@ _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np
 KNOWN_WORDS = 1 << 18
 #: Ratio of neighbouring size bands.
 BAND_RATIO = 1.3
-#: One in so many segments may be left out.
-SPARE = 20
+#: Segments a band has beyond those it needs, for each side: one in so many.
+SPARE = 12
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -83,6 +85,23 @@ def set_key(hashes: np.ndarray) -> int:
     return value - 2**64 if value >= 2**63 else value
 
 
+def sketch(hashes: np.ndarray) -> bytes:
+    """Parities of the set in two to four bits an element, a power of two of them."""
+    bits = max(64, 1 << (2 * len(hashes) - 1).bit_length())
+    counts = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def sketch_distance(a: bytes, b: bytes) -> int:
+    """Bits in which two sketches differ, the longer one folded to the length of the other."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 class Bands:
     """Size bands and how many segments each needs. Sets link if den * both >= num * either."""
 
@@ -99,12 +118,19 @@ class Bands:
             self.lows.append(max(self.lows[-1] + 1, int(self.lows[-1] * self.ratio)))
         return int(np.searchsorted(self.lows, n, side="right")) - 1
 
-    def segments(self, band: int) -> tuple[int, int]:
-        """Number of segments of a band, and how many of them a set may leave out."""
+    def segments(self, band: int) -> int:
+        """Number of segments of a band."""
         top = self.lows[band + 1] - 1
         need = self.difference(top, top) + 1
-        spare = need // SPARE
-        return need + 2 * spare, spare
+        return need + 2 * (need // SPARE)
+
+    def spare(self, n: int, count: int) -> int:
+        """How many of ``count`` segments a set of size n may leave out.
+
+        With c = (den - num) / (den + num), sets of sizes a and b that link differ in c * (a + b) at most
+        and agree on the other segments. If each leaves out (count - 1) / 2 - c * n at most, one is left.
+        """
+        return max(0, ((count - 1) * (self.den + self.num) - 2 * n * (self.den - self.num)) // (2 * (self.den + self.num)))
 
     def places(self, n: int) -> list[int]:
         """The set's own band and those that a larger partner can be in."""
@@ -118,7 +144,8 @@ class Bands:
         # two flips of one bit cancel as they do in the sketch.
         high, flip = hashes >> np.uint64(32), mixed((hashes & np.uint64(0xFFFFFFFF)) * _M1 + _M2)
         for place, band in enumerate(self.places(len(hashes))):
-            count, spare = self.segments(band)
+            count = self.segments(band)
+            spare = self.spare(len(hashes), count)
             # Hashes are sorted, so their segments are too.
             segment = (high * np.uint64(count)) >> np.uint64(32)
             starts = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
@@ -150,15 +177,19 @@ def _mapped(docs: DataFrame, fn, schema: T.StructType) -> DataFrame:
 
 
 def shingle_classes(docs: DataFrame, width: int) -> DataFrame:
-    """``id``, ``n`` (set size) and ``key`` (identity of the set, null if it is empty) of every row."""
+    """``id``, ``n`` (set size), ``key`` (identity of the set) and ``sketch`` of every row, the last two
+    null if the set is empty."""
 
     def fn(state, columns, texts):
         shingler = state.setdefault("s", Shingler(width))
         sets = [shingler.hashes(t) for t in texts]
         keys = [set_key(s) if len(s) else None for s in sets]
-        return [columns[0], pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64())]
+        bits = [sketch(s) if len(s) else None for s in sets]
+        return [columns[0], pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64()), pa.array(bits, pa.binary())]
 
-    schema = T.StructType([docs.schema["id"], T.StructField("n", T.LongType()), T.StructField("key", T.LongType())])
+    schema = T.StructType(
+        [docs.schema["id"], T.StructField("n", T.LongType()), T.StructField("key", T.LongType()), T.StructField("sketch", T.BinaryType())]
+    )
     return _mapped(docs.select("id", "text"), fn, schema)
 
 
@@ -229,6 +260,24 @@ def shingle_sets(docs: DataFrame, classes: DataFrame, keys: DataFrame, width: in
     return _mapped(texts, fn, schema).where("key = own").groupBy("key").agg(F.first("hashes").alias("hashes"))
 
 
+def plausible(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs whose sizes and sketches allow a link; other columns stay."""
+    bands = Bands(num, den)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = batch.column("x"), batch.column("y")
+            most = (batch.column("na").to_numpy() + batch.column("nb").to_numpy()) * (bands.den - bands.num) // (bands.den + bands.num)
+            kept = [sketch_distance(p.as_py(), q.as_py()) <= m for p, q, m in zip(x, y, most.tolist())]
+            rest = batch.select([f for f in batch.schema.names if f not in ("x", "y", "na", "nb")])
+            yield rest.filter(pa.array(kept, pa.bool_()))
+
+    left = sketches.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x"))
+    right = sketches.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y"))
+    sized = pairs.join(left, "a").join(right, "b").where(F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
+    return sized.select(*pairs.columns, "x", "y", "na", "nb").mapInArrow(run, pairs.schema)
+
+
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose sets link."""
     left = sets.select(F.col("key").alias("a"), F.col("hashes").alias("x"))
@@ -266,36 +315,61 @@ def _ordered(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def links(segments: DataFrame, sets: DataFrame, num: int, den: int) -> tuple[DataFrame | None, DataFrame | None]:
-    """Verified links that connect all that links connect, and the components they make."""
-    hubs = segments.groupBy("sig").agg(F.min("key").alias("hub"))
-    stars = segments.join(hubs, "sig").where("key <> hub").groupBy("key", "hub").agg(F.count("*").alias("n"))
+class Sets:
+    """Shingle sets of the classes asked for so far, read from the documents when they are first needed."""
+
+    def __init__(self, docs: DataFrame, classes: DataFrame, width: int):
+        self.docs, self.classes, self.width = docs, classes, width
+        self.parts: DataFrame | None = None
+
+    def of(self, pairs: DataFrame) -> DataFrame:
+        keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+        if self.parts is not None:
+            keys = keys.join(self.parts.select("key"), "key", "left_anti")
+        new = written(shingle_sets(self.docs, self.classes, keys, self.width), "join-sets")
+        self.parts = new if self.parts is None else self.parts.union(new)
+        return self.parts
+
+
+def links(segments: DataFrame, sketches: DataFrame, sets: Sets, num: int, den: int) -> DataFrame | None:
+    """The components (key, comp) that links make, of the keys that have links; None without links."""
+    found: DataFrame | None = None
+    labels: DataFrame | None = None
+
+    def verify(pairs: DataFrame) -> None:
+        nonlocal found, labels
+        if pairs.isEmpty():
+            return
+        more = written(verified(pairs, sets.of(pairs), num, den), "join-links")
+        if not more.isEmpty():
+            found = more if found is None else found.union(more)
+            labels = components(found)
+
+    hubs = segments.groupBy("sig").agg(F.min("key").alias("b"))
+    stars = segments.withColumnRenamed("key", "a").join(hubs, "sig").where("a <> b").groupBy("a", "b").agg(F.count("*").alias("n"))
+    likely = written(plausible(stars, sketches, num, den), "join-pairs")
     # First each class with the one hub it shares most with; that settles nearly all.
-    best = stars.groupBy("key").agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("hub"))
-    pairs = written(best.select(*_ordered(F.col("key"), F.col("hub"))).distinct(), "join-pairs")
-    found = written(verified(pairs, sets, num, den), "join-links")
-    labels = None if found.isEmpty() else components(found)
-    width = 1
+    best = likely.groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b"))
+    checked = written(best.select(*_ordered(F.col("a"), F.col("b"))).distinct(), "join-pairs")
+    verify(checked)
+    width = 4
     while True:
         placed = _labelled(segments, labels)
         mixed_ = placed.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
         open_ = written(placed.join(mixed_.select("sig"), "sig", "left_semi").select("sig", "key", "comp"), "join-open")
         if open_.isEmpty():
-            return (None if labels is None else found), labels
+            return labels
         rare = open_.groupBy("sig", "comp").agg(F.count("*").alias("n"))
         order = F.row_number().over(_per_segment())
         hubs = open_.join(rare, ["sig", "comp"]).withColumn("place", order).where(F.col("place") <= width)
         hubs = written(hubs.select("sig", F.col("key").alias("hub"), F.col("comp").alias("hub_comp")), "join-hubs")
         star = open_.join(hubs, "sig").where("comp <> hub_comp")
-        fresh = star.select(*_ordered(F.col("key"), F.col("hub"))).distinct().join(pairs, ["a", "b"], "left_anti")
-        fresh = written(fresh, "join-pairs")
-        pairs = pairs.union(fresh)
-        more = written(verified(fresh, sets, num, den), "join-links")
-        if not more.isEmpty():
-            found = found.union(more)
-            labels = components(found)
+        fresh = star.select(*_ordered(F.col("key"), F.col("hub"))).distinct().join(checked, ["a", "b"], "left_anti")
+        fresh = written(plausible(fresh, sketches, num, den), "join-pairs")
+        checked = checked.union(fresh)
+        verify(fresh)
         segments = open_.join(hubs.select("sig", F.col("hub").alias("key")), ["sig", "key"], "left_anti").select("sig", "key")
-        width *= 2
+        width *= 4
 
 
 def _per_segment():
@@ -309,8 +383,9 @@ def join_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     rows = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
     classes = written(shingle_classes(rows, width), "join-classes")
     segments = written(shared_segments(signatures(rows, width, num, den)), "join-segments")
-    sets = written(shingle_sets(rows, classes, segments.select("key").distinct(), width), "join-sets")
-    _, labels = links(segments, sets, num, den)
+    known = classes.join(segments.select("key").distinct(), "key", "left_semi")
+    sketches = written(known.groupBy("key").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")), "join-sketches")
+    labels = links(segments, sketches, Sets(rows, classes, width), num, den)
     least = classes.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"))
     placed = written(_labelled(least, labels), "join-placed")
     lowest = placed.groupBy("comp").agg(F.min("id").alias("component_id"))
