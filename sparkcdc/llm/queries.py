@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkcdc.llm import bpe, chat, fingerprint, langid, mixing, ngram_join, secret_scan, url_filter
+from sparkcdc.llm import bpe, chat, fingerprint, langid, mixing, ngram_join, packing, secret_scan, url_filter
 from sparkcdc.llm.common import documents, sha256, written
 
 #: The tokenizer file every executor has; a parameter of the operators.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: The same vocabulary as ranks, for a library that packing takes its ids from.
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -183,3 +185,9 @@ def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """The verdict on every page's URL."""
     pages = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url")
     return url_filter.judged(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op2_pack")
+def op2_pack(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's tokens in packed rows."""
+    return packing.pack_texts(documents(spark, folder), RANKS, public_tokenizers.PATTERN)
