@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkcdc.llm import bpe, chat, fingerprint, langid, mixing, ngram_join, packing, secret_scan, url_filter
+from sparkcdc.llm import bpe, chat, fingerprint, hamming, langid, mixing, ngram_join, packing, secret_scan, url_filter
 from sparkcdc.llm.common import documents, sha256, written
 
 #: The tokenizer file every executor has; a parameter of the operators.
@@ -191,3 +191,11 @@ def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 def op2_pack(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's tokens in packed rows."""
     return packing.pack_texts(documents(spark, folder), RANKS, public_tokenizers.PATTERN)
+
+
+@query("op3_hamming_top_k")
+def op3_hamming_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten rows nearest to each row whose id is divisible by 20, among all rows, by their sign codes."""
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    found = hamming.top_k(hamming.sign_codes(vectors, "vec_id", "embedding"), F.col("id") % 20 == 0)
+    return found.withColumnRenamed("id", "vec_id")
