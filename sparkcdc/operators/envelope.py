@@ -204,8 +204,9 @@ def cdc_record(decoded: DataFrame, epoch: Column, ev_id: str = "ev_id") -> DataF
     """The version-1 record of a decoded change as a struct; images stay exact JSON text."""
     operation = F.col("op")
     numbers = F.when(operation == "INSERT", 1).when(operation == "UPDATE", 2).when(operation == "DELETE", 3)
+    known = F.when(F.col(ev_id) < 1, F.raise_error(F.lit("invalid source record")).cast("bigint")).otherwise(F.col(ev_id).cast("bigint"))
     change = F.struct(
-        F.concat(epoch, F.lit(":"), F.col(ev_id).cast("string")).alias("event_id"),
+        known.alias("event_id"),
         F.col("schema_name").alias("schema"),
         F.col("table_name").alias("table"),
         numbers.alias("operation"),
@@ -290,12 +291,14 @@ def record_size(key: Column, value: Column, headers: Column | None = None) -> Co
 def chunk_records(records: DataFrame, by: Sequence[str], batch: int, batch_bytes: int, size: str = "size") -> DataFrame:
     """Adds ``chunk``: records in id order, a new chunk when the open one holds ``batch`` records or
     would pass ``batch_bytes``. A record over the wire limit is an error, never cut."""
+    rows = records.withColumn("_one", F.lit(1).cast("bigint"))
+    limits = [Measure("_one", batch, running=True), Measure(size, batch_bytes, running=True)]
+    cut = greedy_cuts(rows, by, "ev_id", limits, "chunk").drop("_one", "chunk_start")
+    # Once, on the result: the cutting reads its input more than once.
     checked = F.when(
         F.col(size) > MAX_RECORD_BYTES, F.raise_error(F.lit("encoded record exceeds the byte limit")).cast("bigint")
-    ).otherwise(F.col(size))
-    rows = records.withColumn(size, checked).withColumn("_one", F.lit(1).cast("bigint"))
-    limits = [Measure("_one", batch, running=True), Measure(size, batch_bytes, running=True)]
-    return greedy_cuts(rows, by, "ev_id", limits, "chunk").drop("_one", "chunk_start")
+    ).otherwise(F.col("chunk"))
+    return cut.withColumn("chunk", checked)
 
 
 def partition_for(key: Column, partitions: int) -> Column:

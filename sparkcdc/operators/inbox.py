@@ -43,7 +43,10 @@ def inbox_conflicts(log: DataFrame, receipts: DataFrame) -> DataFrame:
 def require_no_conflicts(effects: DataFrame, conflicts: DataFrame) -> DataFrame:
     """Fail closed when any id carries two contents, also when nothing is left to apply: every
     conflict becomes a row whose evaluation stops the job."""
-    stop = conflicts.select(F.raise_error(F.lit("delivery id reused for different content")).cast("string").alias("id"))
+    # Tied to the conflict itself: a filter that a caller adds cannot run the error for other rows.
+    text = F.concat(F.lit("delivery id reused for different content: "), F.coalesce(F.col("id").cast("string"), F.lit("null")))
+    differs = F.col("in_log") | F.coalesce("against_receipt", F.lit(False))
+    stop = conflicts.select(F.when(differs, F.raise_error(text).cast("string")).alias("id"))
     return effects.unionByName(stop, allowMissingColumns=True)
 
 

@@ -129,13 +129,16 @@ def rotation_plan_q(spark, folder):
 
 @query(
     "expired_ticks",
-    f"WITH {PLAN} SELECT tick_id, xmin FROM ticks WHERE xmin < (SELECT max(expire_below) FROM plan WHERE expire_below > 1000)",
+    f"""WITH {PLAN} SELECT plan.queue, tick_id, xmin FROM ticks CROSS JOIN range(16) r(j)
+    JOIN plan ON plan.queue = 's' || ((tick_id + j) % (SELECT count(*) FROM supplier)) WHERE xmin < expire_below""",
     uses="subs ticks queues",
 )
 def expired_ticks_q(spark, folder):
-    plan = rotation(spark, folder).where(F.col("expire_below") > 1000)
-    latest = plan.agg(F.max("expire_below").alias("expire_below"))
-    return eventlog.expired_ticks(fx.ticks(spark, folder), latest, tick_by=()).select("tick_id", "xmin")
+    suppliers = fx.table(spark, folder, "supplier").agg(F.count("*")).scalar()
+    # Every tick belongs to the logs of sixteen queues.
+    shared = fx.ticks(spark, folder).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(15))))
+    own = shared.withColumn("queue", F.concat(F.lit("s"), F.pmod(F.col("tick_id") + F.col("j"), suppliers).cast("string")))
+    return eventlog.expired_ticks(own, rotation(spark, folder)).select("queue", "tick_id", "xmin")
 
 
 @query(

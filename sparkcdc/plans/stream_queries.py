@@ -99,7 +99,9 @@ def multi_stream_q(spark, folder):
 
         return start
 
-    relay.run_streams({f"s{n}": starter(n) for n in range(3)})
+    states = relay.run_streams({f"s{n}": starter(n) for n in range(3)})
+    if set(states.values()) != {"done"}:
+        raise RuntimeError(f"streams ended as {states}")
     logs = [relay.read_fenced(spark, f"{place}/{n}/log") for n in range(3)]
     both = logs[0].unionByName(logs[1]).unionByName(logs[2])
     return both.groupBy("topic").agg(F.count("*").alias("n"), F.min("ev_id").alias("first_id"), F.max("ev_id").alias("last_id"))

@@ -68,10 +68,3 @@ def stored(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Redistribute an input that comes in fewer pieces than there are cores, ahead of work that is
-    heavy per row. A large input comes in more pieces and is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)

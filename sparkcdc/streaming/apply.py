@@ -22,22 +22,28 @@ def inbox_stream(
 ) -> StreamingQuery:
     """Apply each delivery id of ``source(id, offset, key, value)`` once, for ever.
 
-    One directory per batch holds the effects, and its ids and digests are the receipts, so the two
-    cannot come apart; a replayed batch overwrites its own directory and ignores it while
-    deduplicating. An id that comes back with other content stops the stream.
+    Each batch has a directory of effects and, under ``_receipts``, one of the ids and digests it saw first,
+    whatever ``effect`` makes of the rows. A replayed batch overwrites its own two and ignores them while
+    deduplicating. Of the earlier receipts only those with an id of the batch are kept before anything is
+    joined. An id that comes back with other content stops the stream before anything is written.
     """
-    schema = inbox.with_digest(source).schema
+    ids = inbox.with_digest(source).select("id", "digest").schema
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         log = inbox.with_digest(batch)
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        store = f"{path}/_receipts"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ids.fields)
         # The first batch finds an empty store to read.
-        spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/batch_id=-1")
-        receipts = read_effects(spark, path, columns, before=batch_id).select("id", "digest")
-        conflicts = inbox.inbox_conflicts(log, receipts)
-        effects = inbox.require_no_conflicts(inbox.apply_inbox(log, receipts), conflicts)
-        effects = effects if effect is None else effect(effects)
+        spark.createDataFrame([], ids).write.mode("ignore").parquet(f"{store}/batch_id=-1")
+        earlier = read_effects(spark, store, columns, before=batch_id).select("id", "digest")
+        receipts = earlier.join(log.select("id").distinct(), "id", "left_semi")
+        conflict = inbox.inbox_conflicts(log, receipts).select("id").first()
+        if conflict is not None:
+            raise ValueError(f"delivery id {conflict['id']} reused for different content")
+        first = inbox.apply_inbox(log, receipts)
+        first.select("id", "digest").write.mode("overwrite").parquet(f"{store}/batch_id={batch_id}")
+        effects = first if effect is None else effect(first)
         effects.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return source.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

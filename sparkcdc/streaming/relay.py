@@ -14,19 +14,18 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sparkcdc.functions.codecs import utf8
 from sparkcdc.operators import envelope, outbox
-from sparkcdc.session import spread
 
 RECORD_DDL = "topic string, key binary, value binary, headers array<struct<key:string,value:binary>>, ev_id bigint"
 
 # Restart pauses of a failing stream and how many streams one process takes.
 FIRST_PAUSE_S, LAST_PAUSE_S = 1, 5
+POLL_S = 0.2
 MAX_STREAMS = 32
 
 
@@ -119,7 +118,7 @@ def relay_stream(
     and the query ends."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        publish(sized(encode(spread(batch, "ev_id"))), batch_id)
+        publish(sized(encode(batch)), batch_id)
 
     writer = source.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     if name:
@@ -128,38 +127,52 @@ def relay_stream(
     return writer.start()
 
 
-def run_streams(starters: dict[str, Callable[[], StreamingQuery]], attempts: int = 3, pause=time.sleep) -> dict[str, str]:
-    """Run independent streams to their end. One that fails does not stop the others and does not move
-    its source; it is restarted from its checkpoint after 1 s, doubling up to 5 s. Returns the last
-    state per stream: ``done`` or the error class."""
+def run_streams(starters: dict[str, Callable[[], StreamingQuery]], pause=time.sleep, clock=time.monotonic, stop: Callable[[], bool] = lambda: False) -> dict[str, str]:
+    """Run independent streams until each has ended by itself or ``stop()`` says so.
+
+    One that fails does not stop the others and does not move its source: it is restarted from its
+    checkpoint after its own pause, 1 s at first and doubling up to 5 s, as often as it takes. A run that
+    lasted longer than the longest pause counts as healthy and starts the pauses anew. Returns the last state
+    per stream: ``done``, ``stopped``, or the class of the error it was waiting to recover from.
+    """
     if not starters or len(starters) > MAX_STREAMS:
         raise ValueError(f"between 1 and {MAX_STREAMS} streams")
     running = {name: start() for name, start in starters.items()}
+    began = dict.fromkeys(running, clock())
+    waits = dict.fromkeys(running, FIRST_PAUSE_S)
+    due: dict[str, float] = {}
     state: dict[str, str] = {}
-    wait = FIRST_PAUSE_S
-    for attempt in range(attempts):
-        failed = []
-        for name, query in running.items():
-            try:
-                query.awaitTermination()
-                state[name] = "done"
-            except PySparkException as error:
-                state[name] = type(error).__name__
-                failed.append(name)
-        if not failed or attempt == attempts - 1:
+    while running or due:
+        if stop():
+            for name, query in running.items():
+                query.stop()
+                state[name] = "stopped"
             break
-        pause(wait)
-        wait = min(wait * 2, LAST_PAUSE_S)
-        running = {name: starters[name]() for name in failed}
+        for name in [n for n, at in due.items() if at <= clock()]:
+            del due[name]
+            running[name], began[name] = starters[name](), clock()
+        for name, query in list(running.items()):
+            if query.isActive:
+                continue
+            del running[name]
+            error = query.exception()
+            if error is None:
+                state[name] = "done"
+                continue
+            state[name] = type(error).__name__
+            if clock() - began[name] > LAST_PAUSE_S:
+                waits[name] = FIRST_PAUSE_S
+            due[name] = clock() + waits[name]
+            waits[name] = min(waits[name] * 2, LAST_PAUSE_S)
+        pause(POLL_S)
     return state
 
 
 def replay_check(log: DataFrame) -> DataFrame:
     """Ids delivered more than once, with how many different contents (key, value, headers) they had."""
-    headers = F.array_join(
-        F.transform("headers", lambda h: F.concat(h["key"], F.lit("="), F.coalesce(F.hex(h["value"]), F.lit("-")))), ","
-    )
-    content = F.sha2(F.concat_ws("|", F.hex("key"), F.hex("value"), headers), 256)
+    headers = F.transform("headers", lambda h: F.struct(h["key"].alias("k"), F.hex(h["value"]).alias("v")))
+    whole = F.struct(F.hex("key").alias("key"), F.hex("value").alias("value"), headers.alias("headers"))
+    content = F.sha2(F.to_json(whole, {"ignoreNullFields": "false"}), 256)
     per_content = log.groupBy("id", content.alias("_c")).agg(F.count("*").alias("_n"))
     both = per_content.groupBy("id").agg(F.sum("_n").alias("copies"), F.count("*").alias("contents"))
     return both.where(F.col("copies") > 1)

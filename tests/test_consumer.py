@@ -137,6 +137,27 @@ def test_inbox_stream_over_several_batches(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
 
 
+def test_inbox_stream_keeps_receipts_of_rows_an_effect_drops(spark, tmp_path):
+    from sparkcdc.streaming.apply import inbox_stream
+
+    ddl = "id string, offset bigint, key binary, value binary"
+
+    def feed(rows, effect):
+        spark.createDataFrame([(i, o, bytearray(k), bytearray(v)) for i, o, k, v in rows], ddl).write.mode("append").parquet(str(tmp_path / "in"))
+        source = spark.readStream.schema(ddl).parquet(str(tmp_path / "in"))
+        inbox_stream(source, str(tmp_path / "out"), str(tmp_path / "cp"), effect).awaitTermination()
+
+    def dropping(df):
+        return df.where("id <> 'a'")
+
+    feed([("a", 1, b"k", b"1"), ("b", 2, b"k", b"2")], dropping)
+    feed([("a", 3, b"k", b"1"), ("c", 4, b"k", b"3")], lambda df: df.select("id", "value"))
+    assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["b", "c"]
+    with pytest.raises(PySparkException):
+        feed([("c", 5, b"k", b"other")], dropping)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
 def test_materialize_moves_and_deletes(spark):
     ddl = "ev_id bigint, op string, old struct<id:bigint,v:string>, new struct<id:bigint,v:string>"
     rows = [

@@ -1,5 +1,7 @@
 """Streaming delivery under failure."""
 
+import time
+
 import pytest
 from pyspark.errors import PySparkException
 
@@ -81,16 +83,24 @@ def test_a_failing_stream_does_not_stop_the_others(spark, tmp_path):
     good, bad = tmp_path / "good", tmp_path / "bad"
     put(spark, good / "in", [(1, change(1))])
     put(spark, bad / "in", [(1, "{")])
-    pauses = []
+    starts, now = [], [0.0]
+
+    def failing():
+        starts.append(now[0])
+        return start(spark, bad, relay.fenced_sink(str(bad / "log")))
+
+    def pause(seconds):
+        time.sleep(seconds)
+        if not any(q.isActive for q in spark.streams.active):
+            now[0] += 1.0
+
     state = relay.run_streams(
-        {
-            "good": lambda: start(spark, good, relay.fenced_sink(str(good / "log"))),
-            "bad": lambda: start(spark, bad, relay.fenced_sink(str(bad / "log"))),
-        },
-        attempts=3,
-        pause=pauses.append,
-    )
-    assert state["good"] == "done" and state["bad"] != "done" and pauses == [1, 2]
+        {"good": lambda: start(spark, good, relay.fenced_sink(str(good / "log"))), "bad": failing},
+        pause=pause, clock=lambda: now[0], stop=lambda: len(starts) == 5,
+    )
+    assert state["good"] == "done" and state["bad"] != "done"
+    # 1, 2, 4, 5 s: each start is later than the one before by its own pause at least.
+    assert all(b - a >= w for a, b, w in zip(starts, starts[1:], (1, 2, 4, 5)))
     assert relay.read_fenced(spark, str(good / "log")).count() == 1
 
 
