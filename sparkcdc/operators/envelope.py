@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkcdc.functions import codecs, jsonx
-from sparkcdc.functions.text import json_quote
+from sparkcdc.functions.text import json_quote_exact
 from sparkcdc.operators.capture import MAX_CHANGE_BYTES
 from sparkcdc.operators.segments import Measure, greedy_cuts
 
@@ -97,8 +97,8 @@ def legacy_envelope(epoch: Column, ev_id: Column, payload: Column) -> Column:
     """JSON envelope with the payload text unchanged inside it."""
     good = F.when(ev_id < 1, F.raise_error(F.lit("invalid source record")).cast("string")).otherwise(ev_id.cast("string"))
     return F.concat(
-        F.lit('{"headers":{"ID":'), json_quote(F.concat(epoch, F.lit(":"), good)), F.lit(',"PARTITION_ID":'), json_quote(epoch),
-        F.lit('},"payload":'), json_quote(payload), F.lit("}"),
+        F.lit('{"headers":{"ID":'), json_quote_exact(F.concat(epoch, F.lit(":"), good)), F.lit(',"PARTITION_ID":'), json_quote_exact(epoch),
+        F.lit('},"payload":'), json_quote_exact(payload), F.lit("}"),
     )
 
 

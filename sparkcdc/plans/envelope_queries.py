@@ -108,13 +108,23 @@ def poison_batches_q(spark, folder):
     return envelope.poison_batches(rows, ["b"])
 
 
+#: Every character that the envelope escapes, in the order in which the text may be rewritten.
+_ESCAPED = "d"
+for _code, _form in ((92, "\\\\"), (34, '\\"'), *((c, f"\\u{c:04x}") for c in (11, 26, 31, 38, 60, 62, 8232, 8233))):
+    _ESCAPED = f"replace({_ESCAPED}, chr({_code}), '{_form}')"
+
+
 @query(
     "legacy_envelope",
-    """SELECT ev_id, '{"headers":{"ID":"ep-1:' || ev_id || '","PARTITION_ID":"ep-1"},"payload":"' || replace(ev_data, '"', '\\"') || '"}' AS value FROM ev""",
+    f"""WITH odd AS (SELECT ev_id, ev_data || CASE ev_id % 4 WHEN 0 THEN '' WHEN 1 THEN '<a&b>' WHEN 2 THEN chr(8232) || chr(8233) || chr(31) || chr(31) || chr(11)
+      ELSE chr(92) || 'u001F' || chr(92) || chr(26) END AS d FROM ev)
+    SELECT ev_id, '{{"headers":{{"ID":"ep-1:' || ev_id || '","PARTITION_ID":"ep-1"}},"payload":"' || {_ESCAPED} || '"}}' AS value FROM odd""",
     uses="ev",
 )
 def legacy_envelope_q(spark, folder):
-    value = envelope.legacy_envelope(F.lit("ep-1"), F.col("ev_id"), F.col("ev_data"))
+    k = F.col("ev_id") % 4
+    odd = F.when(k == 0, "").when(k == 1, "<a&b>").when(k == 2, "\u2028\u2029\x1f\x1f\x0b").otherwise("\\u001F\\\x1a")
+    value = envelope.legacy_envelope(F.lit("ep-1"), F.col("ev_id"), F.concat("ev_data", odd))
     return fx.events(spark, folder).select("ev_id", value.alias("value"))
 
 
@@ -270,7 +280,18 @@ def chunk_records_q(spark, folder):
     return envelope.chunk_records(rows, ["batch_tick"], 20, 700)
 
 
-@query("key_partition")
+@query(
+    "key_partition",
+    """WITH k AS (SELECT user_id, count(*) AS n, [CAST(ascii(c) AS BIGINT) FOR c IN string_split('user-' || user_id, '')] AS b FROM events GROUP BY user_id),
+    w AS (SELECT *, len(b) AS size, len(b) // 4 AS words FROM k),
+    x AS (SELECT *, [((b[4 * i + 1] | (b[4 * i + 2] << 8) | (b[4 * i + 3] << 16) | (b[4 * i + 4] << 24)) * 1540483477) & 4294967295 FOR i IN range(words)] AS raw FROM w),
+    y AS (SELECT *, list_reduce(list_prepend(xor(2538058380, CAST(size AS BIGINT)), [(xor(r, r >> 24) * 1540483477) & 4294967295 FOR r IN raw]),
+      lambda h, r: xor((h * 1540483477) & 4294967295, r)) AS h FROM x),
+    z AS (SELECT *, CASE WHEN size % 4 = 0 THEN h ELSE (xor(h, coalesce(b[4 * words + 1], 0) | (coalesce(b[4 * words + 2], 0) << 8) | (coalesce(b[4 * words + 3], 0) << 16))
+      * 1540483477) & 4294967295 END AS t FROM y),
+    f AS (SELECT *, (xor(t, t >> 13) * 1540483477) & 4294967295 AS u FROM z)
+    SELECT user_id, CAST((xor(u, u >> 15) & 2147483647) % 12 AS INTEGER) AS "partition", n FROM f""",
+)
 def key_partition_q(spark, folder):
     key = codecs.utf8(F.concat(F.lit("user-"), F.col("user_id").cast("string")))
     keyed = fx.table(spark, folder, "events").select("user_id", envelope.partition_for(key, 12).alias("partition"))
