@@ -37,6 +37,7 @@ KNOWN_WORDS = 1 << 18
 _SENTENCE = re.compile(r"[.!?\n]+")
 _WORD = re.compile(r"[^\W\d_]+")
 _CHAIN = 32
+_SHARES = 1 << 31
 _SALT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -244,9 +245,13 @@ def train(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang:
     """
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     usable = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("id").isNotNull() & (remainder(F.col("id")) != 1))
-    # A rank limit that Spark applies before the shuffle: each task sends per_language rows a language at most.
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    picks = usable.select("id", "lang").withColumn("place", place).where(F.col("place") <= per_language).select("id", "lang").collect()
+    # Only hashes below a share that leaves some four times the bound are ranked, so a frequent language is
+    # no more work for its task than a rare one.
+    hashed = usable.select("id", "lang", F.pmod(F.xxhash64("id"), F.lit(_SHARES)).alias("share"))
+    counts = usable.groupBy("lang").agg(F.count("*").alias("rows"))
+    few = hashed.join(counts, "lang").where(F.col("share").cast("double") * F.col("rows") < 4 * per_language * _SHARES)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("share", "id"))
+    picks = few.withColumn("place", place).where(F.col("place") <= per_language).select("id", "lang").collect()
     if not picks:
         return Model([], np.zeros((1, 0)), np.zeros((0, 0)), np.zeros(0))
     sample = usable.where(F.col("id").isin(sorted({r["id"] for r in picks}))).limit(len(picks)).coalesce(1)
