@@ -11,10 +11,10 @@ join on (band, segment, bits) finds every link. What it finds is verified on the
   within its band. It leaves out those with the fewest flips, which chance would match.
 * A pair that agrees on a segment is dropped if whole sketches differ in more than D bits; only what is
   left is verified, and only for these are the texts read again.
-* A segment shared by many sets is never expanded into all pairs. One set of each segment, the hub, is
-  compared with the others; what is linked becomes one component, and only sets of different
-  components are compared further, with hubs from the rarest components and more of them each round.
-  A segment is done when all its sets were hubs or those left are of one component, so no link between
+* A segment shared by many sets is never expanded into all pairs. Each set is first verified against one of
+  its segments' hubs, and what is linked becomes one component. Sets of one segment but different
+  components are then compared by sketch, in blocks inside tasks, and only plausible pairs leave a task to
+  be verified: first those that would join components, then all that are still apart. So no link between
   components is missed, and no cap is needed.
 
 Nulls and ties: a null or empty text, or one of white space, has an empty set and links with nothing; a
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -352,28 +352,116 @@ def links(segments: DataFrame, sketches: DataFrame, sets: Sets, num: int, den: i
     best = likely.groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b"))
     checked = written(best.select(*_ordered(F.col("a"), F.col("b"))).distinct(), "join-pairs")
     verify(checked)
-    width = 4
-    while True:
+    for forest in (True, False):
+        # All pairs of different components in one segment are compared by sketch inside tasks. First the likeliest
+        # ones that would join components are verified, then whatever is plausible and still apart.
         placed = _labelled(segments, labels)
-        mixed_ = placed.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-        open_ = written(placed.join(mixed_.select("sig"), "sig", "left_semi").select("sig", "key", "comp"), "join-open")
+        apart = placed.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+        open_ = written(placed.join(apart.select("sig"), "sig", "left_semi").select("sig", "key", "comp"), "join-open")
         if open_.isEmpty():
             return labels
-        rare = open_.groupBy("sig", "comp").agg(F.count("*").alias("n"))
-        order = F.row_number().over(_per_segment())
-        hubs = open_.join(rare, ["sig", "comp"]).withColumn("place", order).where(F.col("place") <= width)
-        hubs = written(hubs.select("sig", F.col("key").alias("hub"), F.col("comp").alias("hub_comp")), "join-hubs")
-        star = open_.join(hubs, "sig").where("comp <> hub_comp")
-        fresh = star.select(*_ordered(F.col("key"), F.col("hub"))).distinct().join(checked, ["a", "b"], "left_anti")
-        fresh = written(plausible(fresh, sketches, num, den), "join-pairs")
+        fresh = plausible_in_segments(open_, sketches, num, den, forest).distinct().join(checked, ["a", "b"], "left_anti")
+        fresh = written(fresh, "join-pairs")
         checked = checked.union(fresh)
         verify(fresh)
-        segments = open_.join(hubs.select("sig", F.col("hub").alias("key")), ["sig", "key"], "left_anti").select("sig", "key")
-        width *= 4
+    return labels
+
+
+#: Classes of a segment that are compared together.
+BLOCK = 1024
+
+
+class _Forest:
+    """Which components plausible pairs have joined so far."""
+
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+
+    def joins(self, a: int, b: int) -> bool:
+        a, b = self.root(a), self.root(b)
+        self.parent[a] = b
+        return a != b
+
+    def root(self, x: int) -> int:
+        parent = self.parent
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[up]
+        return x
+
+
+def _cell_pairs(cell: dict[str, list], most, forest: bool) -> list[tuple[int, int]]:
+    """Plausible pairs of different components among the classes of a cell; across its two blocks if it has
+    two. With ``forest``, the nearest pairs that join what they leave apart."""
+    keys, comps, sizes, blocks = (np.array(cell[c], np.int64) for c in ("key", "comp", "n", "block"))
+    words = [np.frombuffer(x, np.uint64) for x in cell["sketch"]]
+    width = min(map(len, words))
+    # Bits of a longer sketch fold onto those of a shorter one.
+    rows = np.stack([np.bitwise_xor.reduce(w.reshape(-1, width), axis=0) for w in words])
+    across = blocks[0] != blocks[-1]
+    found = []
+    for i in range(len(keys) - 1):
+        others = slice(i + 1, None)
+        far = np.bitwise_count(rows[others] ^ rows[i]).sum(axis=1, dtype=np.int64)
+        near = (far <= most(sizes[others] + sizes[i])) & (comps[others] != comps[i])
+        if across:
+            near &= blocks[others] != blocks[i]
+        at = np.flatnonzero(near)
+        found += zip(far[at].tolist(), [i] * len(at), (at + i + 1).tolist())
+    if forest:
+        joined = _Forest()
+        found = [f for f in sorted(found) if joined.joins(int(comps[f[1]]), int(comps[f[2]]))]
+    return [tuple(sorted((int(keys[i]), int(keys[j])))) for _, i, j in found]
+
+
+def plausible_in_segments(rows: DataFrame, sketches: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
+    """(a, b) of the classes of one segment but different components whose sketches allow a link.
+
+    A segment's classes are dealt into blocks of about ``BLOCK``, and every two blocks meet in a cell, so a
+    task holds two blocks whatever the segment holds. Only plausible pairs leave it.
+    """
+    bands = Bands(num, den)
+    columns = ["sig", "i", "j", "key", "comp", "n", "block", "sketch"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def most(total):
+            return total * (bands.den - bands.num) // (bands.den + bands.num)
+
+        cell: dict[str, list] = {c: [] for c in columns[3:]}
+        at, out = None, []
 
+        def close() -> None:
+            if len(cell["key"]) > 1:
+                out.extend(_cell_pairs(cell, most, forest))
+            for values in cell.values():
+                values.clear()
 
-def _per_segment():
-    return Window.partitionBy("sig").orderBy("n", "comp", "key")
+        def flushed() -> pa.RecordBatch:
+            done = pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+            out.clear()
+            return done
+
+        for batch in batches:
+            heads = np.stack([batch.column(c).to_numpy() for c in columns[:3]], axis=1)
+            values = {c: batch.column(c).to_pylist() for c in columns[3:]}
+            cuts = np.flatnonzero((heads[1:] != heads[:-1]).any(axis=1)) + 1
+            for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(heads)]):
+                head = tuple(heads[start].tolist()) if end > start else at
+                if head != at:
+                    close()
+                    at = head
+                for c, part in values.items():
+                    cell[c] += part[start:end]
+            yield flushed()
+        close()
+        yield flushed()
+
+    sized = rows.join(rows.groupBy("sig").agg(F.count("*").alias("rows")), "sig")
+    blocks = F.ceil(F.col("rows") / BLOCK).cast("bigint")
+    placed = sized.select("sig", "key", "comp", blocks.alias("blocks"), F.pmod(F.xxhash64("key"), blocks).alias("block"))
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    cells = met.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).join(sketches, "key").select(columns)
+    dealt = cells.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j", "block", "key")
+    return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
 def join_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 4, num: int = 85,

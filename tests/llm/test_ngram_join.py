@@ -70,7 +70,9 @@ def test_against_all_pairs(spark, seed, options):
     assert got(spark, rows, **options) == brute(rows, **options)
 
 
-def test_one_large_group_at_the_border(spark):
+@pytest.mark.parametrize("block", [1024, 16])
+def test_one_large_group_at_the_border(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
     rng = random.Random(4)
     base = ["b%d" % i for i in range(200)]
     rows = []
