@@ -2,8 +2,8 @@
 
 Every word shingle is hashed once. The hash's high bits choose one of ``bins`` bins, a bin keeps the least
 hash that fell into it, and an empty bin takes the value of a bin that has one: optimal densification, in
-which every empty bin draws its donor from all filled ones by a hash of the two bins alone, so that two
-sets with the same filled bins draw alike. Of each value, hashed with its bin so that a donor does not repeat itself, the low ``bits`` bits are stored.
+which every empty bin probes bins in a hashed order of its own until it meets a filled one (after a few
+probes, the filled one with the least hash of the two bins), so that sets with the same filled bins draw alike. Of each value, hashed with its bin so that a donor does not repeat itself, the low ``bits`` bits are stored.
 Values that agree by chance, one in 2**bits, are taken out of the similarity.
 
 Nulls and ties: a null text is empty. A text without words has the fingerprint ``""``, like 1 to another such
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkcdc.llm.common import lower_ascii, sha256
+from sparkcdc.llm.common import sha256
 from sparkcdc.operators.ordered import running
 
 WIDTH = 5
@@ -24,23 +24,25 @@ BINS = 256
 BITS = 8
 #: Documents of neighbouring ids that are dealt together.
 NEIGHBOURS = 256
+#: Probes of an empty bin before all filled bins are looked at.
+PROBES = 6
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` for an array-valued ``use``, with the value computed once: it is named by a lambda."""
+    return F.flatten(F.transform(F.array(value), use))
 
 
 def shingle_hashes(text: Column, width: int = WIDTH) -> Column:
     """One 64-bit hash per word shingle, repeats included; an empty array without words."""
-    words = F.filter(F.split(lower_ascii(F.coalesce(text, F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    # Words are hashed once; a shingle combines its words' hashes.
-    hashed = F.transform(words, lambda w: F.xxhash64(w))
-
-    def shingle(i: Column, hashes: Column) -> Column:
-        return F.xxhash64(*[F.get(hashes, i + k) for k in range(width)])
+    words = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x20\x09-\x0D]+"), "")
 
-    def of(hashes: Column) -> Column:
-        places = F.sequence(F.lit(0), F.greatest(F.size(hashes) - width, F.lit(0)))
-        return F.when(F.size(hashes) > 0, F.transform(places, lambda i: shingle(i, hashes))).otherwise(F.array().cast("array<bigint>"))
+    def of(found: Column) -> Column:
+        places = F.sequence(F.lit(1), F.greatest(F.size(found) - (width - 1), F.lit(1)))
+        hashed = F.transform(places, lambda i: F.xxhash64(F.slice(found, i, width)))
+        return F.when(F.size(found) > 0, hashed).otherwise(F.array().cast("array<bigint>"))
 
-    # A one-element array names the hashes, so that they are computed once.
-    return F.flatten(F.transform(F.array(hashed), of))
+    return _once(words, of)
 
 
 def minima(hashes: Column, bins: int = BINS, bits: int = BITS) -> Column:
@@ -48,6 +50,7 @@ def minima(hashes: Column, bins: int = BINS, bits: int = BITS) -> Column:
     shift = 64 - bins.bit_length() + 1
     # Sorted by value, a bin's hashes stand together, the least first; bins run from the negative half up.
     low, high = -(bins // 2), bins // 2 - 1
+    mask = (1 << bits) - 1
 
     def bin_of(h: Column) -> Column:
         return F.shiftright(h, shift)
@@ -56,21 +59,20 @@ def minima(hashes: Column, bins: int = BINS, bits: int = BITS) -> Column:
         return F.filter(sorted_, lambda h, i: (i == 0) | (bin_of(h) != bin_of(F.get(sorted_, i - 1))))
 
     def densified(filled: Column) -> Column:
-        missing = F.array_except(F.sequence(F.lit(low), F.lit(high)).cast("array<bigint>"), F.transform(filled, bin_of))
+        by_bin = F.map_from_arrays(F.transform(filled, bin_of), filled)
 
-        def donor(j: Column) -> Column:
+        def value(j: Column, known: Column) -> Column:
+            probes = [F.try_element_at(known, F.pmod(F.xxhash64(j, F.lit(t)), F.lit(bins)) + low) for t in range(PROBES)]
             drawn = F.array_min(F.transform(filled, lambda h: F.struct(F.xxhash64(j, bin_of(h)).alias("draw"), h.alias("h"))))
-            return F.struct(j.alias("bin"), drawn["h"].alias("h"))
+            return F.coalesce(F.try_element_at(known, j), *probes, drawn["h"])
 
-        own = F.transform(filled, lambda h: F.struct(bin_of(h).alias("bin"), h.alias("h")))
-        mask = (1 << bits) - 1
-        every = F.array_sort(F.concat(own, F.transform(missing, donor)))
-        return F.when(F.size(filled) > 0, F.transform(every, lambda e: F.xxhash64(e["h"], e["bin"]).bitwiseAND(F.lit(mask)).cast("smallint"))).otherwise(
-            F.array().cast("array<smallint>")
-        )
+        def stored(known: Column) -> Column:
+            places = F.sequence(F.lit(low), F.lit(high)).cast("array<bigint>")
+            return F.transform(places, lambda j: F.xxhash64(value(j, known), j).bitwiseAND(F.lit(mask)).cast("smallint"))
 
-    kept = F.transform(F.array(F.sort_array(hashes)), firsts)
-    return F.flatten(F.transform(kept, densified))
+        return F.when(F.size(filled) > 0, _once(by_bin, stored)).otherwise(F.array().cast("array<smallint>"))
+
+    return _once(_once(F.sort_array(hashes), firsts), densified)
 
 
 def fingerprint(text: Column, width: int = WIDTH, bins: int = BINS, bits: int = BITS) -> Column:
@@ -103,9 +105,15 @@ def with_next(rows: DataFrame, key: str, carried: list[str]) -> DataFrame:
     order = [F.col(key), *[F.col(c) for c in carried]]
     bucketed = rows.withColumn("_bucket", F.coalesce(F.floor(F.col(key) / NEIGHBOURS).cast("bigint"), F.lit(-(2**62))))
     inside = Window.partitionBy("_bucket").orderBy(*order)
-    ahead = F.lead(F.struct(*carried)).over(inside)
-    placed = bucketed.select("*", ahead.alias("next"), F.row_number().over(inside).alias("_place"))
-    heads = bucketed.groupBy("_bucket").agg(F.min_by(F.struct(*carried), F.struct(*order)).alias("_head"))
+    # Columns one by one: a struct of them would travel beside them.
+    ahead = bucketed.select(
+        "*", *[F.lead(c).over(inside).alias(f"_next_{c}") for c in carried],
+        F.lead(F.lit(True)).over(inside).isNull().alias("_last"), F.lag(F.lit(True)).over(inside).isNull().alias("_first"),
+    )
+    following_row = F.struct(*[F.col(f"_next_{c}").alias(c) for c in carried])
+    placed = ahead.select(*rows.columns, "_bucket", "_first", F.when(~F.col("_last"), following_row).alias("next"))
+    # The same exchange as above: what is carried is not computed again.
+    heads = placed.where("_first").select("_bucket", F.struct(*carried).alias("_head"))
     buckets = bucketed.select("_bucket").distinct()
     lowest = F.broadcast(buckets.agg(F.min("_bucket").alias("_lowest")))
     after = running(buckets, [], "_bucket", {"_after": ("last", F.col("_bucket"))}, NEIGHBOURS, reverse=True)
