@@ -33,7 +33,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: A place where a word always starts: a space between two characters that are no white space.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Pieces remembered by a task before it starts afresh.
-KNOWN_PIECES = 1 << 18
+KNOWN_PIECES = 1 << 17
 _NONE = np.int32(1 << 30)
 
 
@@ -252,15 +252,19 @@ def decode_ids(tokenizer: Tokenizer, ids: Sequence[int]) -> str:
 _SLICE = 2_000_000
 
 
-def _slices(texts: Sequence[str | None]) -> Iterator[tuple[int, int]]:
-    start = size = 0
-    for at, text in enumerate(texts):
-        size += len(text or "")
-        if size >= _SLICE:
+#: Characters of text whose new pieces are encoded together.
+_LESSON = 6 * _SLICE
+
+
+def _slices(texts: Sequence[str | None], start: int, end: int, most: int) -> Iterator[tuple[int, int]]:
+    size = 0
+    for at in range(start, end):
+        size += len(texts[at] or "")
+        if size >= most:
             yield start, at + 1
             start, size = at + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+    if start < end:
+        yield start, end
 
 
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
@@ -278,19 +282,20 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decod
         encoder = Encoder(tokenizer)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            encoder.learn(texts)
-            for start, end in _slices(texts):
-                flat: list[int] = []
-                ends, back = [0], []
-                for value in texts[start:end]:
-                    found = encoder.ids_of(value)
-                    flat += found
-                    ends.append(len(flat))
-                    if decoded:
-                        back.append(decode_ids(tokenizer, found))
-                lists = pa.ListArray.from_arrays(np.array(ends, np.int32), np.array(flat, np.int32))
-                extra = [pa.array(back, pa.string())] if decoded else []
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start), lists, *extra], names)
+            for low, high in _slices(texts, 0, len(texts), _LESSON):
+                encoder.learn(texts[low:high])
+                for start, end in _slices(texts, low, high, _SLICE):
+                    flat: list[int] = []
+                    ends, back = [0], []
+                    for value in texts[start:end]:
+                        found = encoder.ids_of(value)
+                        flat += found
+                        ends.append(len(flat))
+                        if decoded:
+                            back.append(decode_ids(tokenizer, found))
+                    lists = pa.ListArray.from_arrays(np.array(ends, np.int32), np.array(flat, np.int32))
+                    extra = [pa.array(back, pa.string())] if decoded else []
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start), lists, *extra], names)
 
     done = rows.mapInArrow(run, T.StructType(fields))
     return done.select("row.*", F.col("ids").alias(ids), *([F.col("decoded").alias(decoded)] if decoded else []))
