@@ -115,9 +115,9 @@ def with_next(rows: DataFrame, key: str, carried: list[str]) -> DataFrame:
     # The same exchange as above: what is carried is not computed again.
     heads = placed.where("_first").select("_bucket", F.struct(*carried).alias("_head"))
     buckets = bucketed.select("_bucket").distinct()
-    lowest = F.broadcast(buckets.agg(F.min("_bucket").alias("_lowest")))
+    lowest = buckets.agg(F.min("_bucket").alias("_lowest")).scalar()
     after = running(buckets, [], "_bucket", {"_after": ("last", F.col("_bucket"))}, NEIGHBOURS, reverse=True)
-    following = after.join(lowest).select(F.col("_bucket"), F.coalesce("_after", "_lowest").alias("_after"))
+    following = after.select("_bucket", F.coalesce("_after", lowest).alias("_after"))
     successors = following.join(heads.select(F.col("_bucket").alias("_after"), "_head"), "_after").select("_bucket", "_head")
     last = placed.where("next IS NULL").drop("next").join(successors, "_bucket").withColumnRenamed("_head", "next")
     kept = [*rows.columns, "next"]
