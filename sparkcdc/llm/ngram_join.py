@@ -27,6 +27,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -177,20 +179,19 @@ def _mapped(docs: DataFrame, fn, schema: T.StructType) -> DataFrame:
 
 
 def shingle_classes(docs: DataFrame, width: int) -> DataFrame:
-    """``id``, ``n`` (set size), ``key`` (identity of the set) and ``sketch`` of every row, the last two
-    null if the set is empty."""
+    """What names a row (``id`` and any column beside the text), ``n`` (set size), ``key`` (identity of the
+    set) and ``sketch`` of every row, the last two null if the set is empty."""
+    names = [c for c in docs.columns if c != "text"]
 
     def fn(state, columns, texts):
         shingler = state.setdefault("s", Shingler(width))
         sets = [shingler.hashes(t) for t in texts]
         keys = [set_key(s) if len(s) else None for s in sets]
         bits = [sketch(s) if len(s) else None for s in sets]
-        return [columns[0], pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64()), pa.array(bits, pa.binary())]
+        return [*columns, pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64()), pa.array(bits, pa.binary())]
 
-    schema = T.StructType(
-        [docs.schema["id"], T.StructField("n", T.LongType()), T.StructField("key", T.LongType()), T.StructField("sketch", T.BinaryType())]
-    )
-    return _mapped(docs.select("id", "text"), fn, schema)
+    made = [T.StructField("n", T.LongType()), T.StructField("key", T.LongType()), T.StructField("sketch", T.BinaryType())]
+    return _mapped(docs.select(*names, "text"), fn, T.StructType([*[docs.schema[c] for c in names], *made]))
 
 
 def signatures(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
@@ -244,10 +245,15 @@ def shared_segments(sigs: DataFrame) -> DataFrame:
 
 def shingle_sets(docs: DataFrame, classes: DataFrame, keys: DataFrame, width: int) -> DataFrame:
     """``key`` and ``hashes`` of the classes in ``keys``, each from one document of the class."""
-    chosen = classes.join(keys, "key", "left_semi").groupBy("key").agg(F.min("id").alias("id"))
+    names = [c for c in docs.columns if c != "text"]
+    # Where ids alone name rows, those that share one are told apart below; none is chosen only if there is no other.
+    least = F.struct(F.min("id").alias("id")) if names == ["id"] else F.min(F.struct(F.col("id").isNull().alias("no_id"), *names))
+    found = classes.join(keys, "key", "left_semi").groupBy("key").agg(least.alias("row"))
+    chosen = found.select("key", *[f"row.{c}" for c in names])
     # As a table its size is known: the texts are not shuffled where their ids are few.
     chosen = written(chosen, "join-chosen")
-    texts = docs.alias("d").join(chosen.alias("c"), F.col("d.id").eqNullSafe(F.col("c.id"))).select("c.key", "d.text")
+    same = _same(*[(F.col(f"d.{c}"), F.col(f"c.{c}")) for c in names])
+    texts = docs.alias("d").join(chosen.alias("c"), same).select("c.key", "d.text")
 
     def fn(state, columns, found):
         shingler = state.setdefault("s", Shingler(width))
@@ -311,6 +317,11 @@ def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     return rows.join(labels, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
 
 
+def _same(*pairs: tuple[Column, Column]) -> Column:
+    """Nulls equal nulls."""
+    return reduce(and_, [a.eqNullSafe(b) for a, b in pairs])
+
+
 def _ordered(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
@@ -464,16 +475,21 @@ def plausible_in_segments(rows: DataFrame, sketches: DataFrame, num: int, den: i
     return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
+def labelled_classes(rows: DataFrame, width: int, num: int, den: int) -> tuple[DataFrame, DataFrame | None]:
+    """``shingle_classes`` of the rows, and the component of every class that has links (None without links)."""
+    classes = written(shingle_classes(rows, width), "join-classes")
+    segments = written(shared_segments(signatures(rows, width, num, den)), "join-segments")
+    known = classes.join(segments.select("key").distinct(), "key", "left_semi")
+    sketches = written(known.groupBy("key").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")), "join-sketches")
+    return classes, links(segments, sketches, Sets(rows, classes, width), num, den)
+
+
 def join_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 4, num: int = 85,
                     den: int = 100) -> DataFrame:
     """Per row ``doc_id``, ``n_shingles`` and ``component_id``: the least id reachable by links between
     texts whose sets of ``width`` words have a Jaccard similarity of ``num / den`` or more."""
     rows = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    classes = written(shingle_classes(rows, width), "join-classes")
-    segments = written(shared_segments(signatures(rows, width, num, den)), "join-segments")
-    known = classes.join(segments.select("key").distinct(), "key", "left_semi")
-    sketches = written(known.groupBy("key").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")), "join-sketches")
-    labels = links(segments, sketches, Sets(rows, classes, width), num, den)
+    classes, labels = labelled_classes(rows, width, num, den)
     least = classes.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"))
     placed = written(_labelled(least, labels), "join-placed")
     lowest = placed.groupBy("comp").agg(F.min("id").alias("component_id"))
@@ -483,18 +499,26 @@ def join_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     )
 
 
-def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents without near-duplicates: of each component the one with the least id.
+def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 4, num: int = 85,
+                den: int = 100) -> DataFrame:
+    """The documents without near-duplicates: of each component the one with the least id, among equal ids
+    the one whose text has the least digest; an id goes before none.
 
-    Rows that repeat an id and its text count once. Rows of one id and different texts both stay or
-    both go, and a row with a null id goes if a row with an id is in its component.
+    A row is named by its id and its text, so rows that share an id, or have none, are decided each by its
+    own text. Rows that repeat both count once. Texts with an empty set link with nothing and stay.
     """
-    placed = written(join_components(docs, doc_id=doc_id, text=text, **options), "join-components")
-    ids = placed.groupBy(doc_id).agg(
-        F.count("*").alias("rows"), F.max(~F.col(doc_id).eqNullSafe(F.col("component_id"))).alias("loses")
-    )
-    odd = written(ids.where("rows > 1 OR loses").select(F.col(doc_id).alias("_odd_id"), "rows", "loses"), "join-odd")
-    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("_odd_id"))
-    single = docs.join(odd.select("_odd_id"), same, "left_anti")
-    repeated = docs.join(odd.where("NOT loses").select("_odd_id"), same, "left_semi").dropDuplicates([doc_id, text])
+    digest = F.unhex(F.sha2(F.col(f"`{text}`"), 256))
+    rows = docs.select(F.col(f"`{doc_id}`").alias("id"), digest.alias("digest"), F.col(f"`{text}`").alias("text"))
+    classes, labels = labelled_classes(rows, width, num, den)
+    row = F.struct(F.col("id").isNull().alias("no_id"), "id", "digest")
+    least = classes.where("key IS NOT NULL").groupBy("key").agg(F.min(row).alias("row"))
+    kept = _labelled(least, labels).groupBy("comp").agg(F.min("row").alias("row")).select("row.id", "row.digest", F.lit(True).alias("kept"))
+    named = classes.groupBy("id", "digest").agg(F.count("*").alias("rows"), F.max("key").alias("key"))
+    judged = named.alias("n").join(kept.alias("k"), _same(*[(F.col(f"n.{c}"), F.col(f"k.{c}")) for c in ("id", "digest")]), "left")
+    loses = F.col("n.key").isNotNull() & F.col("k.kept").isNull()
+    odd = judged.select(F.col("n.id").alias("_odd_id"), F.col("n.digest").alias("_odd_digest"), "rows", loses.alias("loses"))
+    odd = written(odd.where("rows > 1 OR loses"), "join-odd")
+    same = _same((F.col(f"`{doc_id}`"), F.col("_odd_id")), (digest, F.col("_odd_digest")))
+    single = docs.join(odd.select("_odd_id", "_odd_digest"), same, "left_anti")
+    repeated = docs.join(odd.where("NOT loses").select("_odd_id", "_odd_digest"), same, "left_semi").dropDuplicates([doc_id, text])
     return single.union(repeated)

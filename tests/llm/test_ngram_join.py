@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import numpy as np
@@ -94,6 +95,49 @@ def test_rows_of_every_sort(spark):
     assert ngram_join.join_components(docs).count() == 0
 
 
+def least_of_each(rows, width=4, num=85, den=100):
+    """One (id, text) of each component: the least id, none last, then the least digest."""
+    rows = sorted(set(rows), key=str)
+    label = {r: c for r, (_, _, c) in zip(rows, brute_in_order([(i, t) for i, (_, t) in enumerate(rows)], width, num, den))}
+    best = {}
+    for d, t in rows:
+        rank = (d is None, d or 0, hashlib.sha256((t or "").encode()).digest())
+        best[label[d, t]] = min(best.get(label[d, t], (rank, d, t)), (rank, d, t), key=lambda x: x[0])
+    return sorted(((d, t) for _, d, t in best.values()), key=str)
+
+
+def brute_in_order(rows, *options):
+    return sorted(brute(rows, *options), key=lambda r: r[0])
+
+
+def kept(spark, rows, **options):
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    return sorted(map(tuple, ngram_join.one_of_each(docs, **options).collect()), key=str)
+
+
+def test_one_of_each_decides_by_row_where_ids_are_null(spark):
+    rows = [(0, "one two three four five six"), (None, "one two three four five six"), (None, "clean and unique text of its own here"),
+            (None, "a pair without any id at all"), (None, "A pair without any  id at all"), (None, "a pair without any id at all"), (None, None),
+            (None, "")]
+    want = least_of_each(rows)
+    assert kept(spark, rows) == want and len(want) == 5
+    assert [t for d, t in want if t and t.startswith("clean")] and sum(bool(t) and t.lower().startswith("a pair") for _, t in want) == 1
+
+
+def test_one_of_each_decides_by_row_where_ids_repeat(spark):
+    rows = [(0, "one two three four five six"), (1, "one two three four five six"), (1, "quite another text under this id"),
+            (2, "quite another text under this id"), (2, "near  copies under one id only"), (2, "NEAR copies under one id only"), (3, "x"), (3, "x")]
+    want = least_of_each(rows)
+    assert kept(spark, rows) == want
+    assert [d for d, _ in want] == [0, 1, 2, 3] and (1, "quite another text under this id") in want
+
+
+def test_one_of_each_against_all_pairs_with_shared_ids(spark):
+    rng = random.Random(7)
+    rows = [(rng.choice([None, d % 20, d]), t) for d, t in corpus(6, 40, 8, 0.06)]
+    assert kept(spark, rows, width=5, num=80) == least_of_each(rows, 5, 80)
+
+
 def test_sketches_never_differ_more_than_sets():
     rng = np.random.default_rng(5)
     bands = ngram_join.Bands(85, 100)
