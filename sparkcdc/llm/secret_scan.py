@@ -3,7 +3,11 @@
 Base patterns are reported as they match. Beyond them, runs that look like base64, hex, a PEM block or
 a signed token are decoded, and reported only if what comes out has the structure of a key or token:
 nested DER lengths that fill each other exactly, the length-prefixed fields of an OpenSSH key, a token
-header and claims that are JSON objects, or text that holds a base secret itself.
+header and claims that are JSON objects, or text that holds a base secret itself. Text is UTF-8 without control
+characters other than white space. A run is also read from behind each ``/``, ``_`` and ``-`` in it, since a path
+or a name may be glued on, and runs on lines that follow each other are read as one: for a DER or OpenSSH key up
+to the line end where its structure ends, for text in lines of one width and a shorter last one, or all lines.
+Inside a PEM block lines are read alone, the block being reported as such.
 
 Spans are code points, end exclusive. A null or empty text has no spans. Ties go by start, then kind
 in the order of ``KINDS``, then end. Every pattern is anchored so that a text of any length is read in
@@ -16,7 +20,8 @@ import base64
 import binascii
 import json
 import re
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -33,8 +38,13 @@ KINDS = (*BASE_KINDS, "jwt", "pem", "der", "ssh", "encoded")
 
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
 _PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?)-----")
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}={0,2}")
-_HEX = re.compile(r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,}(?![0-9A-Za-z])")
+_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}(?:\r?\n[A-Za-z0-9+/_-]+)*={0,2}")
+_HEX = re.compile(r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,}(?:\r?\n[0-9A-Fa-f]+)*(?![0-9A-Za-z])")
+_LEAST_HEX = 32
+#: Line widths of the usual encoders: a shorter line after one belongs to it even if it is not padded.
+_WIDTHS = (64, 76)
+#: What text does not hold; bytes that are not UTF-8 are decoded to lone surrogates.
+_NOT_TEXT = re.compile("[\x00-\x08\x0e-\x1f\x7f-\x84\x86-\x9f\ud800-\udfff]")
 _URLSAFE = str.maketrans("-_", "+/")
 _DEEPEST = 32
 _OPENSSH = b"openssh-key-v1\x00"
@@ -97,11 +107,22 @@ def is_der_key(data: bytes) -> bool:
     return False
 
 
-def is_ssh_key(data: bytes) -> bool:
-    """An OpenSSH private key: length-prefixed fields that end where the data ends."""
-    if not data.startswith(_OPENSSH):
-        return False
-    at = len(_OPENSSH)
+def der_size(data: bytes, at: int) -> int | None:
+    """Bytes of the sequence whose header is at ``at``, by that header alone."""
+    if data[at : at + 1] != b"\x30" or at + 2 > len(data):
+        return None
+    size = data[at + 1]
+    if size < 0x80:
+        return 2 + size
+    width = size & 0x7F
+    return 2 + width + int.from_bytes(data[at + 2 : at + 2 + width], "big") if 1 <= width <= 4 else None
+
+
+def ssh_size(data: bytes, at: int = 0) -> int | None:
+    """Bytes of the OpenSSH private key at ``at``, by its length-prefixed fields."""
+    if not data.startswith(_OPENSSH, at):
+        return None
+    start, at = at, at + len(_OPENSSH)
 
     def field() -> bool:
         nonlocal at
@@ -111,12 +132,17 @@ def is_ssh_key(data: bytes) -> bool:
         return at <= len(data)
 
     if not (field() and field() and field()) or at + 4 > len(data):
-        return False
+        return None
     count = int.from_bytes(data[at : at + 4], "big")
     at += 4
     if not 1 <= count <= len(data):
-        return False
-    return all(field() for _ in range(count + 1)) and at == len(data)
+        return None
+    return at - start if all(field() for _ in range(count + 1)) else None
+
+
+def is_ssh_key(data: bytes) -> bool:
+    """An OpenSSH private key: length-prefixed fields that end where the data ends."""
+    return ssh_size(data) == len(data)
 
 
 def _json_object(part: str) -> dict | None:
@@ -142,11 +168,178 @@ def _key_kind(data: bytes | None) -> str | None:
         return "der"
     if is_ssh_key(data):
         return "ssh"
-    if data.isascii() and data.decode("ascii").isprintable() and base_spans(data.decode("ascii"), hexes=False):
+    if text_from(data) == 0 and base_spans(data.decode("utf-8"), hexes=False):
         return "encoded"
     return None
 
 
+def text_from(data: bytes) -> int:
+    """The least offset from which the rest is text."""
+    return len(data) - len(_NOT_TEXT.split(data.decode("utf-8", "surrogateescape"))[-1].encode("utf-8"))
+
+
+def _starts(run: str, lines: list[int]) -> list[int]:
+    """Where something encoded may start: at a line's start or behind a mark that may belong to what precedes it."""
+    return sorted({*lines, *(i + 1 for i, c in enumerate(run) if c in "/_-")})
+
+
+class _Shifts:
+    """A run decoded from each of its starts, at most once for each of the four ways its groups can fall."""
+
+    def __init__(self, run: str):
+        self.run = run
+        self.found: dict[int, tuple[int, bytes]] = {}
+
+    def at(self, start: int) -> tuple[bytes, int]:
+        """Bytes, and the offset in them of what ``start`` begins."""
+        if start % 4 not in self.found:
+            rest = self.run[start:]
+            self.found[start % 4] = start, decode_base64(rest[:-1] if len(rest) % 4 == 1 else rest) or b""
+        first, data = self.found[start % 4]
+        return data, (start - first) // 4 * 3
+
+
+def _keys(run: str, lines: list[int]) -> list[tuple[str, int, int]]:
+    """Keys that start at a start of the run and end at a line's end; ``lines`` are the lines' offsets."""
+    found, shifts, ends, last = [], _Shifts(run), {*lines[1:], len(run)}, 0
+    for start in _starts(run, lines):
+        # The first six bits of a DER sequence and of an OpenSSH key.
+        if start < last or run[start : start + 1] not in ("M", "b"):
+            continue
+        data, at = shifts.at(start)
+        for kind, size, check in (("der", der_size(data, at), is_der_key), ("ssh", ssh_size(data, at), is_ssh_key)):
+            if size is not None and start + (4 * size + 2) // 3 in ends and check(data[at : at + size]):
+                last = start + (4 * size + 2) // 3
+                found.append((kind, start, last))
+    return found
+
+
+def _text_start(run: str, lines: list[int]) -> int | None:
+    """The first start from which the run is text that holds a base secret."""
+    shifts, open_ = _Shifts(run), {}
+    for start in _starts(run, lines):
+        # What is less has no room for a secret.
+        if len(run) - start < 16 or (len(run) - start) % 4 == 1:
+            continue
+        data, at = shifts.at(start)
+        if start % 4 not in open_:
+            open_[start % 4] = text_from(data)
+        # Not inside a character.
+        if at < open_[start % 4] or at >= len(data) or 0x80 <= data[at] < 0xC0:
+            continue
+        if base_spans(data[at:].decode("utf-8"), hexes=False):
+            return start
+        # What starts later holds less.
+        open_[start % 4] = len(data)
+    return None
+
+
+def _readings(runs: list[str], i: int, padding: int) -> tuple[list[int], int]:
+    """Line numbers up to which line i and those after it may be one text, longest first; and the first line
+    that has another width."""
+    width, end = len(runs[i]), i + 1
+    glued = any(c in runs[i] for c in "/_-")
+    if glued and end < len(runs) and len(runs[end]) < width:
+        # The first line with something glued on is wider than those after it.
+        following = len(runs[end])
+        if following in _WIDTHS or end + 1 < len(runs) and len(runs[end + 1]) == following:
+            width = following
+    while end < len(runs) and len(runs[end]) == width:
+        end += 1
+    out = [end] if end == i + 1 else [end, i + 1]
+    if end < len(runs) and len(runs[end]) < width:
+        length = len(runs[end]) + (padding if end + 1 == len(runs) else 0)
+        if ((end - i) * width + length) % 4 == 0 or glued and length % 4 == 0 or width in _WIDTHS:
+            out.insert(0, end + 1)
+    return out, end
+
+
+def _base64_in(runs: list[str], padding: int) -> list[tuple[str, int, int]]:
+    """What the lines of a match hold, by offsets in the joined lines."""
+    joined, at = "".join(runs), [0]
+    for run in runs:
+        at.append(at[-1] + len(run))
+    found = _keys(joined, at[:-1])
+    taken = [any(s < at[i + 1] and e > at[i] for _, s, e in found) for i in range(len(runs))] if found else [False] * len(runs)
+
+    def text(i: int, end: int) -> bool:
+        start = None if any(taken[i:end]) else _text_start(joined[at[i] : at[end]], [a - at[i] for a in at[i:end]])
+        if start is not None:
+            found.append(("encoded", at[i] + start, at[end]))
+        return start is not None
+
+    i = 0
+    while i < len(runs):
+        ends, other = _readings(runs, i, padding)
+        done = next((end for end in ends if text(i, end)), None)
+        if done is not None:
+            i = done
+            continue
+        for k in range(i, other):
+            if taken[k] or (k > i and text(k, k + 1)):
+                continue
+            # A part between two marks, with something glued on at its end.
+            for m in re.finditer(r"[A-Za-z0-9+]{24,}", runs[k]):
+                kind = _key_kind(decode_base64(m[0]))
+                if kind:
+                    found.append((kind, at[k] + m.start(), at[k] + m.end()))
+        i = other
+    if not found and len(runs) > 1:
+        text(0, len(runs))
+    return found
+
+
+def _hex_in(runs: list[str]) -> list[tuple[str, int, int]]:
+    """The same for hex digits, which have no marks among them."""
+    found, at = [], [0]
+    for run in runs:
+        at.append(at[-1] + len(run))
+
+    def hexes(i: int, end: int) -> bool:
+        run = "".join(runs[i:end])
+        kind = _key_kind(bytes.fromhex(run)) if len(run) % 2 == 0 and len(run) >= _LEAST_HEX else None
+        if kind:
+            found.append((kind, at[i], at[end]))
+        return kind is not None
+
+    i = 0
+    while i < len(runs):
+        ends, other = _readings(runs, i, 0)
+        if other < len(runs) and len(runs[other]) < len(runs[i]) and other + 1 not in ends:
+            ends.insert(0, other + 1)
+        done = next((end for end in ends if hexes(i, end)), None)
+        if done is None:
+            for k in range(i + 1, other):
+                hexes(k, k + 1)
+        i = other if done is None else done
+    if not found and len(runs) > 1:
+        hexes(0, len(runs))
+    return found
+
+
+def _lines(m: re.Match) -> list[tuple[int, int]]:
+    """(start, end) of the run on each line of a match, padding left out."""
+    out, at = [], m.start()
+    for line in m[0].split("\n"):
+        out.append((at, at + len(line.rstrip("\r="))))
+        at += len(line) + 1
+    return out
+
+
+def _placed(text: str, m: re.Match, inside: Callable[[list[str]], list[tuple[str, int, int]]], alone: bool) -> list[tuple[str, int, int]]:
+    """``inside`` over a match's lines, or over each alone, as spans of the text; padding belongs to the last line."""
+    found, lines = [], _lines(m)
+    for group in [[line] for line in lines] if alone else [lines]:
+        at = [0]
+        for start, end in group:
+            at.append(at[-1] + end - start)
+        for kind, start, end in inside([text[a:b] for a, b in group]):
+            i, j = bisect_right(at, start) - 1, bisect_left(at, end) - 1
+            last = group[j][0] + end - at[j]
+            found.append((kind, group[i][0] + start - at[i], m.end() if last == lines[-1][1] else last))
+    return found
+
+
 def base_spans(text: str, hexes: bool = True) -> list[tuple[str, int, int]]:
     """The base kinds, leftmost and non-overlapping within each kind."""
     found = [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= ASSIGN_LEAST]
@@ -174,14 +367,16 @@ def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
                 found.append(("pem", m.start(), end + len(closing)))
     if text.count(".") > 1:
         found += [("jwt", *m.span()) for m in _JWT.finditer(text) if is_signed_token(m[1], m[2])]
+    blocks = [(start, end) for kind, start, end in found if kind == "pem"]
+
+    def in_block(m: re.Match) -> bool:
+        return any(m.start() < end and m.end() > start for start, end in blocks)
+
     for m in _BASE64.finditer(text):
-        kind = _key_kind(decode_base64(m[0]))
-        if kind:
-            found.append((kind, *m.span()))
+        padding = len(m[0]) - len(m[0].rstrip("="))
+        found += _placed(text, m, lambda runs: _base64_in(runs, padding), in_block(m))
     for m in _HEX.finditer(text):
-        kind = _key_kind(bytes.fromhex(m[0])) if len(m[0]) % 2 == 0 else None
-        if kind:
-            found.append((kind, *m.span()))
+        found += _placed(text, m, _hex_in, in_block(m))
     return found
 
 

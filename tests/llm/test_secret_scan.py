@@ -56,6 +56,56 @@ def test_structures_are_confirmed(text, kind):
     assert (kind, 2, 2 + len(text.rstrip("="))) in [(k, s, e - (len(text) - len(text.rstrip("="))) * (k == "der" and text[-1] == "=")) for k, s, e in spans]
 
 
+def wrapped(data: bytes, width: int, end: str = "\n") -> str:
+    run = base64.b64encode(data).decode()
+    return end.join(run[i : i + width] for i in range(0, len(run), width))
+
+
+ENV = b"".join(b"NAME_%d=value of it\n" % i for i in range(9)) + b"password=hunter2hunter2\n" + b"LAST=1\n" * 9
+
+
+@pytest.mark.parametrize(
+    ("text", "kind"),
+    [(b64(b"password=hunter2hunter2\n"), "encoded"), (b64(b"a\tpassword=hunter2hunter2"), "encoded"), (b64(ENV), "encoded"), (ENV.hex(), "encoded"),
+     (b64("né\npassword=hunter2hunter2 für".encode()), "encoded"), ("né password=hunter2hunter2".encode().hex(), "encoded"),
+     (b64("\ufeffpassword=hunter2hunter2\r\n".encode()), "encoded"),
+     (wrapped(ENV, 76), "encoded"), (wrapped(ENV, 64, "\r\n"), "encoded"), (wrapped(ENV, 64).rstrip("="), "encoded"),
+     (wrapped(RSA, 64), "der"), (wrapped(RSA, 76, "\r\n"), "der"), (wrapped(RSA, 64).rstrip("="), "der"), (wrapped(EC, 30), "der"), (wrapped(SSH, 70), "ssh"),
+     ("\n".join(RSA.hex()[i : i + 60] for i in range(0, len(RSA) * 2, 60)), "der")],
+)
+@pytest.mark.parametrize(("before", "after"), [("", ""), ("ä ", " b"), ("the key\n", "\nend of it"), ("k: ", "\n\nmore")])
+def test_text_of_every_sort_and_lines(text, kind, before, after):
+    assert (kind, len(before), len(before + text)) in secret_scan.spans(before + text + after)
+
+
+@pytest.mark.parametrize("glued", ["/", "/config/", "name_", "a-b-", "some/long/path-with/many_parts/and/more/"])
+@pytest.mark.parametrize(
+    ("run", "kind"),
+    [(b64(RSA), "der"), (b64(SSH), "ssh"), (b64(b"password=hunter2hunter2"), "encoded"), (b64("é>?~ password=hunter2hunter2>?~\n".encode()), "encoded"),
+     (wrapped(RSA, 64), "der"), (wrapped(ENV, 76), "encoded")],
+)
+def test_what_is_glued_on_is_left_out(glued, run, kind):
+    found = secret_scan.spans(f"see {glued}{run} b")
+    at = len(f"see {glued}")
+    assert [s for s in found if s[0] == kind and s[1] <= at and s[2] == at + len(run)]
+
+
+def test_what_follows_a_piece_is_left_out():
+    run = b64(b"password=hunter2hunter2\n")
+    assert ("encoded", 3, 3 + len(run)) in secret_scan.spans(f"at {run}/rest/of-it")
+
+
+def test_long_texts_of_marks_and_lines_are_read_once():
+    image = wrapped(bytes(i * i % 251 for i in range(300_000)), 76)
+    for text in ("/" * 300_000, "Mb-/" * 80_000, image, "/M\n".join(["A" * 30] * 9_000), "ab" * 40 + "\n" + "ab\n" * 90_000):
+        secret_scan.spans(text)
+
+
+@pytest.mark.parametrize("data", [b"\x00password=hunter2hunter2", b"password=hunter2hunter2\x1b", b"password=hunter2hunter2\xe9"])
+def test_what_is_not_text_is_not_reported(data):
+    assert not [s for s in secret_scan.spans(f"a {b64(data)} {data.hex()} b") if s[0] not in secret_scan.BASE_KINDS]
+
+
 @pytest.mark.parametrize(
     "text",
     [b64(RSA[:-1]), b64(RSA + b"\0\0\0"), b64(SSH[:-2]), "A" * 400, JWT.replace(JWT.split(".")[0], b64(b'{"typ":"JWT"}')),
