@@ -21,8 +21,12 @@ from sparkcdc.llm.queries import TOKENIZER
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps what a language is found for, code-switched or not."""
-    found = langid.identify(docs, langid.train(docs), names=("_found", "_share")).where(F.col("_found") != langid.UNKNOWN)
+    """Keeps what a language is found for, code-switched or not. Where no row has a usable label there is no
+    language to find: every text with a word stays, its language as given."""
+    model = langid.train(docs)
+    if not model.languages:
+        return langid.worded(docs)
+    found = langid.identify(docs, model, names=("_found", "_share")).where(F.col("_found") != langid.UNKNOWN)
     return found.select(*[F.coalesce("lang", "_found").alias(c) if c == "lang" else F.col(c) for c in docs.columns])
 
 

@@ -285,3 +285,15 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text", names: tuple[
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.string()), pa.array(scores, pa.float64())], schema.names)
 
     return rows.mapInArrow(run, schema).select("row.*", F.col("lang").alias(names[0]), F.col("score").alias(names[1]))
+
+
+def worded(docs: DataFrame, *, text: str = "text") -> DataFrame:
+    """The rows whose text has a word to label, whatever its language."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            has = [any(sentences(t)) if t else False for t in batch.column(1).to_pylist()]
+            yield batch.select(["row"]).filter(pa.array(has, pa.bool_()))
+
+    return rows.mapInArrow(run, T.StructType([rows.schema["row"]])).select("row.*")

@@ -52,6 +52,14 @@ def test_rows_of_every_sort(spark):
     assert sorted(r.doc_id for r in kept if r.text and r.lang) == [0, 8, 9, 10, 11, 21]
 
 
+def test_without_usable_labels_documents_stay(spark):
+    rows = [(1, "the cat sat", None), (None, "der hund", "de"), (2, None, None), (3, "1 2 3", None), (4, "", None), (1, "the cat sat", None)]
+    docs = spark.createDataFrame([(*r, "s", 1) for r in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = corpus_pipeline.language(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id, r.text, r.lang) for r in got.collect()), key=str) == sorted([rows[0], rows[0], rows[1]], key=str)
+
+
 def test_mix_meets_targets(spark):
     rows = QUERIES["op9_mix_sources"](spark, "/root/testdata/sf0.1").collect()
     by_source = {}
