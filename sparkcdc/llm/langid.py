@@ -239,7 +239,8 @@ def remainder(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
-    """A model from at most ``per_language`` labelled documents a language, those with the least hash.
+    """A model from at most ``per_language`` labelled documents a language, those with the least hash; among
+    those that share an id, the ones whose text has the least digest. Rows that repeat both count once.
 
     The driver sees their ids and the finished model; one task reads the bounded sample and fits.
     """
@@ -247,14 +248,20 @@ def train(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang:
     usable = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("id").isNotNull() & (remainder(F.col("id")) != 1))
     # Only hashes below a share that leaves some four times the bound are ranked, so a frequent language is
     # no more work for its task than a rare one.
-    hashed = usable.select("id", "lang", F.pmod(F.xxhash64("id"), F.lit(_SHARES)).alias("share"))
+    digest = F.sha2("text", 256).alias("digest")
+    hashed = usable.select("id", "lang", digest, F.pmod(F.xxhash64("id"), F.lit(_SHARES)).alias("share"))
     counts = usable.groupBy("lang").agg(F.count("*").alias("rows"))
     few = hashed.join(counts, "lang").where(F.col("share").cast("double") * F.col("rows") < 4 * per_language * _SHARES)
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("share", "id"))
-    picks = few.withColumn("place", place).where(F.col("place") <= per_language).select("id", "lang").collect()
+    named = few.select("id", "lang", "share", "digest").distinct()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("share", "id", "digest"))
+    chosen = named.withColumn("place", place).where(F.col("place") <= per_language).select("id", "lang", "digest")
+    picks = chosen.collect()
     if not picks:
         return Model([], np.zeros((1, 0)), np.zeros((0, 0)), np.zeros(0))
-    sample = usable.where(F.col("id").isin(sorted({r["id"] for r in picks}))).limit(len(picks)).coalesce(1)
+    near = usable.where(F.col("id").isin(sorted({r["id"] for r in picks}))).select("*", digest)
+    listed = docs.sparkSession.createDataFrame(picks, chosen.schema)
+    # What repeats an id, a label and a text is read once, so the sample is the picks, however rows lie.
+    sample = near.join(listed, ["id", "lang", "digest"], "left_semi").dropDuplicates(["id", "lang", "digest"]).select("id", "text", "lang").coalesce(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, labels = [], []

@@ -75,3 +75,14 @@ def test_features_do_not_depend_on_neighbours(bits):
     for i, w in enumerate(words):
         alone, _ = langid.features([w], bits)
         assert sorted(feature[owner == i]) == sorted(alone)
+
+
+def test_sample_does_not_depend_on_the_order_of_rows_that_share_an_id(spark):
+    words = {"en": ["the", "cat", "and", "house"], "de": ["der", "hund", "und", "haus"]}
+    rows = [(i, " ".join(f"{w}{'abcdefghij'[(i + k) % 10]}" for w in words[lang]), lang) for i in range(12) for lang in words for k in range(6)]
+    rows += rows[:30]
+    models = []
+    for given in (rows, rows[::-1]):
+        docs = spark.createDataFrame(given, "doc_id bigint, text string, lang string").coalesce(1)
+        models.append(langid.train(docs, per_language=4).dump())
+    assert models[0] == models[1]
