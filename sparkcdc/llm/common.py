@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections import defaultdict
+from collections.abc import Iterable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,3 +45,57 @@ def sha256(value: Column) -> Column:
 def lower_ascii(text: Column) -> Column:
     """A-Z lower-cased, every other character as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def numbering() -> defaultdict:
+    """A dictionary that numbers keys as they are first asked for, from 0."""
+    numbers: defaultdict = defaultdict()
+    numbers.default_factory = numbers.__len__
+    return numbers
+
+
+def numbered(numbers: defaultdict, keys: Iterable) -> np.ndarray:
+    """The number of each key; new keys get the next ones."""
+    return np.fromiter(map(numbers.__getitem__, keys), np.int64)
+
+
+class Ragged:
+    """Lists of ids side by side in one array, added and read many at a time."""
+
+    def __init__(self):
+        self.flat = np.zeros(1 << 12, np.int32)
+        self.starts = np.zeros(1 << 10, np.int64)
+        self.lengths = np.zeros(1 << 10, np.int64)
+        self.used = self.count = 0
+
+    def add(self, flat: np.ndarray, lengths: np.ndarray) -> None:
+        self.flat = _room(self.flat, self.used + len(flat))
+        self.starts = _room(self.starts, self.count + len(lengths))
+        self.lengths = _room(self.lengths, self.count + len(lengths))
+        self.flat[self.used : self.used + len(flat)] = flat
+        new = slice(self.count, self.count + len(lengths))
+        self.lengths[new] = lengths
+        self.starts[new] = self.used + np.cumsum(lengths) - lengths
+        self.used += len(flat)
+        self.count += len(lengths)
+
+    def gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The lists at these places, joined, and their lengths."""
+        lengths = self.lengths[at]
+        shift = self.starts[at] - (np.cumsum(lengths) - lengths)
+        return self.flat[np.arange(int(lengths.sum())) + np.repeat(shift, lengths)], lengths
+
+
+def _room(array: np.ndarray, size: int) -> np.ndarray:
+    if size <= len(array):
+        return array
+    grown = np.zeros(max(size, 2 * len(array)), array.dtype)
+    grown[: len(array)] = array
+    return grown
+
+
+def segment_sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Sums of consecutive stretches of ``values``; a stretch may be empty."""
+    upto = np.concatenate([[0], np.cumsum(values)])
+    ends = np.cumsum(lengths)
+    return upto[ends] - upto[ends - lengths]

@@ -8,13 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkcdc.llm import bpe, chat, fingerprint, hamming, langid, mixing, ngram_join, packing, secret_scan, url_filter
+from sparkcdc.llm import bpe, chat, fingerprint, hamming, langid, mixing, ngram_join, packing, pieces, secret_scan, url_filter
 from sparkcdc.llm.common import documents, sha256, written
 
 #: The tokenizer file every executor has; a parameter of the operators.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 #: The same vocabulary as ranks, for a library that packing takes its ids from.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+#: A model of pieces with byte fallback.
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -86,11 +88,8 @@ def op8_secret_spans(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("op1_bpe_roundtrip")
-def op1_bpe_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """Ids of every document and the text they decode to, as digests."""
-    docs = documents(spark, folder).select("doc_id", "text")
-    return bpe.encode(docs, TOKENIZER, decoded="decoded").select(
+def _round_trip(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         sha256(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
@@ -98,6 +97,18 @@ def op1_bpe_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op1_bpe_roundtrip")
+def op1_bpe_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document and the text they decode to, as digests."""
+    return _round_trip(bpe.encode(documents(spark, folder).select("doc_id", "text"), TOKENIZER, decoded="decoded"))
+
+
+@query("op13_sentencepiece")
+def op13_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of every document and the text they decode to, as digests."""
+    return _round_trip(pieces.encode(documents(spark, folder).select("doc_id", "text"), PIECES, decoded="decoded"))
+
+
 @query("op7_ngram_join")
 def op7_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     """The component of near-equal texts every document belongs to."""
