@@ -17,23 +17,27 @@ from __future__ import annotations
 
 import gc
 import heapq
+import itertools
 import json
 import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkcdc.llm.common import Ragged, numbered, numbering, segment_sums
+
 #: Fixed value: the word pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: A place where a word always starts: a space between two characters that are no white space.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Pieces remembered by a task before it starts afresh.
-KNOWN_PIECES = 1 << 17
+#: Pieces, and words, remembered by a task before it starts afresh.
+KNOWN_PIECES = 1 << 18
 _NONE = np.int32(1 << 30)
 
 
@@ -60,7 +64,6 @@ class Tokenizer:
             self.pieces[i] = bytes(bytes_of[c] for c in token)
         for token, i in self.special.items():
             self.pieces[i] = token.encode()
-        self.numbers = [str(i) for i in range(size)]
         self.first = np.zeros(256, np.int32)
         for b, c in byte_characters().items():
             self.first[b] = vocab[c]
@@ -85,28 +88,29 @@ class Tokenizer:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.key_order[at], _NONE).astype(np.int32)
 
-    def encode_words(self, words: Sequence[bytes]) -> list[tuple[int, ...]]:
-        """Ids of each word, by one pair occurrence index over all of them."""
-        if not words:
-            return []
+    def encode_flat(self, words: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in one array and how many each has, by one pair occurrence index over all of them."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         data = np.frombuffer(b"".join(words), np.uint8)
         n = len(data)
+        if not n:
+            return np.zeros(0, np.int32), lengths
         sym = self.first[data]
-        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+        starts = np.cumsum(lengths) - lengths
         after = np.arange(1, n + 1, dtype=np.int32)
         after[np.cumsum(lengths)[lengths > 0] - 1] = -1
         before = np.arange(-1, n - 1, dtype=np.int32)
         before[starts[lengths > 0]] = -1
         self._apply(sym, before, after)
         left = sym >= 0
-        ids = sym[left]
-        ends = np.cumsum(np.bincount(np.repeat(np.arange(len(words)), lengths)[left], minlength=len(words)))
-        flat, out, at = ids.tolist(), [], 0
-        for end in ends.tolist():
-            out.append(tuple(flat[at:end]))
-            at = end
-        return out
+        return sym[left], segment_sums(left, lengths)
+
+    def encode_words(self, words: Sequence[bytes]) -> list[tuple[int, ...]]:
+        """Ids of each word."""
+        flat, lengths = self.encode_flat(words)
+        ends = np.cumsum(lengths).tolist()
+        ids = flat.tolist()
+        return [tuple(ids[a:b]) for a, b in zip([0, *ends], ends)]
 
     def _apply(self, sym: np.ndarray, before: np.ndarray, after: np.ndarray) -> None:
         """Merges in place; a position that is merged into the one before it becomes -1."""
@@ -170,27 +174,42 @@ class Tokenizer:
 
 
 class Encoder:
-    """Encodes batches of texts; remembers pieces it has met, up to ``limit`` of them."""
+    """Encodes batches of texts. Pieces and words are numbered as they are met; new ones are encoded together,
+    and texts are put together from their numbers. Each memory starts afresh beyond ``limit`` entries."""
 
     def __init__(self, tokenizer: Tokenizer, limit: int = KNOWN_PIECES):
         self.tokenizer, self.limit = tokenizer, limit
-        #: Ids of pieces at the start of a stretch of text, and of pieces that follow a space.
-        self.known: tuple[dict[str, tuple[int, ...]], dict[str, tuple[int, ...]]] = ({}, {})
-
-    def _learn(self, pieces: list[tuple[set[str], str]]) -> None:
-        """Encodes pieces that are not known: their distinct words first, by the index."""
+        self._forget_pieces()
+        self._forget_words()
+
+    def _forget_pieces(self) -> None:
+        # A piece that starts a stretch of text is kept apart, as a tuple, from one that follows a blank.
+        self.pieces, self.piece_ids = numbering(), Ragged()
+        self.uncut = np.zeros(1 << 10, bool)
+
+    def _forget_words(self) -> None:
+        self.words, self.word_ids = numbering(), Ragged()
+
+    def _learn(self) -> None:
+        """Encodes the pieces that were numbered since the last time: their new words first, by the index."""
+        known = self.piece_ids.count
+        new = list(itertools.islice(reversed(self.pieces), len(self.pieces) - known))[::-1]
+        if not new:
+            return
+        if len(self.words) > self.limit:
+            self._forget_words()
         find = self.tokenizer.words.findall
-        cut = [(side, piece, find(lead + piece)) for side, (new, lead) in enumerate(pieces) for piece in new]
-        words: dict[str, int] = {}
-        for _, _, found in cut:
-            for word in found:
-                words.setdefault(word, len(words))
-        ids = self.tokenizer.encode_words([w.encode("utf-8", "surrogatepass") for w in words])
-        for side, piece, found in cut:
-            if len(found) == 1:
-                self.known[side][piece] = ids[words[found[0]]]
-            else:
-                self.known[side][piece] = tuple(i for word in found for i in ids[words[word]])
+        cut = [find(" " + piece) if isinstance(piece, str) else find(piece[0]) for piece in new]
+        at = numbered(self.words, itertools.chain.from_iterable(cut))
+        fresh = list(itertools.islice(reversed(self.words), len(self.words) - self.word_ids.count))[::-1]
+        self.word_ids.add(*self.tokenizer.encode_flat([w.encode("utf-8", "surrogatepass") for w in fresh]))
+        ids, lengths = self.word_ids.gather(at)
+        self.piece_ids.add(ids, segment_sums(lengths, np.fromiter(map(len, cut), np.int64, len(cut))))
+        if len(self.uncut) < len(self.pieces):
+            self.uncut = np.concatenate([self.uncut, np.zeros(len(self.pieces), bool)])
+        # Next to white space a blank is part of a longer word: such a text is cut with more care.
+        inner = (piece if isinstance(piece, str) else piece[0] for piece in new)
+        self.uncut[known : len(self.pieces)] = [not p or p[0].isspace() or p[-1].isspace() for p in inner]
 
     def _stretches(self, text: str) -> Iterator[list[str] | int]:
         """A text as pieces, and ids of the special tokens between them."""
@@ -204,43 +223,62 @@ class Encoder:
             elif part:
                 yield _CUT.split(part)
 
-    def learn(self, texts: Sequence[str | None]) -> None:
-        """Encodes what is new in the texts, all at once. Only distinct pieces are held."""
-        if sum(map(len, self.known)) > self.limit:
-            self.known = ({}, {})
-        heads, tails = self.known
-        new_heads: set[str] = set()
-        new_tails: set[str] = set()
-        for text in texts:
-            for pieces in self._stretches(text) if text else ():
-                if not isinstance(pieces, int):
-                    new_heads.add(pieces[0])
-                    new_tails.update(pieces[1:])
-        # Hundreds of thousands of small lists arise at once, none in a cycle: the collector would only walk them.
+    def _cut_plainly(self, text: str) -> list:
+        """Pieces between blanks; one empty piece, which sends the text on, where a special token may be."""
+        if any(s in text for s in self.tokenizer.special):
+            return [("",)]
+        pieces = text.split(" ")
+        pieces[0] = (pieces[0],)
+        return pieces
+
+    def _careful(self, texts: Sequence[str]) -> list[np.ndarray]:
+        cut = [[p if isinstance(p, int) else [(p[0],), *p[1:]] for p in self._stretches(text)] for text in texts]
+        keys = (key for stretches in cut for p in stretches if not isinstance(p, int) for key in p)
+        at, low, out = numbered(self.pieces, keys), 0, []
+        self._learn()
+        for stretches in cut:
+            parts = [np.zeros(0, np.int32)]
+            for p in stretches:
+                if isinstance(p, int):
+                    parts.append(np.array([p], np.int32))
+                else:
+                    parts.append(self.piece_ids.gather(at[low : low + len(p)])[0])
+                    low += len(p)
+            out.append(np.concatenate(parts))
+        return out
+
+    def encode_flat(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in one array, and how many each has."""
+        if len(self.pieces) > self.limit:
+            self._forget_pieces()
+        # Many small strings and lists arise at once, none in a cycle: the collector would only walk them.
         collecting = gc.isenabled()
         gc.disable()
         try:
-            self._learn([(new_heads.difference(heads), ""), (new_tails.difference(tails), " ")])
+            cut = [self._cut_plainly(text) if text else () for text in texts]
+            sizes = np.fromiter(map(len, cut), np.int64, len(cut))
+            at = numbered(self.pieces, itertools.chain.from_iterable(cut))
+            del cut
+            self._learn()
+            ids, lengths = self.piece_ids.gather(at)
+            counts = segment_sums(lengths, sizes)
+            odd = np.flatnonzero(segment_sums(self.uncut[at], sizes))
+            if len(odd):
+                ends = np.cumsum(counts)
+                parts, low = [], 0
+                for k, found in zip(odd.tolist(), self._careful([texts[k] for k in odd.tolist()])):
+                    parts += [ids[low : ends[k] - counts[k]], found]
+                    low, counts[k] = ends[k], len(found)
+                ids = np.concatenate([*parts, ids[low:]])
+            return ids, counts
         finally:
             if collecting:
                 gc.enable()
 
-    def ids_of(self, text: str | None) -> list[int]:
-        """Ids of a text whose pieces are known."""
-        heads, tails = self.known
-        ids: list[int] = []
-        for pieces in self._stretches(text) if text else ():
-            if isinstance(pieces, int):
-                ids.append(pieces)
-            else:
-                ids += heads[pieces[0]]
-                for found in map(tails.__getitem__, pieces[1:]):
-                    ids += found
-        return ids
-
     def encode(self, texts: Sequence[str | None]) -> list[list[int]]:
-        self.learn(texts)
-        return [self.ids_of(text) for text in texts]
+        flat, counts = self.encode_flat(texts)
+        ends, ids = np.cumsum(counts).tolist(), flat.tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def decode_ids(tokenizer: Tokenizer, ids: Sequence[int]) -> str:
@@ -248,23 +286,20 @@ def decode_ids(tokenizer: Tokenizer, ids: Sequence[int]) -> str:
     return b"".join(map(tokenizer.pieces.__getitem__, ids)).decode("utf-8", "replace")
 
 
-#: Characters of text whose ids are handed over together.
-_SLICE = 2_000_000
-
-
-#: Characters of text whose new pieces are encoded together.
-_LESSON = 6 * _SLICE
+#: Bytes of text that are encoded together, and whose ids are handed over together.
+_LESSON = 6_000_000
+_SLICE = 1_000_000
 
 
-def _slices(texts: Sequence[str | None], start: int, end: int, most: int) -> Iterator[tuple[int, int]]:
-    size = 0
-    for at in range(start, end):
-        size += len(texts[at] or "")
+def _slices(sizes: Sequence[int], most: int) -> Iterator[tuple[int, int]]:
+    size, start = 0, 0
+    for at, n in enumerate(sizes):
+        size += n
         if size >= most:
             yield start, at + 1
             start, size = at + 1, 0
-    if start < end:
-        yield start, end
+    if start < len(sizes):
+        yield start, len(sizes)
 
 
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
@@ -281,21 +316,17 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decod
         tokenizer = Tokenizer(path)
         encoder = Encoder(tokenizer)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for low, high in _slices(texts, 0, len(texts), _LESSON):
-                encoder.learn(texts[low:high])
-                for start, end in _slices(texts, low, high, _SLICE):
-                    flat: list[int] = []
-                    ends, back = [0], []
-                    for value in texts[start:end]:
-                        found = encoder.ids_of(value)
-                        flat += found
-                        ends.append(len(flat))
-                        if decoded:
-                            back.append(decode_ids(tokenizer, found))
-                    lists = pa.ListArray.from_arrays(np.array(ends, np.int32), np.array(flat, np.int32))
-                    extra = [pa.array(back, pa.string())] if decoded else []
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start), lists, *extra], names)
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+            for low, high in _slices(sizes, _LESSON):
+                flat, counts = encoder.encode_flat(batch.column(1).slice(low, high - low).to_pylist())
+                ends = np.concatenate([[0], np.cumsum(counts)])
+                for start, end in _slices(sizes[low:high], _SLICE):
+                    part, at = flat[ends[start] : ends[end]], ends[start : end + 1] - ends[start]
+                    columns = [batch.column(0).slice(low + start, end - start), pa.ListArray.from_arrays(at.astype(np.int32), part)]
+                    if decoded:
+                        plain, at = part.tolist(), at.tolist()
+                        columns.append(pa.array([decode_ids(tokenizer, plain[a:b]) for a, b in zip(at, at[1:])], pa.string()))
+                    yield pa.RecordBatch.from_arrays(columns, names)
 
     done = rows.mapInArrow(run, T.StructType(fields))
     return done.select("row.*", F.col("ids").alias(ids), *([F.col("decoded").alias(decoded)] if decoded else []))
