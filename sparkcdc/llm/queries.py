@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkcdc.llm import bpe, chat, fingerprint, hamming, langid, mixing, ngram_join, packing, pieces, secret_scan, url_filter
+from sparkcdc.llm import bpe, chat, crosstok, fingerprint, hamming, langid, mixing, ngram_join, packing, pieces, secret_scan, url_filter
 from sparkcdc.llm.common import documents, sha256, written
 
 #: The tokenizer file every executor has; a parameter of the operators.
@@ -210,3 +210,12 @@ def op3_hamming_top_k(spark: SparkSession, folder: str) -> DataFrame:
     vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
     found = hamming.top_k(hamming.sign_codes(vectors, "vec_id", "embedding"), F.col("id") % 20 == 0)
     return found.withColumnRenamed("id", "vec_id")
+
+
+@query("op12_cross_align")
+def op12_cross_align(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's alignment of two tokenizers, and how usual its links are in the corpus."""
+    docs = documents(spark, folder).select("doc_id", "text")
+    found = crosstok.cross_align(docs, TOKENIZER, PIECES, shown=sha256)
+    facts = [F.col(c).cast("bigint").alias(c) for c in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")]
+    return found.select("doc_id", *facts, F.col("groups").alias("groups_sha256"))
