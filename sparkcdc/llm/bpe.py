@@ -189,6 +189,10 @@ class Encoder:
 
     def _forget_words(self) -> None:
         self.words, self.word_ids = numbering(), Ragged()
+        # The string of a special token is never a word of the pattern, so it can be kept among the words.
+        special = self.tokenizer.special
+        numbered(self.words, special)
+        self.word_ids.add(np.array([*special.values()], np.int32), np.ones(len(special), np.int64))
 
     def _learn(self) -> None:
         """Encodes the pieces that were numbered since the last time: their new words first, by the index."""
@@ -199,7 +203,7 @@ class Encoder:
         if len(self.words) > self.limit:
             self._forget_words()
         find = self.tokenizer.words.findall
-        cut = [find(" " + piece) if isinstance(piece, str) else find(piece[0]) for piece in new]
+        cut = [find(" " + piece) if isinstance(piece, str) else find(piece[0]) if len(piece) == 1 else piece[:1] for piece in new]
         at = numbered(self.words, itertools.chain.from_iterable(cut))
         fresh = list(itertools.islice(reversed(self.words), len(self.words) - self.word_ids.count))[::-1]
         self.word_ids.add(*self.tokenizer.encode_flat([w.encode("utf-8", "surrogatepass") for w in fresh]))
@@ -211,65 +215,53 @@ class Encoder:
         inner = (piece if isinstance(piece, str) else piece[0] for piece in new)
         self.uncut[known : len(self.pieces)] = [not p or p[0].isspace() or p[-1].isspace() for p in inner]
 
-    def _stretches(self, text: str) -> Iterator[list[str] | int]:
-        """A text as pieces, and ids of the special tokens between them."""
-        special, splitter = self.tokenizer.special, self.tokenizer.splitter
-        if splitter is None or not any(s in text for s in special):
-            yield _CUT.split(text)
-            return
-        for part in splitter.split(text):
-            if part in special:
-                yield special[part]
-            elif part:
-                yield _CUT.split(part)
-
-    def _cut_plainly(self, text: str) -> list:
+    def _cut_plainly(self, text: str, blank: bool) -> list:
         """Pieces between blanks; one empty piece, which sends the text on, where a special token may be."""
         if any(s in text for s in self.tokenizer.special):
             return [("",)]
         pieces = text.split(" ")
-        pieces[0] = (pieces[0],)
+        if not blank:
+            pieces[0] = (pieces[0],)
         return pieces
 
-    def _careful(self, texts: Sequence[str]) -> list[np.ndarray]:
-        cut = [[p if isinstance(p, int) else [(p[0],), *p[1:]] for p in self._stretches(text)] for text in texts]
-        keys = (key for stretches in cut for p in stretches if not isinstance(p, int) for key in p)
-        at, low, out = numbered(self.pieces, keys), 0, []
+    def _cut_with_care(self, text: str, blank: bool) -> list:
+        """Pieces between blanks that have no white space beside them, and special tokens, as pairs."""
+        special, splitter = self.tokenizer.special, self.tokenizer.splitter
+        text = " " + text if blank else text
+        pieces = []
+        for part in splitter.split(text) if splitter and any(s in text for s in special) else [text]:
+            if part in special:
+                pieces.append((part, None))
+            elif part:
+                head, *rest = _CUT.split(part)
+                pieces += [(head,), *rest]
+        return pieces
+
+    def _put_together(self, cut: list[list]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
+        at = numbered(self.pieces, itertools.chain.from_iterable(cut))
         self._learn()
-        for stretches in cut:
-            parts = [np.zeros(0, np.int32)]
-            for p in stretches:
-                if isinstance(p, int):
-                    parts.append(np.array([p], np.int32))
-                else:
-                    parts.append(self.piece_ids.gather(at[low : low + len(p)])[0])
-                    low += len(p)
-            out.append(np.concatenate(parts))
-        return out
+        ids, lengths = self.piece_ids.gather(at)
+        return ids, segment_sums(lengths, sizes), segment_sums(self.uncut[at], sizes)
 
-    def encode_flat(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in one array, and how many each has."""
+    def encode_flat(self, texts: Sequence[str | None], blank: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in one array, and how many each has; with ``blank``, of texts that have one put in front."""
         if len(self.pieces) > self.limit:
             self._forget_pieces()
         # Many small strings and lists arise at once, none in a cycle: the collector would only walk them.
         collecting = gc.isenabled()
         gc.disable()
         try:
-            cut = [self._cut_plainly(text) if text else () for text in texts]
-            sizes = np.fromiter(map(len, cut), np.int64, len(cut))
-            at = numbered(self.pieces, itertools.chain.from_iterable(cut))
-            del cut
-            self._learn()
-            ids, lengths = self.piece_ids.gather(at)
-            counts = segment_sums(lengths, sizes)
-            odd = np.flatnonzero(segment_sums(self.uncut[at], sizes))
+            ids, counts, uncut = self._put_together([self._cut_plainly(text, blank) if text else () for text in texts])
+            odd = np.flatnonzero(uncut)
             if len(odd):
-                ends = np.cumsum(counts)
-                parts, low = [], 0
-                for k, found in zip(odd.tolist(), self._careful([texts[k] for k in odd.tolist()])):
-                    parts += [ids[low : ends[k] - counts[k]], found]
-                    low, counts[k] = ends[k], len(found)
-                ids = np.concatenate([*parts, ids[low:]])
+                more, sizes, _ = self._put_together([self._cut_with_care(texts[k], blank) for k in odd.tolist()])
+                both = Ragged()
+                both.add(ids, counts)
+                both.add(more, sizes)
+                place = np.arange(len(texts))
+                place[odd] = len(texts) + np.arange(len(odd))
+                ids, counts = both.gather(place)
             return ids, counts
         finally:
             if collecting:

@@ -60,10 +60,10 @@ def numbered(numbers: defaultdict, keys: Iterable) -> np.ndarray:
 
 
 class Ragged:
-    """Lists of ids side by side in one array, added and read many at a time."""
+    """Lists of numbers side by side in one array, added and read many at a time."""
 
-    def __init__(self):
-        self.flat = np.zeros(1 << 12, np.int32)
+    def __init__(self, kind: type = np.int32):
+        self.flat = np.zeros(1 << 12, kind)
         self.starts = np.zeros(1 << 10, np.int64)
         self.lengths = np.zeros(1 << 10, np.int64)
         self.used = self.count = 0

@@ -22,6 +22,7 @@ are told apart by batch and place. The text column is left out of the result; co
 from __future__ import annotations
 
 import heapq
+import itertools
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -34,10 +35,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkcdc.llm import bpe, pieces
-from sparkcdc.llm.common import segment_sums, written
+from sparkcdc.llm.common import Ragged, numbered, numbering, segment_sums, written
 
 #: Bytes of text, and documents, of a batch.
-BATCH_BYTES, BATCH_ROWS = 4_000_000, 1 << 16
+BATCH_BYTES, BATCH_ROWS = 2_000_000, 1 << 16
+#: Pieces remembered by a task before it starts afresh.
+KNOWN_PIECES = 1 << 18
 #: Pairs of a block, blocks merged at a time, pairs of a row of counts.
 BLOCK, FAN, ROW = 4096, 64, 1 << 16
 #: Bytes of text per radix, the least number of radices, and bytes of runs one task reads with one radix's counts.
@@ -48,25 +51,75 @@ RESULTS = ("n_a", "n_b", "n_groups", "groups", "n_links", "n_best", "count_sum")
 
 
 class Aligner:
-    """Tokens of both sides and the groups they form."""
+    """Tokens of both sides and the groups they form.
 
-    def __init__(self, path_a: str, path_b: str):
+    Both tokenizers start a token at a blank between two characters that are no white space, so what lies between two
+    such blanks is aligned by itself, once, and remembered; beyond ``limit`` pieces the memory starts afresh."""
+
+    def __init__(self, path_a: str, path_b: str, limit: int = KNOWN_PIECES):
         self.a = bpe.Tokenizer(path_a)
         # Strings of special tokens inside texts are plain text here.
         self.a.special, self.a.splitter = {}, None
         self.b = pieces.Model(path_b)
-        self.encode_a, self.encode_b = bpe.Encoder(self.a), pieces.Encoder(self.b)
+        self.encode_a, self.encode_b = bpe.Encoder(self.a, limit // 4), pieces.Encoder(self.b, 2 * limit)
         if len(self.a.pieces) > 1 << A_BITS or len(self.b.texts) > 1 << B_BITS:
             raise ValueError("more ids than a record holds")
         self.bytes_a = np.fromiter(map(len, self.a.pieces), np.int64)
         self.bytes_b = np.fromiter(map(len, self.b.texts), np.int64)
         self.shown = [f"{i}{end}" for i in range(len(self.a.pieces)) for end in ",|"]
-        self.shown += [f"{i}{end}" for i in range(len(self.b.texts)) for end in (",", ";", "")]
+        self.shown += [f"{i}{end}" for i in range(len(self.b.texts)) for end in (",", ";", "\n")]
+        self.limit = limit
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.texts = numbering(), []
+        self.links, self.sizes = Ragged(np.int64), [Ragged(np.int64) for _ in range(3)]
+        self.apart = Ragged(bool)
+
+    def _learn(self) -> None:
+        new = list(itertools.islice(reversed(self.known), len(self.known) - len(self.texts)))[::-1]
+        n_a, n_b, n_groups, groups, a, b, _ = self.aligned(new)
+        self.texts += groups
+        self.links.add(b.astype(np.int64) << A_BITS | a, n_groups)
+        one = np.ones(len(new), np.int64)
+        for held, found in zip(self.sizes, (n_a, n_b, n_groups)):
+            held.add(found, one)
+        # Next to white space a blank belongs to a longer token; and a piece may not be given back.
+        self.apart.add(np.array([not p or p[0].isspace() or p[-1].isspace() or pieces.BLANK in p for p in new], bool) | (n_groups == 0), one)
 
     def align(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
         """Per text its tokens on both sides, groups and their text; per link its A id, B id and text."""
+        if len(self.known) > self.limit:
+            self._forget()
+        cut = [text.split(" ") if text else [] for text in texts]
+        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
+        at = numbered(self.known, itertools.chain.from_iterable(cut))
+        del cut
+        self._learn()
+        odd = segment_sums(self.apart.gather(at)[0], sizes) > 0
+        at, sizes = at[np.repeat(~odd, sizes)], np.where(odd, 0, sizes)
+        facts = [segment_sums(held.gather(at)[0], sizes) for held in self.sizes]
+        links, per_piece = self.links.gather(at)
+        owner = np.repeat(np.arange(len(texts)), segment_sums(per_piece, sizes))
+        shown, low = [], 0
+        for size in sizes.tolist():
+            shown.append(";".join(map(self.texts.__getitem__, at[low : low + size].tolist())))
+            low += size
+        a, b = links & ((1 << A_BITS) - 1), links >> A_BITS
+        if odd.any():
+            where = np.flatnonzero(odd)
+            *more, groups, more_a, more_b, linked = self.aligned([texts[k] for k in where.tolist()])
+            for held, found in zip(facts, more):
+                held[where] = found
+            for k, text in zip(where.tolist(), groups):
+                shown[k] = text
+            a, b, owner = np.concatenate([a, more_a]), np.concatenate([b, more_b]), np.concatenate([owner, where[linked]])
+        return *facts, shown, a, b, owner
+
+    def aligned(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """The same without remembering."""
         whole = [" " + text if text else None for text in texts]
-        ids_a, n_a = self.encode_a.encode_flat(whole)
+        ids_a, n_a = self.encode_a.encode_flat(texts, blank=True)
         ids_b, n_b = self.encode_b.encode(texts)
         kept = self._kept(whole, ids_a, n_a, ids_b, n_b)
         if not kept.all():
@@ -86,15 +139,22 @@ class Aligner:
         return n_a, n_b, n_groups, self._groups(ids_a, ids_b, last_a, last_b, n_a, n_b), ids_a[last_a], ids_b[last_b], linked
 
     def _kept(self, whole, ids_a, n_a, ids_b, n_b) -> np.ndarray:
-        flat_a, flat_b = ids_a.tolist(), ids_b.tolist()
-        kept = np.zeros(len(whole), bool)
+        """Which texts both sides give back."""
+        there = [text.encode() for text in whole if text is not None]
+        raw, lengths = b"".join(there), np.fromiter(map(len, there), np.int64, len(there))
+        kept = np.array([text is not None for text in whole], bool)
+        if all(
+            np.array_equal(segment_sums(size[ids], n)[kept], lengths) and b"".join(map(texts.__getitem__, ids.tolist())) == raw
+            for ids, n, size, texts in ((ids_a, n_a, self.bytes_a, self.a.pieces), (ids_b, n_b, self.bytes_b, self.b.texts))
+        ):
+            return kept
         low_a = low_b = 0
         for k, (text, a, b) in enumerate(zip(whole, n_a.tolist(), n_b.tolist())):
             if text is not None:
                 raw = text.encode()
                 kept[k] = (
-                    b"".join(map(self.b.texts.__getitem__, flat_b[low_b : low_b + b])) == raw
-                    and b"".join(map(self.a.pieces.__getitem__, flat_a[low_a : low_a + a])) == raw
+                    b"".join(map(self.b.texts.__getitem__, ids_b[low_b : low_b + b].tolist())) == raw
+                    and b"".join(map(self.a.pieces.__getitem__, ids_a[low_a : low_a + a].tolist())) == raw
                 )
             low_a, low_b = low_a + a, low_b + b
         return kept
@@ -111,9 +171,9 @@ class Aligner:
         words = np.empty(len(ids_a) + len(ids_b), np.int64)
         words[np.arange(len(ids_a)) + upto_b[group_a]] = ids_a.astype(np.int64) * 2 + last_a
         words[np.arange(len(ids_b)) + upto_a[group_b + 1]] = len(self.a.pieces) * 2 + ids_b.astype(np.int64) * 3 + last_b + final
-        ends = np.cumsum(n_a + n_b).tolist()
-        flat = words.tolist()
-        return ["".join(map(self.shown.__getitem__, flat[low:high])) for low, high in zip([0, *ends], ends)]
+        # One text over all, cut where the last token of each ends.
+        shown = iter("".join(map(self.shown.__getitem__, words.tolist())).split("\n"))
+        return [next(shown) if n else "" for n in n_a.tolist()]
 
 
 def spread(b: np.ndarray) -> np.ndarray:
@@ -206,8 +266,9 @@ def with_maxima(merged: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tup
 
 def records(a: np.ndarray, b: np.ndarray, doc: np.ndarray, radix_bits: int) -> Iterator[tuple[int, bytes, bytes]]:
     """A batch's links as runs: per radix the pairs with their counts, and which documents hold each how often."""
-    key = (spread(b) << A_BITS | a) << 16 | doc
-    found, n = np.unique(key, return_counts=True)
+    key = np.sort((spread(b) << A_BITS | a) << 16 | doc)
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    found, n = key[first], np.diff(np.append(first, len(key)))
     pair = found >> 16
     heads = np.flatnonzero(np.diff(pair, prepend=-1))
     radix = pair[heads] >> (A_BITS + B_BITS - radix_bits)
