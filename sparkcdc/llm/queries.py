@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkcdc.llm import bpe, chat, crosstok, fingerprint, hamming, langid, mixing, ngram_join, packing, pieces, secret_scan, url_filter
+from sparkcdc.llm import bpe, chat, collocations, crosstok, fingerprint, hamming, langid, mixing, ngram_join, packing, pieces, secret_scan, url_filter
 from sparkcdc.llm.common import documents, sha256, written
 
 #: The tokenizer file every executor has; a parameter of the operators.
@@ -219,3 +219,47 @@ def op12_cross_align(spark: SparkSession, folder: str) -> DataFrame:
     found = crosstok.cross_align(docs, TOKENIZER, PIECES, shown=sha256)
     facts = [F.col(c).cast("bigint").alias(c) for c in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")]
     return found.select("doc_id", *facts, F.col("groups").alias("groups_sha256"))
+
+
+@query(
+    "op11_collocations",
+    """
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang,
+               regexp_extract_all(unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS w
+        FROM documents
+    ), starts AS (
+        SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces
+    ), grams AS (
+        SELECT lang, list_slice(w, i, i + s - 1) AS p FROM starts, range(1, 6) AS t(s) WHERE i + s - 1 <= len(w)
+    ), counted AS (
+        SELECT lang, p, count(*) AS f FROM grams GROUP BY lang, p
+    ), sizes AS (
+        SELECT lang, sum(f) AS n FROM counted WHERE len(p) = 1 GROUP BY lang
+    ), candidates AS (
+        SELECT lang, p, f AS a FROM counted WHERE len(p) > 1 AND f >= 100
+    ), cuts AS (
+        SELECT c.lang, c.p, c.a, k, x.f AS l, y.f AS r, n, (1000::HUGEINT * c.a * n) // (x.f::HUGEINT * y.f) AS score
+        FROM (SELECT *, unnest(range(1, len(p))) AS k FROM candidates) c
+        JOIN counted x ON x.lang = c.lang AND x.p = list_slice(c.p, 1, k)
+        JOIN counted y ON y.lang = c.lang AND y.p = list_slice(c.p, k + 1, len(c.p))
+        JOIN sizes s ON s.lang = c.lang
+    ), least AS (
+        SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+    ), inside AS (
+        SELECT lang, list_slice(p, i, i + s - 1) AS p, max(a) AS top
+        FROM (SELECT *, unnest(range(1, len(p) + 1)) AS i FROM candidates), range(2, 5) AS t(s)
+        WHERE i + s - 1 <= len(p) AND s < len(p) GROUP BY 1, 2
+    ), ranked AS (
+        SELECT m.lang, array_to_string(m.p, ' ') AS phrase, a, l, r, n, score,
+               row_number() OVER (PARTITION BY m.lang ORDER BY score DESC, a DESC, array_to_string(m.p, ' ')) AS rank
+        FROM least m LEFT JOIN inside i ON i.lang = m.lang AND i.p = m.p
+        WHERE top IS NULL OR 100 * top < 100 * a
+    )
+    SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000
+    """,
+)
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """Every language's 2,000 best phrases."""
+    found = collocations.best(collocations.collocations(documents(spark, folder)), top=2000)
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", F.col("score").cast("bigint").alias("score"))
