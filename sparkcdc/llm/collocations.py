@@ -1,13 +1,15 @@
 """Phrase collocations, counted with quotient filters.
 
 1. Texts become blocks: a dictionary of words and one code per word occurrence, the break between pieces being a code
-   as well. Words are counted per block, added up over blocks, and those that occur often enough get numbers.
+   as well. The dictionaries are dealt by word, added up, and words that occur often enough get numbers, which go back
+   to the blocks that hold them.
 2. A block's codes become these numbers. Every phrase of numbered words is packed into a few lanes, the lanes
    are permuted (a Feistel network: it can be undone, so nothing is lost), and the permuted phrases go into counting
    quotient filters, one per shard: the leading bits choose the shard, the next ones, the quotient, are kept as run
    lengths, and only the remainder of each phrase is stored, in full, beside a small counter.
 3. The filters of a shard are sorted alike, so they are merged range by range; what is frequent enough is permuted
-   back. A phrase with a rare word is rare itself, so leaving rare words out loses no candidate.
+   back. This is done for pairs first. The frequent pairs of each block go back to it, and longer phrases are counted
+   where all their pairs are frequent: a phrase is at most as frequent as its words and pairs, so no candidate is lost.
 4. Candidates are few; scores and inclusion are joins on them.
 
 Everything is per language; a null language is ``und``, a null text has no words. Repeated rows count as often as
@@ -16,6 +18,7 @@ they come. Ids and other columns are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -31,8 +34,8 @@ from sparkcdc.llm.common import numbered, numbering, written
 BREAKS, UNKNOWN = b".,;:!?\n\x0b\x0c\r", "und"
 _BREAK = b"\xff"
 _FOLD = bytes(0xFF if c in BREAKS else c + 32 if 65 <= c <= 90 else c for c in range(256))
-#: Bytes of text of a block, entries a shard is laid out for, entries merged at a time, buckets words are numbered in.
-BLOCK_BYTES, SHARD_ENTRIES, RANGE, NUMBER_BUCKETS = 8_000_000, 1 << 21, 1 << 18, 1024
+#: Bytes of text of a block, entries a shard is laid out for, entries merged at a time.
+BLOCK_BYTES, SHARD_ENTRIES, RANGE = 8_000_000, 1 << 21, 1 << 18
 _ROUNDS = 4
 
 
@@ -163,7 +166,7 @@ def merge_filters(layout: Layout, shard: int, filters: Sequence[bytes]) -> Itera
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
-    """``(block, lang, words, counts, codes)``: word 0 is the break between pieces."""
+    """``(block, lang, n, words, counts, codes)``: n word occurrences; word 0 is the break between pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, size, held = TaskContext.get().partitionId() << 32, 0, {}
@@ -175,9 +178,10 @@ def _blocks(docs: DataFrame) -> DataFrame:
                 counts = np.bincount(flat, minlength=len(words))
                 names = ["", *[w.decode() for w in list(words)[1:]]]
                 packed = zstandard.ZstdCompressor(level=1).compress(flat.tobytes())
-                row = [[number], [lang], [names], [counts.tolist()], [packed]]
-                kinds = [pa.int64(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds)], ["block", "lang", "words", "counts", "codes"])
+                row = [[number], [lang], [int(counts[1:].sum())], [names], [counts.tolist()], [packed]]
+                kinds = [pa.int64(), pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary()]
+                columns = [pa.array(x, k) for x, k in zip(row, kinds)]
+                yield pa.RecordBatch.from_arrays(columns, ["block", "lang", "n", "words", "counts", "codes"])
                 number += 1
 
         for batch in batches:
@@ -199,21 +203,111 @@ def _blocks(docs: DataFrame) -> DataFrame:
                     size, held = 0, {}
         yield from flushed()
 
-    return docs.mapInArrow(run, "block bigint, lang string, words array<string>, counts array<bigint>, codes binary")
+    return docs.mapInArrow(run, "block bigint, lang string, n bigint, words array<string>, counts array<bigint>, codes binary")
 
 
-def _filters(coded: DataFrame, layout: Layout) -> DataFrame:
-    """Counts of all phrases of numbered words, as one filter per block and shard."""
+def _per_shard(dealt: DataFrame, work, schema: str) -> DataFrame:
+    """``work(lang, shard, [(block, bytes)])`` for every shard of a language; it yields rows of ``schema``."""
+    names = [f.split()[0] for f in schema.split(", ")]
 
-    def phrases(ids: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-        lanes, counts = [[] for _ in layout.widths], []
-        ok = ids > 0
-        for size in range(2, layout.words + 1):
-            ok = ok[:-1] & (ids[size - 1 :] > 0)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, held = None, []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if (row["lang"], row["shard"]) != here:
+                    if held:
+                        yield from work(*here, held)
+                    here, held = (row["lang"], row["shard"]), []
+                held.append((row["block"], row["part"]))
+        if held:
+            yield from work(*here, held)
+
+    laid = dealt.select("lang", "shard", "block", "part").repartition("lang", "shard").sortWithinPartitions("lang", "shard", "block")
+    return laid.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays(columns, names) for columns in run(batches)), schema)
+
+
+def _dealt_words(blocks: DataFrame, shards: int) -> DataFrame:
+    """Every block's words with their counts and places, in parts by word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                block, lang, words, counts = (batch.column(c)[k].as_py() for c in range(4))
+                raw = [w.encode() for w in words]
+                shard = np.fromiter((zlib.crc32(w) % shards for w in raw), np.int64, len(raw))
+                shard[0] = -1
+                counts = np.array(counts, "<i8")
+                own, parts = [], []
+                for s in np.unique(shard[1:]).tolist():
+                    at = np.flatnonzero(shard == s)
+                    own.append(s)
+                    text = b" ".join([raw[i] for i in at.tolist()])
+                    head = np.array([len(at)], "<i8").tobytes()
+                    parts.append(zstandard.ZstdCompressor(level=1).compress(head + at.astype("<i8").tobytes() + counts[at].tobytes() + text))
+                columns = [pa.array([lang] * len(own), pa.string()), pa.array(own, pa.int32()), pa.array([block] * len(own), pa.int64()), pa.array(parts, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "shard", "block", "part"])
+
+    return blocks.select("block", "lang", "words", "counts").mapInArrow(run, "lang string, shard int, block bigint, part binary")
+
+
+def _numbered_words(parts: DataFrame, shards: int, min_count: int) -> DataFrame:
+    """Two sorts of rows: frequent words with count and number, and per block the places of such words."""
+
+    def read(part: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        raw = zstandard.ZstdDecompressor().decompress(part)
+        n = int(np.frombuffer(raw, "<i8", 1)[0])
+        return np.frombuffer(raw, "<i8", n, 8), np.frombuffer(raw, "<i8", n, 8 + 8 * n), raw[8 + 16 * n :].split(b" ")
+
+    def work(lang, shard, held) -> Iterator[list[pa.Array]]:
+        words, total = numbering(), np.zeros(0, np.int64)
+        for _, part in held:
+            _, counts, raw = read(part)
+            at = numbered(words, raw)
+            total = np.concatenate([total, np.zeros(len(words) - len(total), np.int64)])
+            total[at] += counts
+        names = list(words)
+        often = sorted(np.flatnonzero(total >= min_count).tolist(), key=names.__getitem__)
+        number = np.zeros(len(names), np.int64)
+        number[often] = np.arange(len(often)) * shards + shard + 1
+        n = len(often)
+        if n:
+            yield [pa.array([lang] * n, pa.string()), pa.array([names[i].decode() for i in often], pa.string()), pa.array(total[often]),
+                   pa.array(number[often]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())]
+        for block, part in held:
+            at, _, raw = read(part)
+            ids = number[numbered(words, raw)]
+            there = ids > 0
+            if there.any():
+                found = np.stack([at[there], ids[there]]).astype("<i8").tobytes()
+                yield [pa.array([lang], pa.string()), pa.nulls(1, pa.string()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
+                       pa.array([block], pa.int64()), pa.array([zstandard.ZstdCompressor(level=1).compress(found)], pa.binary())]
+
+    return _per_shard(parts, work, "lang string, word string, f bigint, id bigint, block bigint, known binary")
+
+
+def _unpacked(parts: Sequence[bytes], rows: int) -> np.ndarray:
+    reader = zstandard.ZstdDecompressor()
+    return np.concatenate([np.zeros((rows, 0), "<i8"), *[np.frombuffer(reader.decompress(p), "<i8").reshape(rows, -1) for p in parts]], axis=1)
+
+
+def _filters(coded: DataFrame, layout: Layout, sizes: Sequence[int]) -> DataFrame:
+    """Counts of the phrases of these sizes, as one filter per block and shard. Phrases longer than two words
+    only where all their pairs are in the block's ``pairs``."""
+
+    def phrases(ids: np.ndarray, pairs: np.ndarray | None) -> tuple[list[np.ndarray], np.ndarray]:
+        lanes, counts = [[np.zeros(0, np.uint64)] for _ in layout.widths], [np.zeros(0, np.int64)]
+        joined = (ids[:-1] > 0) & (ids[1:] > 0)
+        if pairs is not None:
+            joined &= np.isin(ids[:-1] << 32 | ids[1:], pairs)
+        ok = joined
+        for size in range(2, max(sizes) + 1):
+            if size > 2:
+                ok = ok[:-1] & joined[size - 2 :]
+            if size not in sizes:
+                continue
             at = np.flatnonzero(ok)
-            packed = layout.permute(layout.pack([ids[at + k] for k in range(size)]))
             # One size at a time: sizes never meet.
-            packed, n = added_up(packed, np.ones(len(at), np.int64))
+            packed, n = added_up(layout.permute(layout.pack([ids[at + k] for k in range(size)])), np.ones(len(at), np.int64))
             for lane, part in zip(lanes, packed):
                 lane.append(part)
             counts.append(n)
@@ -222,47 +316,55 @@ def _filters(coded: DataFrame, layout: Layout) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                lang, raw, at, number = (batch.column(c)[k].as_py() for c in range(4))
+                block, lang, raw, known, pairs = (batch.column(c)[k].as_py() for c in range(5))
                 codes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), "<i4")
                 number_of = np.zeros(int(codes.max()) + 1, np.int64)
+                at, number = _unpacked(known, 2)
                 number_of[at] = number
-                lanes, counts = phrases(number_of[codes])
+                lanes, counts = phrases(number_of[codes], None if pairs is None else _unpacked(pairs, 1)[0])
                 shard = layout.shard(lanes)
                 cuts = np.flatnonzero(np.diff(shard, prepend=-1)).tolist()
-                for low, high in zip(cuts, [*cuts[1:], len(shard)]):
-                    one = to_filter(layout, [lane[low:high] for lane in lanes], counts[low:high])
-                    row = [pa.array([lang], pa.string()), pa.array([int(shard[low])], pa.int32()), pa.array([one], pa.binary())]
-                    yield pa.RecordBatch.from_arrays(row, ["lang", "shard", "filter"])
+                parts = [to_filter(layout, [lane[low:high] for lane in lanes], counts[low:high]) for low, high in zip(cuts, [*cuts[1:], len(shard)])]
+                n = len(parts)
+                columns = [pa.array([lang] * n, pa.string()), pa.array(shard[cuts], pa.int32()), pa.array([block] * n, pa.int64()), pa.array(parts, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "shard", "block", "part"])
+
+    return coded.mapInArrow(run, "lang string, shard int, block bigint, part binary")
 
-    return coded.mapInArrow(run, "lang string, shard int, filter binary")
 
+def _frequent(filters: DataFrame, layout: Layout, min_count: int, back: bool) -> DataFrame:
+    """Two sorts of rows: phrases that reach ``min_count`` over all filters of their shard, as lists of word numbers,
+    and, if ``back``, which of these pairs each block's filter holds."""
 
-def _frequent(filters: DataFrame, layout: Layout, min_count: int) -> DataFrame:
-    """Phrases that reach ``min_count`` over all filters of their shard, as lists of word numbers."""
+    def joined(lanes) -> np.ndarray:
+        first, second = layout.unpack(layout.undo(lanes))[:2]
+        return first << 32 | second
 
-    def merged(lang, shard, blobs) -> Iterator[pa.RecordBatch]:
-        for lanes, counts in merge_filters(layout, shard, blobs):
+    def work(lang, shard, held) -> Iterator[list[pa.Array]]:
+        pairs = [np.zeros(0, np.int64)]
+        for lanes, counts in merge_filters(layout, shard, [part for _, part in held]):
             often = counts >= min_count
             if often.any():
-                numbers = np.stack(layout.unpack(layout.undo([lane[often] for lane in lanes])), axis=1)
-                ids = [[n for n in row if n] for row in numbers.tolist()]
-                columns = [pa.array([lang] * len(ids), pa.string()), pa.array(ids, pa.list_(pa.int64())), pa.array(counts[often], pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", "ids", "f"])
+                lanes = [lane[often] for lane in lanes]
+                if back:
+                    pairs.append(joined(lanes))
+                ids = [[n for n in row if n] for row in np.stack(layout.unpack(layout.undo(lanes)), axis=1).tolist()]
+                n = len(ids)
+                yield [pa.array([lang] * n, pa.string()), pa.array(ids, pa.list_(pa.int64())), pa.array(counts[often]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())]
+        often = np.concatenate(pairs)
+        for block, part in held if len(often) else ():
+            own = joined(from_filter(layout, shard, part)[0])
+            own = own[np.isin(own, often)]
+            if len(own):
+                found = zstandard.ZstdCompressor(level=1).compress(np.sort(own).astype("<i8").tobytes())
+                yield [pa.array([lang], pa.string()), pa.nulls(1, pa.list_(pa.int64())), pa.nulls(1, pa.int64()), pa.array([block], pa.int64()), pa.array([found], pa.binary())]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, blobs = None, []
-        for batch in batches:
-            for row in batch.to_pylist():
-                if (row["lang"], row["shard"]) != here:
-                    if blobs:
-                        yield from merged(*here, blobs)
-                    here, blobs = (row["lang"], row["shard"]), []
-                blobs.append(row["filter"])
-        if blobs:
-            yield from merged(*here, blobs)
+    return _per_shard(filters, work, "lang string, ids array<bigint>, f bigint, block bigint, pairs binary")
 
-    dealt = filters.repartition("lang", "shard").sortWithinPartitions("lang", "shard")
-    return dealt.mapInArrow(run, "lang string, ids array<bigint>, f bigint")
+
+def _per_block(rows: DataFrame, name: str) -> DataFrame:
+    """What came back to each block, one part per shard."""
+    return rows.where(F.col(name).isNotNull()).groupBy("block").agg(F.collect_list(name).alias(name))
 
 
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", min_count: int = 100, max_words: int = 5, share: int = 100) -> DataFrame:
@@ -273,20 +375,24 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", min_co
     that lies within a longer candidate with at least ``share`` percent of its occurrences is left out."""
     given = docs.select(F.coalesce(F.col(f"`{lang}`"), F.lit(UNKNOWN)).alias("lang"), F.col(f"`{text}`").alias("text"))
     blocks = written(_blocks(given), "phrase-blocks")
-    local = blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w")).where("at > 0")
-    local = local.select("block", "lang", "at", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    sizes = local.groupBy("lang").agg(F.sum("n").alias("n"))
-    often = local.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
-    bucket = often.withColumn("_b", F.pmod(F.xxhash64("lang", "word"), F.lit(NUMBER_BUCKETS)))
-    nth = F.row_number().over(Window.partitionBy("_b").orderBy("lang", "word")).cast("bigint")
-    words = written(bucket.select("lang", "word", "f", ((nth - 1) * NUMBER_BUCKETS + F.col("_b") + 1).alias("id")), "phrase-words")
+    sizes = blocks.groupBy("lang").agg(F.sum("n").alias("n"))
+    shards = 16 + (blocks.agg(F.coalesce(F.sum(F.size("words")), F.lit(0)).alias("n")).first()["n"] * 4) // SHARD_ENTRIES
+    numbers = written(_numbered_words(_dealt_words(blocks, shards), shards, min_count), "phrase-words")
+    words = numbers.where(F.col("word").isNotNull()).select("lang", "word", "f", "id")
     facts = words.agg(F.coalesce(F.max("id"), F.lit(1)).alias("top"), F.coalesce(F.sum("f"), F.lit(0)).alias("held")).first()
-    shards = max(16, facts["held"] * (max_words - 1) // SHARD_ENTRIES)
-    layout = Layout(int(facts["top"]).bit_length(), max_words, min(int(shards).bit_length(), int(facts["top"]).bit_length()))
-
-    known = local.join(words.select("lang", "word", "id"), ["lang", "word"]).groupBy("block").agg(F.collect_list(F.struct("at", "id")).alias("_k"))
-    coded = blocks.select("block", "lang", "codes").join(known, "block").select("lang", "codes", F.col("_k.at").alias("at"), F.col("_k.id").alias("id"))
-    found = written(_frequent(_filters(coded, layout), layout, min_count), "phrase-counts")
+    bits = max(2, int(facts["top"]).bit_length())
+    if bits > 31:
+        raise ValueError("more frequent words than a pair of numbers holds")
+    layout = Layout(bits, max_words, min(bits, (16 + facts["held"] // SHARD_ENTRIES).bit_length()))
+
+    coded = blocks.select("block", "lang", "codes").join(_per_block(numbers, "known"), "block")
+    pairs = _filters(coded.withColumn("pairs", F.lit(None).cast("array<binary>")), layout, [2])
+    pairs = written(_frequent(pairs, layout, min_count, back=max_words > 2), "phrase-pairs")
+    found = pairs.where(F.col("f").isNotNull()).select("lang", "ids", "f")
+    if max_words > 2:
+        longer = _filters(coded.join(_per_block(pairs, "pairs"), "block"), layout, range(3, max_words + 1))
+        longer = written(_frequent(longer, layout, min_count, back=False), "phrase-counts")
+        found = found.unionByName(longer.where(F.col("f").isNotNull()).select("lang", "ids", "f"))
 
     both = found.unionByName(words.select("lang", F.array("id").alias("ids"), "f"))
     size = F.size("ids")
@@ -306,7 +412,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", min_co
     covered = inner.groupBy("lang", "ids").agg(F.max("f").alias("_top"))
     kept = least.join(covered, ["lang", "ids"], "left").where(F.coalesce(100 * F.col("_top") < share * F.col("a"), F.lit(True)))
 
-    spelt = kept.select("lang", "ids", F.posexplode("ids").alias("_at", "id")).join(words.select("id", "word"), "id")
+    spelt = kept.select("lang", "ids", F.posexplode("ids").alias("_at", "id")).join(words.select("lang", "id", "word"), ["lang", "id"])
     spelt = spelt.groupBy("lang", "ids").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_at", "word"))), lambda w: w["word"]), " ").alias("phrase"))
     return kept.join(spelt, ["lang", "ids"]).select("lang", "phrase", "a", F.col("_m.l").alias("l"), F.col("_m.r").alias("r"), "n", F.col("_m.score").alias("score"))
 
