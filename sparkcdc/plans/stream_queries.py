@@ -7,10 +7,12 @@ import uuid
 from pyspark.sql import functions as F
 
 from sparkcdc.functions import codecs
+from sparkcdc.operators import outbox
+from sparkcdc.plans import batch_queries  # noqa: F401  (its derived inputs)
 from sparkcdc.plans import fixtures as fx
 from sparkcdc.plans.registry import query
-from sparkcdc.session import ensure_checkpoint_dir
-from sparkcdc.streaming import apply, relay
+from sparkcdc.session import ensure_checkpoint_dir, stored
+from sparkcdc.streaming import apply, delivery, relay
 
 EPOCH = "ep-1"
 
@@ -138,3 +140,115 @@ def capture_stream_q(spark, folder):
     out = captured.writeStream.format("parquet").option("checkpointLocation", f"{place}/checkpoint").trigger(availableNow=True)
     out.start(f"{place}/log").awaitTermination()
     return spark.read.schema("ev_id bigint, value string").parquet(f"{place}/log")
+
+
+def tick_files(spark, folder, place, parts=3):
+    """The tick log as a table, from the subscription on, and the same ticks as files that arrive one after the other."""
+    start = spark.sql(f"SELECT 0L AS tick_id, timestamp_micros(1704067200000000L) AS tick_time, {fx.TXID_BASE}L AS xmin, {fx.TXID_BASE}L AS xmax, cast(array() AS array<bigint>) AS xip, 0L AS event_seq")
+    fx.ticks(spark, folder).select(*[F.col(c).cast(start.schema[c].dataType).alias(c) for c in start.columns]).unionByName(start).write.parquet(f"{place}/ticks")
+    log = spark.read.schema(start.schema).parquet(f"{place}/ticks")
+    top = log.agg(F.max("tick_id").alias("t")).first()["t"]
+    for k in range(parts):
+        own = log.where(F.expr(f"tick_id * {parts} div {top + 1} = {k}"))
+        own.coalesce(1).write.mode("append").parquet(f"{place}/arriving")
+    fresh = spark.readStream.schema(start.schema).option("maxFilesPerTrigger", "1").parquet(f"{place}/arriving")
+    return log, fresh
+
+
+def delivered(spark, folder, name, events, encode, topics, parts=3, fenced=True, **settings):
+    """Every closed batch of the tick log delivered over ``parts`` micro-batches, and the log a reader sees."""
+    place = scratch(spark, name)
+    ticks, fresh = tick_files(spark, folder, place, parts)
+    log = delivery.Log(spark, f"{place}/log", fenced)
+    delivery.batch_stream(fresh, events, ticks, encode, log, topics, EPOCH, f"{place}/checkpoint", **settings).awaitTermination()
+    return log.read()
+
+
+def outbox_events(spark, folder):
+    """Committed events whose payload is an outbox wrapper; every 23rd has a header without value before its id."""
+    k = F.col("ev_id") - 1
+    ident = codecs.stable_uuid(k)
+    own = F.struct(F.lit("id").alias("key"), codecs.b64(codecs.utf8(ident)).alias("value"))
+    empty = F.struct(F.lit("empty").alias("key"), F.lit(None).cast("string").alias("value"))
+    headers = F.when(k % 23 == 0, F.array(empty, own)).otherwise(F.array(own))
+    value = F.concat(codecs.int8_bytes(k), codecs.utf8(F.col("ev_type")))
+    body = outbox.wrap(ident, codecs.utf8(F.col("queue")), value, headers)
+    return fx.committed_events(spark, folder).select("ev_id", "ev_txid", body.alias("ev_data"))
+
+
+def change_events(spark, folder):
+    """Committed events as captured inserts, in one schema per type; their schemas have routes of their own."""
+    body = F.concat(
+        F.lit('{"schema":"'), F.col("ev_type"), F.lit('","table":"t","op":"INSERT","before":null,"after":'), F.col("ev_data"), F.lit("}")
+    )
+    return fx.committed_events(spark, folder).select("ev_id", "ev_txid", body.alias("ev_data"))
+
+
+def log_shown(rows):
+    listed = F.array_join(F.transform("headers", lambda h: F.concat(h["key"], F.lit("="), F.coalesce(F.hex(h["value"]), F.lit("")))), ",")
+    return rows.select("topic", "offset", "batch_tick", "chunk", "kind", "ev_id", F.hex("key").alias("key_hex"), F.hex("value").alias("value_hex"), listed.alias("headers"))
+
+
+CHUNK = 40
+OUTBOX_LOG = f"""SELECT 'out.all' AS topic, row_number() OVER (ORDER BY batch_tick, ev_id) - 1 AS "offset", batch_tick,
+    (row_number() OVER (PARTITION BY batch_tick ORDER BY ev_id) - 1) // {CHUNK} + 1 AS chunk, 'data' AS kind, ev_id, hex(encode(queue)) AS key_hex,
+    lpad(hex(ev_id - 1), 16, '0') || hex(encode(ev_type)) AS value_hex,
+    CASE WHEN (ev_id - 1) % 23 = 0 THEN 'empty=,' ELSE '' END || 'id=' || hex(encode('00000000-0000-0000-0000-' || lpad(lower(hex(ev_id - 1)), 12, '0'))) AS headers
+    FROM assigned WHERE batch_tick IS NOT NULL"""
+
+
+@query("relay_outbox", OUTBOX_LOG, uses="assigned")
+def relay_outbox_q(spark, folder):
+    """The outbox in closed batches, at least once: in order, with offsets and chunks."""
+    events = outbox_events(spark, folder)
+    return log_shown(delivered(spark, folder, "outbox", events, relay.outbox_encoder("out.all"), ["out.all"], fenced=False, batch=CHUNK))
+
+
+@query("relay_outbox_fenced", OUTBOX_LOG, uses="assigned")
+def relay_outbox_fenced_q(spark, folder):
+    """The same behind a fence per chunk."""
+    events = outbox_events(spark, folder)
+    return log_shown(delivered(spark, folder, "outbox-fenced", events, relay.outbox_encoder("out.all"), ["out.all"], batch=CHUNK))
+
+
+ROUTED_CTE = """routes AS (SELECT * FROM (VALUES ('error', 'cdc.errors'), ('never', 'cdc.idle')) AS t("schema", topic)
+      UNION ALL SELECT DISTINCT ev_type, 'cdc.' || ev_type FROM ev WHERE ev_type <> 'error'),
+    data AS (SELECT topic, batch_tick, ev_id, 0 AS last, (row_number() OVER (PARTITION BY batch_tick ORDER BY ev_id) - 1) // 40 + 1 AS chunk, 'data' AS kind, '65702D31' AS key_hex,
+      hex(encode('{"headers":{"ID":"ep-1:' || ev_id || '","PARTITION_ID":"ep-1"},"payload":"' ||
+        replace('{"schema":"' || ev_type || '","table":"t","op":"INSERT","before":null,"after":' || ev_data || '}', '"', '\\"') || '"}')) AS value_hex
+      FROM assigned JOIN routes ON "schema" = ev_type WHERE batch_tick IS NOT NULL)"""
+ROUTED_LOG = f"""WITH {ROUTED_CTE}
+    SELECT topic, row_number() OVER (PARTITION BY topic ORDER BY batch_tick, ev_id) - 1 AS "offset", batch_tick, chunk, kind, ev_id, key_hex, value_hex, CAST(NULL AS VARCHAR) AS headers FROM data"""
+BOUNDARY_LOG = f"""WITH {ROUTED_CTE},
+    ends AS (SELECT t.tick_id, t.tick_time, coalesce(max(chunk), 0) + 1 AS chunk FROM ticks t LEFT JOIN data ON batch_tick = t.tick_id GROUP BY 1, 2),
+    marks AS (SELECT topic, tick_id AS batch_tick, CAST(NULL AS BIGINT) AS ev_id, 1 AS last, chunk, 'boundary' AS kind, '65702D31' AS key_hex,
+      hex(encode('{{"rowrelay_progress":{{"version":1,"source_epoch":"ep-1","committed_before":"' || strftime(tick_time, '%Y-%m-%dT%H:%M:%S') || 'Z"}}}}')) AS value_hex FROM ends, routes)
+    SELECT topic, row_number() OVER (PARTITION BY topic ORDER BY batch_tick, last, ev_id) - 1 AS "offset", batch_tick, chunk, kind, ev_id, key_hex, value_hex, CAST(NULL AS VARCHAR) AS headers
+    FROM (SELECT * FROM data UNION ALL SELECT * FROM marks)"""
+
+
+def routes_of(spark, folder):
+    """One topic per schema that occurs, and one that stays idle."""
+    kinds = fx.events(spark, folder).select(F.col("ev_type").alias("schema")).distinct()
+    named = F.when(F.col("schema") == "error", F.lit("cdc.errors")).otherwise(F.concat(F.lit("cdc."), F.col("schema")))
+    idle = spark.sql("SELECT 'never' AS schema, 'cdc.idle' AS topic")
+    return stored(kinds.select("schema", named.alias("topic")).unionByName(idle))
+
+
+def routed_delivery(spark, folder, name, **settings):
+    routes = routes_of(spark, folder)
+    # Routes are configuration, at most a few per relay.
+    topics = [r["topic"] for r in routes.limit(delivery.MAX_TOPICS + 1).collect()]
+    return log_shown(delivered(spark, folder, name, change_events(spark, folder), relay.cdc_encoder(EPOCH, routes), topics, batch=CHUNK, **settings))
+
+
+@query("relay_routed", ROUTED_LOG, uses="assigned ev")
+def relay_routed_q(spark, folder):
+    """Changes in closed batches, each schema on its route, offsets per route."""
+    return routed_delivery(spark, folder, "routed")
+
+
+@query("relay_boundaries", BOUNDARY_LOG, uses="assigned ev ticks")
+def relay_boundaries_q(spark, folder):
+    """The same with a boundary on every route after each batch, idle routes and empty batches included."""
+    return routed_delivery(spark, folder, "boundaries", every_us=1)

@@ -44,6 +44,7 @@ def cdc_encoder(epoch: str, routes: DataFrame | None = None, default_topic: str
             utf8(checked).alias("value"),
             F.lit(None).cast("array<struct<key:string,value:binary>>").alias("headers"),
             "ev_id",
+            *_kept(batch),
         )
 
     return encode
@@ -55,11 +56,16 @@ def outbox_encoder(topic: str) -> Callable[[DataFrame], DataFrame]:
     def encode(batch: DataFrame) -> DataFrame:
         rows = outbox.decode(batch, "ev_data")
         value = F.when(F.col("reason").isNotNull(), F.raise_error(F.col("reason")).cast("binary")).otherwise(F.col("value"))
-        return rows.select(F.lit(topic).alias("topic"), "key", value.alias("value"), "headers", "ev_id")
+        return rows.select(F.lit(topic).alias("topic"), "key", value.alias("value"), "headers", "ev_id", *_kept(batch))
 
     return encode
 
 
+def _kept(batch: DataFrame) -> list[str]:
+    """The batch of an event, where the source says it."""
+    return [c for c in ("batch_tick",) if c in batch.columns]
+
+
 def sized(records: DataFrame) -> DataFrame:
     """Refuse records over the wire limit; nothing is cut."""
     size = envelope.record_size(F.col("key"), F.col("value"), F.col("headers"))
