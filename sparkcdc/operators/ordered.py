@@ -35,10 +35,10 @@ def asof_lookup(
     backward the last with ``right_on < left_on`` (``<=``). Ties on the right go to the least
     payload forward, the greatest backward. Left rows without a partner keep null payload.
 
-    The right side becomes one row per bucket: its distinct values in order plus the first
-    value beyond it. The left side joins on its bucket, an equi join that needs no sort of the
-    left and broadcasts whenever the bucket table is small. Choose ``width`` so that a bucket
-    holds a handful of right values.
+    Values are cut into buckets of ``width`` units. A bucket that either side occupies becomes one row: the right
+    side's distinct values in it, at most ``width`` of them, and the first value beyond it, which is carried from one
+    occupied bucket to the next however far apart they are. The left side joins on its bucket, an equi join that
+    needs no sort of the left and broadcasts whenever the bucket table is small. A left null has no partner.
     """
     by = list(by)
     sign = -1 if backward else 1
@@ -48,36 +48,15 @@ def asof_lookup(
         right.where(F.col(right_on).isNotNull())
         .groupBy(*by, (F.col(right_on) * sign).alias("_v"))
         .agg(best.alias("_p"))
-        .withColumn("_b", bucket_of(F.col("_v"), width))
-    )
-    per_bucket = points.groupBy(*by, "_b").agg(F.sort_array(F.collect_list(F.struct("_v", "_p"))).alias("_entries"))
-    lowest = points.agg(F.min("_b").alias("_lo")).scalar()
-    order = Window.partitionBy(*by).orderBy("_b")
-    spans = per_bucket.select(
-        *by,
-        "_b",
-        "_entries",
-        F.lead("_b").over(order).alias("_next_b"),
-        F.lag("_b").over(order).alias("_prev_b"),
-        F.lead(F.col("_entries")[0]).over(order).alias("_next"),
-    )
-    covered = spans.select(
-        *by,
-        F.col("_b").alias("_own"),
-        F.explode(F.sequence(F.coalesce(F.col("_prev_b") + width, lowest), F.col("_b"), F.lit(width))).alias("_b"),
-        "_entries",
-        "_next",
-    )
-    # Inside the bucket: its own entries, then the next one. In the gap before it: its first entry.
-    table = covered.select(
-        *by,
-        "_b",
-        F.when(F.col("_b") == F.col("_own"), F.col("_entries")).alias("_entries"),
-        F.when(F.col("_b") == F.col("_own"), F.col("_next")).otherwise(F.col("_entries")[0]).alias("_beyond"),
+        .withColumn("_at", bucket_of(F.col("_v"), width))
     )
+    entries = points.groupBy(*by, "_at").agg(F.sort_array(F.collect_list(F.struct("_v", "_p"))).alias("_entries"))
     value = F.col(left_on) * sign
-    probe = left.withColumn("_b", F.greatest(bucket_of(value, width), lowest))
-    joined = probe.join(table, [*by, "_b"], "left")
+    probe = left.withColumn("_at", bucket_of(value, width).cast(points.schema["_at"].dataType))
+    asked = probe.where(F.col("_at").isNotNull()).select(*by, "_at").distinct()
+    occupied = entries.join(asked, [*by, "_at"], "full")
+    table = running(occupied, by, "_at", {"_beyond": ("last", F.get("_entries", F.lit(0)))}, width * 1024, reverse=True)
+    joined = probe.join(table, [*by, "_at"], "left")
     found = F.try_element_at(
         F.filter("_entries", lambda e: (e["_v"] > value) if strict else (e["_v"] >= value)), F.lit(1)
     )

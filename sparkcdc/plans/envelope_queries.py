@@ -9,6 +9,7 @@ from sparkcdc.operators import envelope, outbox
 from sparkcdc.plans import fixtures as fx
 from sparkcdc.plans.batch_queries import assigned
 from sparkcdc.plans.registry import query
+from sparkcdc.session import dealt
 
 # How each order's change payload is spoiled, by o_orderkey % 16; None is the good form.
 AFTER = '{"o_orderkey":%s,"amount":12345678901234567890.00100,"exponent":1e-400,"note":null}'
@@ -64,7 +65,7 @@ def payloads(spark, folder):
     chain = None
     for n, expr in cases.items():
         chain = F.when(k % 16 == n, expr) if chain is None else chain.when(k % 16 == n, expr)
-    return fx.table(spark, folder, "orders").select((k + 1).alias("ev_id"), chain.otherwise(good).alias("ev_data"), text.alias("_")).drop("_")
+    return dealt(fx.table(spark, folder, "orders"), "o_orderkey").select((k + 1).alias("ev_id"), chain.otherwise(good).alias("ev_data"), text.alias("_")).drop("_")
 
 
 REASON_SQL = "CASE o_orderkey % 16 " + " ".join(f"WHEN {n} THEN '{r}'" for n, r in REASONS.items()) + " END"
@@ -332,7 +333,7 @@ def outbox_messages(spark, folder):
         .otherwise(F.lit("[]"))
     )
     value = F.concat(codecs.int8_bytes(k), codecs.int8_bytes(F.col("o_custkey")), codecs.utf8(F.col("o_orderpriority")))
-    return fx.table(spark, folder, "orders").select(
+    return dealt(fx.table(spark, folder, "orders"), "o_orderkey").select(
         "o_orderkey",
         F.when(k % 29 == 0, F.lit("nobody")).otherwise(F.lit("orders")).alias("stream"),
         ident.alias("id"),

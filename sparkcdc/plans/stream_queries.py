@@ -83,7 +83,7 @@ def relay_managed_q(spark, folder):
     place = scratch(spark, "managed")
     for attempt in ("first", "again"):
         run(spark, folder, relay.managed_sink(f"{place}/log"), f"{place}/{attempt}")
-    return shown(relay.applied(spark.read.schema(relay.RECORD_DDL).parquet(f"{place}/log")))
+    return shown(relay.applied(spark.read.schema(relay.RECORD_DDL + ", batch_id bigint").parquet(f"{place}/log"), "batch_id"))
 
 
 @query(

@@ -60,6 +60,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows dealt by key over as many tasks as the session shuffles to, so that costly work on them runs on
+    all cores even where the input is one file or one row group. Meant for narrow rows."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The frame written once to the checkpoint folder and read from there.
 

@@ -14,17 +14,20 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sparkcdc.functions.codecs import utf8
 from sparkcdc.operators import envelope, outbox
+from sparkcdc.session import dealt
 
 RECORD_DDL = "topic string, key binary, value binary, headers array<struct<key:string,value:binary>>, ev_id bigint"
 
 # Restart pauses of a failing stream and how many streams one process takes.
 FIRST_PAUSE_S, LAST_PAUSE_S = 1, 5
+#: Fixed value: a run that lasts longer counts as healthy.
+HEALTHY_S = 10
 POLL_S = 0.2
 MAX_STREAMS = 32
 
@@ -102,16 +105,6 @@ def managed_sink(path: str) -> Callable[[DataFrame, int], None]:
     return publish
 
 
-def boundary_sink(publish: Callable[[DataFrame, int], None], mark: Callable[[DataFrame, int], None]):
-    """After a batch is out completely, publish its boundary."""
-
-    def both(records: DataFrame, batch_id: int) -> None:
-        publish(records, batch_id)
-        mark(records, batch_id)
-
-    return both
-
-
 def relay_stream(
     source: DataFrame,
     encode: Callable[[DataFrame], DataFrame],
@@ -124,7 +117,7 @@ def relay_stream(
     and the query ends."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        publish(sized(encode(batch)), batch_id)
+        publish(sized(encode(dealt(batch, "ev_id"))), batch_id)
 
     writer = source.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     if name:
@@ -136,18 +129,24 @@ def relay_stream(
 def run_streams(starters: dict[str, Callable[[], StreamingQuery]], pause=time.sleep, clock=time.monotonic, stop: Callable[[], bool] = lambda: False) -> dict[str, str]:
     """Run independent streams until each has ended by itself or ``stop()`` says so.
 
-    One that fails does not stop the others and does not move its source: it is restarted from its
-    checkpoint after its own pause, 1 s at first and doubling up to 5 s, as often as it takes. A run that
-    lasted longer than the longest pause counts as healthy and starts the pauses anew. Returns the last state
-    per stream: ``done``, ``stopped``, or the class of the error it was waiting to recover from.
+    One that fails, or cannot start, does not stop the others and does not move its source: it is started from
+    its checkpoint after its own pause, 1 s at first and doubling up to 5 s, as often as it takes. A run that
+    lasted longer than ``HEALTHY_S`` starts the pauses anew. Returns the last state per stream: ``done``, ``stopped``,
+    or the class of the error it was waiting to recover from.
     """
     if not starters or len(starters) > MAX_STREAMS:
         raise ValueError(f"between 1 and {MAX_STREAMS} streams")
-    running = {name: start() for name, start in starters.items()}
-    began = dict.fromkeys(running, clock())
-    waits = dict.fromkeys(running, FIRST_PAUSE_S)
-    due: dict[str, float] = {}
+    running: dict[str, StreamingQuery] = {}
+    began: dict[str, float] = {}
+    waits = dict.fromkeys(starters, FIRST_PAUSE_S)
+    due = dict.fromkeys(starters, clock())
     state: dict[str, str] = {}
+
+    def failed(name: str, error: Exception) -> None:
+        state[name] = type(error).__name__
+        due[name] = clock() + waits[name]
+        waits[name] = min(waits[name] * 2, LAST_PAUSE_S)
+
     while running or due:
         if stop():
             for name, query in running.items():
@@ -156,7 +155,11 @@ def run_streams(starters: dict[str, Callable[[], StreamingQuery]], pause=time.sl
             break
         for name in [n for n, at in due.items() if at <= clock()]:
             del due[name]
-            running[name], began[name] = starters[name](), clock()
+            began[name] = clock()
+            try:
+                running[name] = starters[name]()
+            except Exception as error:  # noqa: BLE001  (whatever keeps a stream from starting is tried again)
+                failed(name, error)
         for name, query in list(running.items()):
             if query.isActive:
                 continue
@@ -165,26 +168,36 @@ def run_streams(starters: dict[str, Callable[[], StreamingQuery]], pause=time.sl
             if error is None:
                 state[name] = "done"
                 continue
-            state[name] = type(error).__name__
-            if clock() - began[name] > LAST_PAUSE_S:
+            if clock() - began[name] > HEALTHY_S:
                 waits[name] = FIRST_PAUSE_S
-            due[name] = clock() + waits[name]
-            waits[name] = min(waits[name] * 2, LAST_PAUSE_S)
+            failed(name, error)
         pause(POLL_S)
     return state
 
 
 def replay_check(log: DataFrame) -> DataFrame:
     """Ids delivered more than once, with how many different contents (key, value, headers) they had."""
-    headers = F.transform("headers", lambda h: F.struct(h["key"].alias("k"), F.hex(h["value"]).alias("v")))
-    whole = F.struct(F.hex("key").alias("key"), F.hex("value").alias("value"), headers.alias("headers"))
-    content = F.sha2(F.to_json(whole, {"ignoreNullFields": "false"}), 256)
-    per_content = log.groupBy("id", content.alias("_c")).agg(F.count("*").alias("_n"))
+    per_content = log.groupBy("id", _content().alias("_c")).agg(F.count("*").alias("_n"))
     both = per_content.groupBy("id").agg(F.sum("_n").alias("copies"), F.count("*").alias("contents"))
     return both.where(F.col("copies") > 1)
 
 
-def applied(log: DataFrame) -> DataFrame:
-    """A managed log with each event once, the way an idempotent consumer sees it."""
-    rest = [c for c in log.columns if c not in ("ev_id", "headers")]
-    return log.groupBy("ev_id").agg(F.min(F.struct(*rest)).alias("_f")).select("ev_id", "_f.*")
+def applied(log: DataFrame, arrival: str | None = None) -> DataFrame:
+    """A managed log with each event once, the way an idempotent consumer sees it: as it came first.
+
+    ``arrival`` names the column that says in which order copies came (an offset, a batch); copies that came
+    together, and all copies without it, are told apart by key and value. ``copies`` counts how often an event came,
+    ``conflict`` says whether its copies differ in key, value or headers."""
+    rest = [c for c in log.columns if c != "ev_id"]
+    order = F.struct(*([arrival] if arrival else []), F.hex("key").alias("k"), F.hex("value").alias("v"))
+    firsts = log.groupBy("ev_id").agg(
+        F.min_by(F.struct(*rest), order).alias("_f"), F.count("*").alias("copies"), F.min(_content()).alias("_low"), F.max(_content()).alias("_high")
+    )
+    return firsts.select("ev_id", "_f.*", "copies", (F.col("_low") != F.col("_high")).alias("conflict"))
+
+
+def _content() -> Column:
+    """A digest of key, value and headers."""
+    headers = F.transform("headers", lambda h: F.struct(h["key"].alias("k"), F.hex(h["value"]).alias("v")))
+    whole = F.struct(F.hex("key").alias("key"), F.hex("value").alias("value"), headers.alias("headers"))
+    return F.sha2(F.to_json(whole, {"ignoreNullFields": "false"}), 256)

@@ -110,3 +110,26 @@ def test_greedy_cuts_by_time(spark, seed, every, width, fan):
             want.add(o)
             last = t
     assert have == want
+
+
+@pytest.mark.parametrize("backward", [False, True])
+def test_asof_over_empty_key_space(spark, backward):
+    """Right rows that are far apart cost a row each, not a row per bucket between them."""
+    keys = [k * 10**12 + k % 7 for k in range(10_000)]
+    right = spark.createDataFrame([(k, k // 10**12) for k in keys], "at long, p long")
+    left = spark.createDataFrame([(k + d, k + d) for k in keys[::50] for d in (-1, 0, 1, 5 * 10**11)] + [(None, -5)], "v long, id long")
+    got = {r["id"]: r["p"] for r in asof_lookup(left, right, [], "v", "at", ["p"], 64, strict=False, backward=backward).collect()}
+    import bisect
+
+    for k in keys[::50]:
+        for d in (-1, 0, 1, 5 * 10**11):
+            at = bisect.bisect_right(keys, k + d) - 1 if backward else bisect.bisect_left(keys, k + d)
+            assert got[k + d] == (keys[at] // 10**12 if 0 <= at < len(keys) else None)
+    assert got[-5] is None
+
+
+def test_asof_rows_follow_the_input(spark):
+    two = spark.createDataFrame([(1, "a"), (2 * 10**11, "b")], "at long, p string")
+    left = spark.createDataFrame([(0,), (5,), (10**11,), (2 * 10**11,)], "v long")
+    got = asof_lookup(left, two, [], "v", "at", ["p"], 64)
+    assert sorted((r["v"], r["p"]) for r in got.collect()) == [(0, "a"), (5, "b"), (10**11, "b"), (2 * 10**11, None)]

@@ -104,6 +104,74 @@ def test_a_failing_stream_does_not_stop_the_others(spark, tmp_path):
     assert relay.read_fenced(spark, str(good / "log")).count() == 1
 
 
+def test_a_stream_that_cannot_start_is_tried_again(spark, tmp_path):
+    good, late = tmp_path / "good", tmp_path / "late"
+    for place in (good, late):
+        put(spark, place / "in", [(1, change(1))])
+    tries = []
+
+    def starter():
+        tries.append(1)
+        if len(tries) < 4:
+            raise ConnectionError("source not there")
+        return start(spark, late, relay.fenced_sink(str(late / "log")))
+
+    now = [0.0]
+
+    def pause(seconds):
+        time.sleep(seconds)
+        now[0] += 1.0
+
+    state = relay.run_streams({"late": starter, "good": lambda: start(spark, good, relay.fenced_sink(str(good / "log")))}, pause=pause, clock=lambda: now[0])
+    assert state == {"good": "done", "late": "done"} and len(tries) == 4
+    assert relay.read_fenced(spark, str(late / "log")).count() == relay.read_fenced(spark, str(good / "log")).count() == 1
+
+
+def test_a_stream_that_never_starts_is_reported(spark):
+    def starter():
+        raise ConnectionError("source not there")
+
+    tries = []
+    assert relay.run_streams({"s": starter}, pause=lambda s: tries.append(s), stop=lambda: len(tries) > 3) == {"s": "ConnectionError"}
+
+
+def test_a_long_run_starts_the_pauses_anew():
+    class Query:
+        def __init__(self, clock, lasts):
+            self.clock, self.end = clock, clock() + lasts
+
+        @property
+        def isActive(self):
+            return self.clock() < self.end
+
+        def exception(self):
+            return RuntimeError("lost")
+
+        def stop(self):
+            pass
+
+    now, began = [0.0], []
+
+    def pause(seconds):
+        now[0] += 0.5
+
+    def starter():
+        began.append(now[0])
+        return Query(lambda: now[0], 9 if len(began) < 4 else 11)
+
+    relay.run_streams({"s": starter}, pause=pause, clock=lambda: now[0], stop=lambda: len(began) > 4)
+    pauses = [b - a for a, b in zip(began, began[1:])]
+    # Nine seconds are no healthy run: 1, 2, 4 s; eleven are: 1 s again.
+    assert [round(p - lasts) for p, lasts in zip(pauses, (9, 9, 9, 11))] == [1, 2, 4, 1]
+
+
+def test_the_first_arrival_counts_and_conflicts_show(spark):
+    rows = [(1, 5, b"zz"), (1, 7, b"aa"), (2, 6, b"same"), (2, 9, b"same"), (3, 8, b"one")]
+    log = spark.createDataFrame([("t", b"k", v, None, n, at) for n, at, v in rows], relay.RECORD_DDL + ", offset long")
+    got = {r["ev_id"]: (bytes(r["value"]), r["copies"], r["conflict"]) for r in relay.applied(log, "offset").collect()}
+    assert got == {1: (b"zz", 2, True), 2: (b"same", 2, False), 3: (b"one", 1, False)}
+
+
 def test_stream_count_is_bounded():
     with pytest.raises(ValueError):
         relay.run_streams({})
