@@ -203,11 +203,18 @@ def receive(subscriptions: DataFrame, ticks: DataFrame, assigned: DataFrame, lim
     if limit < 1:
         raise ValueError("limit must be at least 1")
     opened = next_batch(subscriptions, ticks).where(F.col("cur_tick").isNotNull())
-    windows = opened.select("queue", "sub_id", F.lit(0).alias("batch_id"), F.col("prev_tick").alias("last_tick"), F.col("cur_tick").alias("next_tick"))
-    events = window_events(assigned, windows)
-    # Each map task keeps its own best rows first, so only candidates reach the final ranking.
-    ranked = take_first(events, ["queue", "sub_id"], "ev_id", limit)
-    counts = events.groupBy("queue", "sub_id").agg(F.count("*").alias("_n"))
+    span = F.sequence(F.col("prev_tick") + 1, F.col("cur_tick"))
+    spans = opened.select("queue", "sub_id", F.lit(0).alias("batch_id"), F.explode(span).alias("batch_tick"))
+    # What everybody reads is cut to its first rows and counted per batch before it meets any subscription;
+    # a retry meets its owner only.
+    common = assigned.where(F.col("ev_owner").isNull() & F.col("batch_tick").isNotNull())
+    heads = take_first(common, ["queue", "batch_tick"], "ev_id", limit)
+    totals = common.groupBy("queue", "batch_tick").agg(F.count("*").alias("_n"))
+    own = assigned.where(F.col("ev_owner").isNotNull()).withColumn("sub_id", F.col("ev_owner")).join(spans, ["queue", "batch_tick", "sub_id"])
+    rows = heads.join(spans, ["queue", "batch_tick"]).unionByName(own)
+    ranked = take_first(rows, ["queue", "sub_id"], "ev_id", limit)
+    both = spans.join(totals, ["queue", "batch_tick"]).select("queue", "sub_id", "_n").unionByName(own.select("queue", "sub_id", F.lit(1).cast("bigint").alias("_n")))
+    counts = both.groupBy("queue", "sub_id").agg(F.sum("_n").alias("_n"))
     cursors = opened.join(counts, ["queue", "sub_id"], "left").select(
         "queue",
         "sub_id",

@@ -60,6 +60,22 @@ def _following(ends, starts, measures) -> np.ndarray:
     return np.maximum(_first_cut(ends, starts, measures), np.arange(1, n + 1))
 
 
+def _chains(after) -> tuple[np.ndarray, np.ndarray]:
+    """For each row the last start of the chain that begins there, and how many starts the chain has. Every round
+    follows twice as many links as the one before."""
+    n = len(after)
+    ahead = np.append(after, n)
+    last, count = np.arange(n + 1), np.append(np.ones(n, dtype=np.int64), 0)
+    open_ = np.flatnonzero(ahead < n)
+    while len(open_):
+        to = ahead[open_]
+        last[open_], more, ahead_of = last[to], count[to], ahead[to]
+        count[open_] += more
+        ahead[open_] = ahead_of
+        open_ = open_[ahead_of < n]
+    return last[:n], count[:n]
+
+
 class _Summary:
     """What a run of rows does to the open segment: candidates for the first start and, for each,
     the state left at the end (relative to the end) and the number of starts."""
@@ -72,12 +88,7 @@ class _Summary:
         ends, starts, totals = _axes(frame, measures)
         n = len(ends[0])
         after = _following(ends, starts, measures)
-        last, count = np.arange(n), np.ones(n, dtype=np.int64)
-        for i in range(n - 1, -1, -1):
-            j = after[i]
-            if j < n:
-                last[i] = last[j]
-                count[i] = count[j] + 1
+        last, count = _chains(after)
         keep = min(n, int(after[0]) + 1)
         exits = [s[last[:keep]] - t for s, t in zip(starts, totals)]
         return cls([e[:keep] for e in ends], exits, count[:keep], totals, [int(s[0]) for s in starts])
@@ -297,10 +308,12 @@ def greedy_cuts(
         after = _following(ends, starts, measures)
         state, before = known(columns)
         k = 0 if state is None else int(_first_cut(ends, state, measures)[0])
-        flags = np.zeros(len(after), dtype=bool)
-        while k < len(after):
-            flags[k] = True
-            k = after[k]
+        flags, links = np.zeros(len(after), dtype=bool), after.tolist()
+        starts_at = []
+        while k < len(links):
+            starts_at.append(k)
+            k = links[k]
+        flags[starts_at] = True
         return {**{c: columns[c] for c in needed}, name: before + np.cumsum(flags), f"{name}_start": flags}
 
     placed_ddl = ", ".join(ddl[c] for c in needed) + f", {name} bigint, {name}_start boolean"

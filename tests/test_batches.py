@@ -119,3 +119,26 @@ def test_ticker_stream_equals_batch(spark, tmp_path):
     queues = spark.createDataFrame([("q", 40, 5000, 20000, False, False)], "queue string, max_count bigint, max_lag_us bigint, idle_us bigint, paused boolean, external boolean")
     want = {tuple(r) for r in ticks.close_batches(polls, queues).collect()}
     assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()} == want
+
+
+def test_receive_cuts_before_it_fans_out(spark):
+    """The first rows of each window, by the letter, with retries for one owner; more subscriptions of a queue do not
+    make more rows out of its events."""
+    import random
+
+    rng = random.Random(9)
+    ticks = [("q", t, 10 * t, 10 * t, [], 5 * t) for t in range(1, 6)] + [("p", t, 10 * t, 10 * t, [], 5 * t) for t in range(1, 4)]
+    tick_df = spark.createDataFrame(ticks, "queue string, tick_id long, xmin long, xmax long, xip array<long>, event_seq long").selectExpr("*", "timestamp_micros(tick_id * 60000000) AS tick_time")
+    events = [(rng.choice("qp"), n, rng.choice([None, None, None, 1, 2, 3]), rng.randrange(1, 6)) for n in range(1, 200)] + [("q", 500, None, None)]
+    assigned = spark.createDataFrame(events, "queue string, ev_id long, ev_owner int, batch_tick long")
+    for copies in (1, 10):
+        subs = [("q", s, s % 5 + 1 if s % 5 < 4 else 1) for s in range(1, 4 * copies)] + [("p", 1, 1), ("p", 2, 3)]
+        sub_df = spark.createDataFrame(subs, "queue string, sub_id int, last_tick long").selectExpr("*", "cast(null AS long) AS next_tick", "cast(null AS long) AS batch_id")
+        rows, cursors = batches.receive(sub_df, tick_df, assigned, 3)
+        got = {}
+        for r in rows.collect():
+            got.setdefault((r["queue"], r["sub_id"]), []).append(r["ev_id"])
+        for r in cursors.collect():
+            start = next(t for q, s, t in subs if (q, s) == (r["queue"], r["sub_id"]))
+            inside = sorted(n for q, n, owner, at in events if q == r["queue"] and at == start + 1 and owner in (None, r["sub_id"]))
+            assert sorted(got.get((r["queue"], r["sub_id"]), [])) == inside[:3] and r["in_batch"] == len(inside)
