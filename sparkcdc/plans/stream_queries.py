@@ -155,10 +155,13 @@ def tick_files(spark, folder, place, parts=3):
     return log, fresh
 
 
-def delivered(spark, folder, name, events, encode, topics, parts=3, fenced=True, **settings):
+def delivered(spark, folder, name, events, encode, topics, parts=2, fenced=True, **settings):
     """Every closed batch of the tick log delivered over ``parts`` micro-batches, and the log a reader sees."""
     place = scratch(spark, name)
     ticks, fresh = tick_files(spark, folder, place, parts)
+    # An event log is a table: what is read of it per batch is pushed down to its files.
+    events.write.parquet(f"{place}/events")
+    events = spark.read.schema(events.schema).parquet(f"{place}/events")
     log = delivery.Log(spark, f"{place}/log", fenced)
     delivery.batch_stream(fresh, events, ticks, encode, log, topics, EPOCH, f"{place}/checkpoint", **settings).awaitTermination()
     return log.read()

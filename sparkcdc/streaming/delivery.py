@@ -81,15 +81,19 @@ class Log:
     def __init__(self, spark: SparkSession, path: str, fenced: bool = True):
         self.spark, self.path, self.fenced = spark, path, fenced
 
-    def _table(self, name: str, ddl: str) -> DataFrame:
-        """A table that is there from the first read on."""
+    def _table(self, name: str, ddl: str, *within: str) -> DataFrame:
+        """A table that is there from the first read on, in folders by micro-batch and ``within``."""
         place = f"{self.path}/{name}"
-        self.spark.createDataFrame([], ddl).write.mode("ignore").partitionBy("batch_id").parquet(place)
+        self.spark.createDataFrame([], ddl).write.mode("ignore").partitionBy("batch_id", *within).parquet(place)
         return self.spark.read.schema(ddl).parquet(place)
 
+    def rows(self) -> DataFrame:
+        """Everything that was written, torn chunks included."""
+        return self._table("rows", LOG, "attempt")
+
     def read(self) -> DataFrame:
         """What a reader sees: marked chunks, or everything where there is no fence."""
-        rows = self._table("rows", LOG)
+        rows = self.rows()
         if not self.fenced:
             return rows
         return rows.join(self.marks(), ["batch_id", "attempt", "batch_tick", "chunk"], "left_semi").select(*rows.columns)
@@ -106,9 +110,9 @@ class Log:
         """One wave: rows, then the markers of its chunks."""
         attempt = uuid.uuid4().hex
         place = [F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit(attempt).alias("attempt")]
-        rows.select("*", *place).write.mode("append").partitionBy("batch_id").parquet(f"{self.path}/rows")
+        rows.select("*", *place).write.mode("append").partitionBy("batch_id", "attempt").parquet(f"{self.path}/rows")
         if self.fenced:
-            written = self._table("rows", LOG).where((F.col("batch_id") == batch_id) & (F.col("attempt") == attempt))
+            written = self.rows().where((F.col("batch_id") == batch_id) & (F.col("attempt") == attempt))
             marks = written.select("batch_tick", "chunk").distinct().select("*", *place)
             marks.coalesce(1).write.mode("append").partitionBy("batch_id").parquet(f"{self.path}/marks")
 
@@ -214,7 +218,8 @@ def deliver(
     for part in waves(out, wave) if wave else [out]:
         log.publish(part, batch_id)
 
-    published = log.read().where(F.col("batch_id") == batch_id).groupBy("topic").agg((F.max("offset") + 1).alias("_next"))
+    # A torn attempt holds the offsets its repetition holds, so every attempt may be counted.
+    published = log.rows().where(F.col("batch_id") == batch_id).groupBy("topic").agg((F.max("offset") + 1).alias("_next"))
     at = due.agg(F.max("end_us").alias("_due"))
     all_topics = spark.createDataFrame([(t,) for t in topics], "topic string").join(ends, "topic", "full").join(published, "topic", "left")
     all_topics = all_topics.withColumn("_due", at.scalar())

@@ -107,7 +107,7 @@ class Breaking(delivery.Log):
     def publish(self, rows, batch_id):
         self.calls += 1
         if self.calls == self.fail_at:
-            rows.select("*", F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit("torn").alias("attempt")).write.mode("append").partitionBy("batch_id").parquet(f"{self.path}/rows")
+            rows.select("*", F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit("torn").alias("attempt")).write.mode("append").partitionBy("batch_id", "attempt").parquet(f"{self.path}/rows")
             raise Stopped("publisher lost")
         super().publish(rows, batch_id)
 
