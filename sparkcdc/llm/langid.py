@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkcdc.llm.common import written
+
 from sparkcdc.llm.ngram_join import mixed
 
 UNKNOWN = "und"
@@ -239,19 +241,21 @@ def remainder(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
-    """A model from at most ``per_language`` labelled documents a language, those with the least hash; among
-    those that share an id, the ones whose text has the least digest. Rows that repeat both count once.
+    """A model from at most ``per_language`` labelled documents a language, those whose id and text have the least
+    hash. Rows that repeat both count once. No language with a usable row is left out.
 
     The driver sees their ids and the finished model; one task reads the bounded sample and fits.
     """
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     usable = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("id").isNotNull() & (remainder(F.col("id")) != 1))
     # Only hashes below a share that leaves some four times the bound are ranked, so a frequent language is
-    # no more work for its task than a rare one.
+    # no more work for its task than a rare one. The share follows how many different documents a language has: many
+    # rows on few ids or texts leave it whole. The counts are a table of their own, so they meet the rows before these move.
     digest = F.sha2("text", 256).alias("digest")
-    hashed = usable.select("id", "lang", digest, F.pmod(F.xxhash64("id"), F.lit(_SHARES)).alias("share"))
-    counts = usable.groupBy("lang").agg(F.count("*").alias("rows"))
-    few = hashed.join(counts, "lang").where(F.col("share").cast("double") * F.col("rows") < 4 * per_language * _SHARES)
+    own = F.xxhash64("id", "text")
+    counts = written(usable.groupBy("lang").agg(F.approx_count_distinct(own, 0.02).alias("documents")), "langid-counts")
+    hashed = usable.withColumn("share", F.pmod(own, F.lit(_SHARES))).join(counts, "lang")
+    few = hashed.where(F.col("share").cast("double") * F.col("documents") < 4 * per_language * _SHARES).select("id", "lang", "share", digest)
     named = few.select("id", "lang", "share", "digest").distinct()
     place = F.row_number().over(Window.partitionBy("lang").orderBy("share", "id", "digest"))
     chosen = named.withColumn("place", place).where(F.col("place") <= per_language).select("id", "lang", "digest")

@@ -86,3 +86,14 @@ def test_sample_does_not_depend_on_the_order_of_rows_that_share_an_id(spark):
         docs = spark.createDataFrame(given, "doc_id bigint, text string, lang string").coalesce(1)
         models.append(langid.train(docs, per_language=4).dump())
     assert models[0] == models[1]
+
+
+@pytest.mark.parametrize("ids", [(11, 14), (5, 8), (100, 101)])
+def test_many_rows_on_few_ids_keep_their_language(spark, ids):
+    """How often rows repeat an id, or repeat altogether, decides nothing about which languages are learned."""
+    english = [(k, f"the cat number {k} sat on the mat and looked at the house", "en") for k in range(1000, 4000)]
+    german = [(ids[k % 2], f"die katze nummer {k % 900} sass auf der matte und sah das haus", "de") for k in range(6000)]
+    same = [(ids[0], "el gato se sienta en la casa y mira la puerta", "es")] * 6000 + [(ids[1], "el gato se sienta en la casa y mira la puerta", "es")] * 6000
+    docs = spark.createDataFrame(english + german + same, "doc_id long, text string, lang string").repartition(8)
+    usable = {r["l"] for r in docs.where((langid.remainder(docs["doc_id"]) != 1)).selectExpr("lang AS l").distinct().collect()}
+    assert set(langid.train(docs).languages) == usable
