@@ -225,7 +225,7 @@ ROUTED_LOG = f"""WITH {ROUTED_CTE}
 BOUNDARY_LOG = f"""WITH {ROUTED_CTE},
     ends AS (SELECT t.tick_id, t.tick_time, coalesce(max(chunk), 0) + 1 AS chunk FROM ticks t LEFT JOIN data ON batch_tick = t.tick_id GROUP BY 1, 2),
     marks AS (SELECT topic, tick_id AS batch_tick, CAST(NULL AS BIGINT) AS ev_id, 1 AS last, chunk, 'boundary' AS kind, '65702D31' AS key_hex,
-      hex(encode('{{"rowrelay_progress":{{"version":1,"source_epoch":"ep-1","committed_before":"' || strftime(tick_time, '%Y-%m-%dT%H:%M:%S') || 'Z"}}}}')) AS value_hex FROM ends, routes)
+      hex(encode('{{"progress":{{"version":1,"source_epoch":"ep-1","committed_before":"' || strftime(tick_time, '%Y-%m-%dT%H:%M:%S') || 'Z"}}}}')) AS value_hex FROM ends, routes)
     SELECT topic, row_number() OVER (PARTITION BY topic ORDER BY batch_tick, last, ev_id) - 1 AS "offset", batch_tick, chunk, kind, ev_id, key_hex, value_hex, CAST(NULL AS VARCHAR) AS headers
     FROM (SELECT * FROM data UNION ALL SELECT * FROM marks)"""
 

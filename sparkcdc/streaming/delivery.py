@@ -31,9 +31,10 @@ from sparkcdc.operators.batches import assign_batches, batch_events
 from sparkcdc.operators.progress import due_batches
 from sparkcdc.streaming.relay import sized
 
-# Rows and bytes of a chunk unless told otherwise, and the names of boundary records.
+# Rows and bytes of a chunk unless told otherwise.
 CHUNK_ROWS, CHUNK_BYTES = 1000, 4 << 20
-PROGRESS = {"fenced": "rowrelay_progress", "managed": "rowrelay_invalidation_progress"}
+#: Names of the boundary field: managed delivery may repeat older boundaries, so its consumers must not take them for the others.
+PROGRESS = {"fenced": "progress", "managed": "invalidation_progress"}
 MAX_TOPICS = envelope.MAX_ROUTES
 
 RECORD = "topic string, offset bigint, batch_tick bigint, chunk bigint, kind string, key binary, value binary, headers array<struct<key:string,value:binary>>, ev_id bigint"
@@ -179,10 +180,11 @@ def numbered(rows: DataFrame, ticks: DataFrame, ends: DataFrame, topics: Sequenc
 
 def deliver(
     events: DataFrame, tick_log: DataFrame, fresh: DataFrame, batch_id: int, encode: Callable[[DataFrame], DataFrame], log: Log, topics: Sequence[str],
-    epoch: str, batch: int = CHUNK_ROWS, batch_bytes: int = CHUNK_BYTES, every_us: int = 0, wave: int | None = None,
+    epoch: str, batch: int = CHUNK_ROWS, batch_bytes: int = CHUNK_BYTES, every_us: int = 0, wave: int | None = None, progress_key: str | None = None,
 ) -> None:
     """Deliver the batches that the new ticks close. ``every_us`` is the least time between boundaries, 0 for none;
-    ``wave`` the number of chunks published together, all of them unless it is given."""
+    ``wave`` the number of chunks published together, all of them unless it is given; ``progress_key`` the name of the
+    boundary field."""
     if not 0 < len(topics) <= MAX_TOPICS:
         raise ValueError(f"between 1 and {MAX_TOPICS} topics")
     spark = events.sparkSession
@@ -206,7 +208,7 @@ def deliver(
         due = due_batches(due.unionByName(since).withColumn("stream", F.lit(0)), every_us).where("_new")
     else:
         due = due.limit(0)
-    kind = PROGRESS["fenced" if log.fenced else "managed"]
+    kind = progress_key or PROGRESS["fenced" if log.fenced else "managed"]
     marks = due.select(
         F.col("tick_id").alias("batch_tick"), F.explode(F.array(*[F.lit(t) for t in topics])).alias("topic"),
         utf8(F.lit(epoch)).alias("key"), utf8(boundary_value(kind, epoch, F.col("tick_time"))).alias("value"),

@@ -150,7 +150,7 @@ def test_routes_have_their_own_offsets_and_idle_ones_a_boundary(spark, tmp_path)
     data = log.read().where("kind = 'data'").groupBy("topic", "batch_tick").count()
     assert data.count() == 3
     value = log.read().where("kind = 'boundary' AND topic = 't-c' AND batch_tick = 2").first()["value"]
-    assert json.loads(bytes(value)) == {"rowrelay_progress": {"version": 1, "source_epoch": "ep", "committed_before": "2024-01-01T00:00:02Z"}}
+    assert json.loads(bytes(value)) == {"progress": {"version": 1, "source_epoch": "ep", "committed_before": "2024-01-01T00:00:02Z"}}
 
 
 def test_boundaries_keep_their_distance_over_micro_batches(spark, tmp_path):
@@ -190,7 +190,7 @@ def test_managed_delivery_repeats_a_lost_acknowledgement(spark, tmp_path):
     source.run(log, every_us=1)
     rows = shown(log)
     assert len(rows) == 12 and len(set(rows)) == 6
-    assert json.loads(bytes(log.read().where("kind = 'boundary'").first()["value"])).keys() == {"rowrelay_invalidation_progress"}
+    assert json.loads(bytes(log.read().where("kind = 'boundary'").first()["value"])).keys() == {"invalidation_progress"}
 
 
 def test_outbox_keeps_order_past_a_held_key(spark, tmp_path):
