@@ -9,14 +9,15 @@ Equal codes are one entry with their k + 1 least ids, however many rows share th
 queries into chunks of bounded size; every chunk meets every block, and the blocks' answers are merged.
 
 Nulls and ties: a row without a vector, with a null inside it or without an id is neither found nor answered.
-Of equal distances the least id comes first. A query does not find its own id; rows that repeat an id count
-once. Fewer rows than k give fewer neighbours, an empty table none.
+Of equal distances the least id comes first. A query does not find its own id. An id with several codes is one
+neighbour, at the least of its distances, and one query, nearest to what is nearest to any of its codes. Fewer ids
+than k give fewer neighbours, an empty table none.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import chain, combinations, islice
 from math import comb
 
 import numpy as np
@@ -59,11 +60,15 @@ def sign_codes(vectors: DataFrame, key: str, vector: str, seed: int = 5) -> Data
 
 
 class Index:
-    """Multi-index hashing over one block of distinct codes. ``least`` breaks ties, ``counts`` says how many
-    ids a code stands for."""
-
-    def __init__(self, codes: np.ndarray, least: np.ndarray, counts: np.ndarray):
-        self.codes, self.least, self.counts = codes, least, counts
+    """Multi-index hashing over one block of distinct codes, each with its ids in ascending order."""
+
+    def __init__(self, codes: np.ndarray, ids: list):
+        self.codes = codes
+        self.counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.flat = np.fromiter(chain.from_iterable(ids), np.int64, int(self.counts.sum()))
+        self.starts = np.cumsum(self.counts) - self.counts
+        self.least = self.flat[self.starts]
+        self.repeats = len(np.unique(self.flat)) < len(self.flat)
         width = min(20, max(1, int(np.log2(max(2, len(codes))))))
         m = max(1, round(BITS / width))
         cuts = [BITS * i // m for i in range(m + 1)]
@@ -75,11 +80,16 @@ class Index:
             self.tables.append((values[order], order))
 
     def _best(self, found: list[list[np.ndarray]], queries: np.ndarray, k: int):
-        """Per query its ``k`` best (distance, least id), and the distance at which ``k`` ids are reached."""
+        """Per query the codes that hold its ``k`` best ids, and the distance at which ``k`` ids are reached."""
         out, reached = [], []
         for q, parts in zip(queries, found):
             at = np.concatenate(parts) if parts else np.empty(0, np.int64)
             far = np.bitwise_count(self.codes[at] ^ q).astype(np.int64)
+            if self.repeats:
+                kept, last = self._distinct(at, far, k)
+                out.append(kept)
+                reached.append(last)
+                continue
             order = np.lexsort((self.least[at], far))[:k]
             at, far = at[order], far[order]
             enough = np.flatnonzero(np.cumsum(self.counts[at]) >= k)
@@ -87,8 +97,22 @@ class Index:
             out.append(at)
         return out, np.array(reached)
 
+    def listed(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these codes, and for each which of the codes it is of."""
+        lengths = self.counts[at]
+        shift = self.starts[at] - (np.cumsum(lengths) - lengths)
+        return self.flat[np.arange(int(lengths.sum())) + np.repeat(shift, lengths)], np.repeat(np.arange(len(at)), lengths)
+
+    def _distinct(self, at: np.ndarray, far: np.ndarray, k: int) -> tuple[np.ndarray, int]:
+        """As ``_best`` for one query where an id has several codes: it counts where it is nearest."""
+        ids, owner = self.listed(at)
+        order = np.lexsort((ids, far[owner]))
+        order = order[np.sort(np.unique(ids[order], return_index=True)[1])[:k]]
+        last = int(far[owner[order[-1]]]) if len(order) >= k else BITS + 1
+        return at[np.unique(owner[order])], last
+
     def search(self, queries: np.ndarray, k: int) -> list[np.ndarray]:
-        """Positions of the codes that hold the ``k`` nearest ids of each query, nearest first."""
+        """Positions of the codes that hold the ``k`` nearest ids of each query."""
         out: list[np.ndarray] = []
         for start in range(0, len(queries), _TOGETHER):
             out += self._search(queries[start : start + _TOGETHER], k)
@@ -137,14 +161,18 @@ class Index:
 
 
 def _block(left: pd.DataFrame, right: pd.DataFrame, k: int) -> pd.DataFrame:
-    ids = left["ids"].tolist()
     codes = left["code"].to_numpy(np.int64).view(np.uint64)
-    index = Index(codes, np.array([x[0] for x in ids], np.int64), np.array([len(x) for x in ids]))
     asked = right["code"].to_numpy(np.int64)
     rows = []
-    for q, found in zip(asked.tolist(), index.search(asked.view(np.uint64), k) if len(ids) else []):
-        near = sorted((int(np.bitwise_count(codes[i] ^ np.int64(q).view(np.uint64))), int(x)) for i in found.tolist() for x in ids[i])
-        rows += [(q, d, x) for d, x in near[:k]]
+    if len(codes):
+        index = Index(codes, left["ids"].tolist())
+        for q, found in zip(asked.tolist(), index.search(asked.view(np.uint64), k)):
+            near: dict[int, int] = {}
+            ids, owner = index.listed(found)
+            far = np.bitwise_count(codes[found] ^ np.int64(q).view(np.uint64))[owner]
+            for d, x in sorted(zip(far.tolist(), ids.tolist())):
+                near.setdefault(x, d)
+            rows += [(q, d, x) for x, d in islice(near.items(), k)]
     return pd.DataFrame(rows, columns=["code", "distance", "id"])
 
 
@@ -153,8 +181,8 @@ def top_k(codes: DataFrame, queries: Column, k: int = K) -> DataFrame:
     ``queries`` (a condition on ``id``) picks, among all rows of ``codes`` (``id``, ``code``)."""
     codes = written(codes, "hamming-codes")
     # A rank limit that Spark applies before the shuffle: k + 1 ids of a code a task, however many share it.
-    place = F.row_number().over(Window.partitionBy("code").orderBy("id"))
-    ids = codes.withColumn("place", place).where(F.col("place") <= k + 1).groupBy("code").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    place = F.dense_rank().over(Window.partitionBy("code").orderBy("id"))
+    ids = codes.withColumn("place", place).where(F.col("place") <= k + 1).groupBy("code").agg(F.array_sort(F.collect_set("id")).alias("ids"))
     entries = written(ids, "hamming-entries")
     asked = codes.where(queries)
     questions = written(asked.select("code").distinct(), "hamming-questions")
@@ -172,10 +200,11 @@ def top_k(codes: DataFrame, queries: Column, k: int = K) -> DataFrame:
     found = index.groupBy("block", "chunk").cogroup(probes.groupBy("block", "chunk")).applyInPandas(
         lambda a, b: _block(a, b, k + 1), "code bigint, distance bigint, id bigint"
     )
+    nearest = found.groupBy("code", "id").agg(F.min("distance").alias("distance"))
     order = F.row_number().over(Window.partitionBy("code").orderBy("distance", "id"))
-    best = found.withColumn("place", order).where(F.col("place") <= k + 1)
-    near = best.groupBy("code").agg(F.array_sort(F.collect_list(F.struct("distance", "id"))).alias("near"))
-    others = F.slice(F.filter("near", lambda n: n["id"] != F.col("asked")), 1, k)
-    answers = asked.select(F.col("id").alias("asked"), "code").join(near, "code")
-    ranked = answers.select("asked", F.posexplode(others).alias("pos", "n"))
-    return ranked.select(F.col("asked").alias("id"), (F.col("pos") + 1).alias("rank"), F.col("n.id").alias("neighbour"), F.col("n.distance").alias("distance"))
+    few = nearest.withColumn("place", order).where(F.col("place") <= k + 1)
+    pairs = asked.select(F.col("id").alias("asked"), "code").join(few, "code").where("asked <> id")
+    others = pairs.groupBy("asked", "id").agg(F.min("distance").alias("distance"))
+    rank = F.row_number().over(Window.partitionBy("asked").orderBy("distance", "id"))
+    best = others.withColumn("rank", rank).where(F.col("rank") <= k)
+    return best.select(F.col("asked").alias("id"), "rank", F.col("id").alias("neighbour"), "distance")

@@ -7,10 +7,12 @@ from sparkcdc.llm import hamming
 
 def brute(codes, asked, k):
     out = set()
-    rows = sorted(set(codes))
-    for q, code in rows:
+    held = {}
+    for i, code in set(codes):
+        held.setdefault(i, []).append(code)
+    for q, own in held.items():
         if asked(q):
-            near = sorted((bin((c ^ code) & (2**64 - 1)).count("1"), i) for i, c in rows if i != q)[:k]
+            near = sorted((min(((c ^ o) & (2**64 - 1)).bit_count() for c in cs for o in own), i) for i, cs in held.items() if i != q)[:k]
             out |= {(q, r + 1, i, d) for r, (d, i) in enumerate(near)}
     return out
 
@@ -57,3 +59,16 @@ def test_query_against_all_rows(spark):
     codes = [tuple(r) for r in hamming.sign_codes(vectors, "vec_id", "embedding").collect()]
     got = {tuple(r) for r in QUERIES["op3_hamming_top_k"](spark, folder).select("vec_id", "rank", "neighbour", "distance").collect()}
     assert got == brute(codes, lambda q: q % 20 == 0, 10)
+
+
+def test_ids_with_several_codes(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    # One id holds a third of all rows, near everything that is asked; some rows repeat.
+    near = [1 << int(b) for b in rng.integers(0, 40, 700)]
+    codes = [(7, c) for c in near[:300]] + [(int(rng.integers(0, 60)), c ^ int(rng.integers(0, 64))) for c in near]
+    codes += [(20, 5), (20, -5), (1, 5), (1, 4), (1, -5), (2, 7), (3, -5)] + codes[:20]
+    monkeypatch.setattr(hamming, "BLOCK_CODES", 100)
+    df = spark.createDataFrame(codes, "id bigint, code bigint")
+    got = [tuple(r) for r in hamming.top_k(df, F.col("id") % 20 == 0, 3).collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == brute(codes, lambda q: q % 20 == 0, 3)
