@@ -169,6 +169,7 @@ def _term_sql(term: str) -> str:
 
 
 _SOFT_SQL = " + ".join(f"{w} * CAST({_term_sql(t)} AS INTEGER)" for t, w in url_filter.SOFT.items())
+_SEVERAL_SQL = " + ".join(f"CAST({_term_sql(t)} AS INTEGER)" for t in url_filter.SOFT)
 _RULES_SQL = " ".join(
     f"WHEN (host = '{h}' OR suffix(host, '.{h}')) AND starts_with(path, '{p}') THEN '{h}{p}|{v}'"
     for v, h, p in sorted(url_filter.RULES, key=lambda r: -len(r[1] + r[2]))
@@ -184,11 +185,12 @@ _RULES_SQL = " ".join(
                coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
         FROM pages
     ), ruled AS (
-        SELECT *, CASE {_RULES_SQL} END AS fit, {_SOFT_SQL} AS weight, {" OR ".join(_term_sql(t) for t in url_filter.STRICT)} AS strict
+        SELECT *, CASE {_RULES_SQL} END AS fit, {_SOFT_SQL} AS weight, {_SEVERAL_SQL} AS soft,
+               {" OR ".join(_term_sql(t) for t in url_filter.STRICT)} AS strict
         FROM parts
     )
     SELECT page_id, host, path, split_part(fit, '|', 1) AS rule,
-           coalesce(split_part(fit, '|', 2), CASE WHEN strict OR weight >= {url_filter.THRESHOLD} THEN 'block' ELSE 'allow' END) AS verdict
+           coalesce(split_part(fit, '|', 2), CASE WHEN strict OR (soft >= {url_filter.SEVERAL} AND weight >= {url_filter.THRESHOLD}) THEN 'block' ELSE 'allow' END) AS verdict
     FROM ruled
     """,
 )

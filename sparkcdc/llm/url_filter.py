@@ -1,8 +1,8 @@
 """URL filters by a weighted vocabulary.
 
 One Aho-Corasick automaton finds all terms of a lower-cased URL in a single pass. A hit counts only between
-boundaries, where no letter or digit adjoins. One strict term rejects; soft terms reject when the weights of
-the distinct ones reach a threshold. Rules for hosts and paths go before the vocabulary.
+boundaries, where no letter or digit adjoins. One strict term rejects; soft terms reject when there are several
+distinct ones and their weights reach a threshold. Rules for hosts and paths go before the vocabulary.
 
 Nulls and ties: a null URL, or one without ``://``, has an empty host and path, fits no rule and, where
 there is text, is still judged by its terms. Of the rules that fit the one with the longest text wins, then
@@ -27,6 +27,11 @@ STRICT = ("adult", "casino", "escort", "hentai", "porn", "sexcam", "spam", "ware
 SOFT = {"ads": 1, "bet": 1, "bets": 1, "bonus": 1, "cheap": 1, "click": 1, "dating": 1, "deal": 1, "farm": 1, "free": 1, "jackpot": 2,
         "loan": 1, "pills": 1, "poker": 2, "replica": 1, "sex": 2, "track": 1, "viagra": 2, "win": 1}
 THRESHOLD = 2
+#: Distinct soft terms that are needed beside the weight.
+SEVERAL = 2
+#: Terms that a vocabulary read from a table may have: every task holds all of them.
+MAX_TERMS = 1 << 20
+_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 #: Fixed values: (verdict, host, start of the path).
 RULES = (
     ("allow", "org", "/"),
@@ -42,6 +47,24 @@ class Vocabulary:
     strict: Sequence[str] = STRICT
     soft: dict[str, int] = field(default_factory=lambda: dict(SOFT))
     threshold: int = THRESHOLD
+    several: int = SEVERAL
+
+    @classmethod
+    def read(cls, table: DataFrame, *, term: str = "term", weight: str = "weight", threshold: int = THRESHOLD,
+             several: int = SEVERAL, limit: int = MAX_TERMS) -> Vocabulary:
+        """The vocabulary in a table of terms and weights; without a weight a term is strict.
+
+        Terms are lower-cased; null and empty ones are left out. Of a repeated term the strict row goes first,
+        then the heaviest. A table of more than ``limit`` terms is refused, since every task holds all of them.
+        """
+        shown, given = lower_ascii(F.col(term)), F.col(weight).cast("bigint")
+        terms = table.where(F.length(term) > 0).groupBy(shown.alias("term")).agg(
+            F.max(given.isNull()).alias("strict"), F.max(given).alias("weight")
+        )
+        rows = terms.limit(limit + 1).collect()
+        if len(rows) > limit:
+            raise ValueError(f"more than {limit} terms")
+        return cls(sorted(r.term for r in rows if r.strict), {r.term: r.weight for r in rows if not r.strict}, threshold, several)
 
     def automaton(self) -> ahocorasick.Automaton:
         found = ahocorasick.Automaton()
@@ -61,7 +84,7 @@ def _bounded(text: str, start: int, end: int) -> bool:
 def term_hits(url: str | None, automaton: ahocorasick.Automaton, soft: dict[str, int]) -> tuple[list[str], list[str], int]:
     """(strict terms, soft terms, weight of the soft ones), each distinct and in order."""
     strict_hits, soft_hits = set(), set()
-    text = "".join(c.lower() if c.isascii() else c for c in url or "")
+    text = (url or "").translate(_LOWER)
     if text and len(automaton):
         for last, (term, strict) in automaton.iter(text):
             if _bounded(text, last + 1 - len(term), last + 1):
@@ -107,7 +130,8 @@ def judged(pages: DataFrame, *, key: str = "page_id", url: str = "url", vocabula
     schema = T.StructType([*rows.schema.fields, T.StructField("strict", terms), T.StructField("soft", terms), T.StructField("weight", T.LongType())])
     hits = rows.mapInArrow(run, schema).select("*", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     ruled = hits.withColumn("fit", rule_for(F.col("host"), F.col("path"), rules))
-    own = F.when((F.size("strict") > 0) | (F.col("weight") >= words.threshold), "block").otherwise("allow")
+    softly = (F.size("soft") >= words.several) & (F.col("weight") >= words.threshold)
+    own = F.when((F.size("strict") > 0) | softly, "block").otherwise("allow")
     return ruled.select(
         F.col("key").alias(key), "host", "path", F.col("fit.text").alias("rule"), F.coalesce("fit.verdict", own).alias("verdict"),
         "strict", "soft", "weight",

@@ -16,7 +16,8 @@ def plain(url):
     rule, verdict = max(fits, key=lambda f: len(f[0]), default=(None, None))
     text = "".join(c.lower() if c.isascii() else c for c in url or "")
     there = [t for t in (*url_filter.STRICT, *url_filter.SOFT) if re.search(rf"(?<![a-z0-9]){t}(?![a-z0-9])", text)]
-    bad = any(t in url_filter.STRICT for t in there) or sum(url_filter.SOFT.get(t, 0) for t in there) >= url_filter.THRESHOLD
+    soft = [url_filter.SOFT[t] for t in there if t in url_filter.SOFT]
+    bad = any(t in url_filter.STRICT for t in there) or (len(soft) >= 2 and sum(soft) >= url_filter.THRESHOLD)
     return host, path, rule, verdict or ("block" if bad else "allow")
 
 
@@ -36,7 +37,7 @@ def test_rows_of_every_sort(spark):
     assert url_filter.judged(pages.where("false")).count() == 0
 
 
-@pytest.mark.parametrize("words", [url_filter.Vocabulary((), {}, 1), url_filter.Vocabulary(("a b",), {"é": 3}, 3)])
+@pytest.mark.parametrize("words", [url_filter.Vocabulary((), {}, 1), url_filter.Vocabulary(("a b",), {"é": 3}, 3, several=1)])
 def test_other_vocabularies_and_no_rules(spark, words):
     pages = spark.createDataFrame([(1, "x://a b/é"), (2, "x://ab/éé")], "page_id int, url string")
     got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judged(pages, vocabulary=words, rules=()).collect()}
@@ -50,3 +51,24 @@ def test_query_against_the_letter(spark):
     urls = dict(spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url").collect())
     got = QUERIES["op6_url_filter"](spark, folder).collect()
     assert {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in got} == {k: plain(u) for k, u in urls.items()}
+
+
+def test_one_soft_term_is_not_several(spark):
+    urls = ["http://a.net/poker", "http://a.net/poker/poker", "http://a.net/poker/bet", "http://a.net/casino"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    got = {r.page_id: r.verdict for r in url_filter.judged(pages).collect()}
+    assert got == {0: "allow", 1: "allow", 2: "block", 3: "block"}
+
+
+def test_vocabulary_from_a_table(spark):
+    terms = [(f"soft{i}", 1 + i % 3) for i in range(4000)] + [(f"Strict{i}", None) for i in range(1000)]
+    terms += [(None, 1), ("", None), ("soft7", 9), ("soft8", None)]
+    words = url_filter.Vocabulary.read(spark.createDataFrame(terms, "term string, weight int"), threshold=4)
+    assert (len(words.soft), len(words.strict), words.soft["soft7"]) == (3999, 1001, 9)
+    urls = ["x://h/soft0/soft3", "x://h/soft2/soft3", "x://h/soft7", "x://h/soft1/soft2", "x://h/STRICT9", "x://h/strict9x", "x://h/soft8"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    got = [r.verdict for r in sorted(url_filter.judged(pages, vocabulary=words, rules=()).collect())]
+    assert got == ["allow", "block", "allow", "block", "block", "allow", "block"]
+    with pytest.raises(ValueError):
+        url_filter.Vocabulary.read(spark.createDataFrame(terms, "term string, weight int"), limit=100)
+    assert url_filter.Vocabulary.read(spark.createDataFrame([], "term string, weight int")).soft == {}
