@@ -4,8 +4,9 @@ A source's documents are repeated or thinned so that the words taken from it com
 every document is taken floor(rate) times, plus once more with a probability of the fraction, decided
 by a hash of the seed and its id. DataFrame functions only.
 
-Nulls and ties: a null source is a source of its own and sorts last; a null text has no words; a null
-id hashes as the empty text. Rows that repeat an id share its draw. Documents without words take
+Nulls and ties: a null source is a source of its own and sorts last; a null text has no words; a row
+without an id draws by its text, so a source without ids comes near its target too, and null texts share
+a draw. Rows that repeat an id share its draw. Documents without words take
 part with size 0. An empty table gives an empty result. Columns of the input never clash with the
 working columns: the row travels as one struct.
 """
@@ -109,7 +110,7 @@ def copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", sourc
     """
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        F.col(doc_id).alias("key"),
+        F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("#"), F.sha2(F.col(text), 256))).alias("key"),
         F.col(source).alias("source"),
         word_count(F.col(text)).alias("size"),
     )
