@@ -178,41 +178,43 @@ def _mapped(docs: DataFrame, fn, schema: T.StructType) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def shingle_classes(docs: DataFrame, width: int) -> DataFrame:
+def shingle_classes(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """What names a row (``id`` and any column beside the text), ``n`` (set size), ``key`` (identity of the
-    set) and ``sketch`` of every row, the last two null if the set is empty."""
+    set) and ``sketch`` of every row, the last two null if the set is empty; ``sigs`` are the signatures of the
+    set, the first ``own`` of them in its own band, null where the task has given them for that set before."""
     names = [c for c in docs.columns if c != "text"]
 
-    def fn(state, columns, texts):
-        shingler = state.setdefault("s", Shingler(width))
-        sets = [shingler.hashes(t) for t in texts]
-        keys = [set_key(s) if len(s) else None for s in sets]
-        bits = [sketch(s) if len(s) else None for s in sets]
-        return [*columns, pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64()), pa.array(bits, pa.binary())]
-
-    made = [T.StructField("n", T.LongType()), T.StructField("key", T.LongType()), T.StructField("sketch", T.BinaryType())]
-    return _mapped(docs.select(*names, "text"), fn, T.StructType([*[docs.schema[c] for c in names], *made]))
-
-
-def signatures(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """``sig`` and ``mark`` (set key, last bit 1 where the band is its own) of every distinct set."""
-
     def fn(state, columns, texts):
         shingler, bands, seen = state.setdefault("s", (Shingler(width), Bands(num, den), set()))
-        sigs, marks = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         if len(seen) > KNOWN_WORDS:
             seen.clear()
+        sizes, keys, bits, sigs, own = [], [], [], [], []
         for text in texts:
             found = shingler.hashes(text)
-            if len(found) and (key := set_key(found)) not in seen:
+            key = set_key(found) if len(found) else None
+            sizes.append(len(found))
+            keys.append(key)
+            bits.append(None if key is None else sketch(found))
+            if key is None or key in seen:
+                sigs.append(None)
+                own.append(None)
+            else:
                 seen.add(key)
-                sig, own = bands.signatures(found)
-                sigs.append(sig)
-                marks.append(own + key)
-        return [pa.array(np.concatenate(sigs)), pa.array(np.concatenate(marks))]
+                made, of_own = bands.signatures(found)
+                sigs.append(made)
+                own.append(int(of_own.sum()))
+        made = [pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(bits, pa.binary())]
+        return [*columns, *made, pa.array(sigs, pa.list_(pa.int64())), pa.array(own, pa.int64())]
+
+    made = [T.StructField("n", T.LongType()), T.StructField("key", T.LongType()), T.StructField("sketch", T.BinaryType()),
+            T.StructField("sigs", T.ArrayType(T.LongType())), T.StructField("own", T.LongType())]
+    return _mapped(docs.select(*names, "text"), fn, T.StructType([*[docs.schema[c] for c in names], *made]))
 
-    schema = T.StructType([T.StructField("sig", T.LongType()), T.StructField("mark", T.LongType())])
-    return _mapped(docs.select("id", "text"), fn, schema)
+
+def signatures(classes: DataFrame) -> DataFrame:
+    """``sig`` and ``mark`` (set key, last bit 1 where the band is its own) of every distinct set."""
+    listed = classes.select("key", "own", F.posexplode("sigs").alias("pos", "sig"))
+    return listed.select("sig", (F.col("key") + (F.col("pos") < F.col("own")).cast("bigint")).alias("mark"))
 
 
 def shared_segments(sigs: DataFrame) -> DataFrame:
@@ -239,6 +241,8 @@ def shared_segments(sigs: DataFrame) -> DataFrame:
     dealt = sigs.repartition("sig").sortWithinPartitions("sig", "mark")
     own = F.col("mark").bitwiseAND(1)
     rows = dealt.mapInArrow(run, sigs.schema).groupBy("sig", (F.col("mark") - own).alias("key")).agg(F.max(own).alias("own"))
+    # Read twice below, and little of what is sorted above.
+    rows = written(rows, "join-shared")
     sized = rows.groupBy("sig").agg(F.count("*").alias("n"), F.max("own").alias("own")).where("n > 1 AND own = 1")
     return rows.join(sized.select("sig"), "sig", "left_semi").select("sig", "key")
 
@@ -477,8 +481,8 @@ def plausible_in_segments(rows: DataFrame, sketches: DataFrame, num: int, den: i
 
 def labelled_classes(rows: DataFrame, width: int, num: int, den: int) -> tuple[DataFrame, DataFrame | None]:
     """``shingle_classes`` of the rows, and the component of every class that has links (None without links)."""
-    classes = written(shingle_classes(rows, width), "join-classes")
-    segments = written(shared_segments(signatures(rows, width, num, den)), "join-segments")
+    classes = written(shingle_classes(rows, width, num, den), "join-classes")
+    segments = written(shared_segments(signatures(classes)), "join-segments")
     known = classes.join(segments.select("key").distinct(), "key", "left_semi")
     sketches = written(known.groupBy("key").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")), "join-sketches")
     return classes, links(segments, sketches, Sets(rows, classes, width), num, den)
