@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkcdc.session import stored
+
 
 def bucket_of(value: Column, width: int) -> Column:
     """Start of the bucket of ``width`` units that holds ``value``."""
@@ -139,6 +141,48 @@ def dense_positions(
     return running(df, by, order, {name: ("count", F.lit(1))}, width, ties, inclusive=True)
 
 
+def range_running(df: DataFrame, by: Sequence[str], order: Sequence[str], weight: Column, name: str) -> DataFrame:
+    """Inclusive running sum of ``weight`` in the order of any sortable columns, null first, per ``by`` (nulls are a
+    group of their own).
+
+    For orders that no fixed bucket width fits. Rows are dealt by ranges of (by, order), so a crowded stretch of
+    it gets more ranges; only a sum per range passes from one to the next. The dealt rows are stored: ranges
+    are drawn from a sample and must not change between the two reads. Rows with equal keys share a range, so
+    ``order`` should end in something that tells rows apart.
+    """
+    by, order = list(by), list(order)
+    ranged = df.repartitionByRange(*by, *order) if by or order else df
+    parts = stored(ranged.select("*", weight.alias("_w"), F.spark_partition_id().alias("_part")))
+    sums = parts.groupBy(*by, "_part").agg(F.sum("_w").alias("_t"))
+    earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = sums.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_part").alias("_of"), F.sum("_t").over(earlier).alias("_before"))
+    local = Window.partitionBy(*by, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    within = parts.withColumn("_here", F.sum("_w").over(local))
+    same = F.col("_part") == F.col("_of")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    return within.join(carry, same, "left").select(*df.columns, (F.col("_here") + F.coalesce("_before", F.lit(0))).alias(name))
+
+
+def exact_median(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """Mean of the two middle values per group, of a column of any number type; nulls do not count.
+
+    Equal values are counted first, map-side, and the counts summed up over ranges of (by, value): neither a
+    large group nor a frequent value is one task's.
+    """
+    by = list(by)
+    counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
+    upto = range_running(counted, by, [value], F.col("_n"), "_upto")
+    totals = upto.groupBy(*by).agg(F.max("_upto").alias("_total")).select(*[F.col(c).alias(f"_of_{c}") for c in by], "_total")
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    both = upto.join(totals, same) if by else upto.withColumn("_total", upto.agg(F.max("_upto")).scalar())
+    low, high = F.expr("(_total + 1) div 2"), F.expr("_total div 2 + 1")
+    middle = [F.min(F.when(F.col("_upto") >= at, F.col(value))) for at in (low, high)]
+    return both.groupBy(*by).agg((middle[0] * 0.5 + middle[1] * 0.5).alias(value))
+
+
 def nearest_ranks(df: DataFrame, by: Sequence[str], value: str, ranks: dict[str, tuple], width: int) -> DataFrame:
     """Exact order statistics at index ``floor((n-1) * num / den)`` per group; ``ceil`` instead when a
     rank is given as ``(num, den, "ceil")``.

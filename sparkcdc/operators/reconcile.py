@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkcdc.functions import codecs
-from sparkcdc.operators.ordered import nearest_ranks
+from sparkcdc.operators.ordered import exact_median, nearest_ranks
 
 # The screening limits on p99 latency, in milliseconds.
 STEADY_P99_MS = 250
@@ -160,7 +160,11 @@ def resource_use(runs: DataFrame) -> DataFrame:
 def steady_medians(rows: DataFrame, values: Sequence[str]) -> DataFrame:
     """Median per mode over the ``steady-`` runs (mean of the two middle values)."""
     steady = rows.where(F.startswith(F.col("case"), F.lit("steady-")))
-    return steady.groupBy("mode").agg(F.count("*").alias("runs"), *[F.percentile(v, F.lit(0.5)).alias(v) for v in values])
+    out = steady.groupBy("mode").agg(F.count("*").alias("runs"))
+    for v in values:
+        middle = exact_median(steady, ["mode"], v).withColumnRenamed("mode", "_mode")
+        out = out.join(middle, F.col("mode").eqNullSafe(F.col("_mode")), "left").drop("_mode")
+    return out
 
 
 def cohort_status(cases: DataFrame, summary: DataFrame) -> DataFrame:

@@ -11,7 +11,6 @@ from sparkcdc.plans.batch_queries import assigned, assigned_open, event_queues
 from sparkcdc.plans.registry import query
 from sparkcdc.sources import eventlog, kafka
 
-HOUR_US = 3_600_000_000
 NOW = "2024-01-20 00:00:00"
 
 
@@ -30,7 +29,7 @@ def append_events_q(spark, folder):
         F.when(F.col("event_id") % 5 == 0, F.col("event_id") + 1).alias("ev_id"),
         F.when(F.col("event_type") != "view", F.col("event_type")).alias("ev_type"),
     )
-    return eventlog.append_events(incoming, "at_us", ["event_id"], last, HOUR_US).select("event_id", "ev_id", "ev_type")
+    return eventlog.append_events(incoming, "at_us", ["event_id"], last).select("event_id", "ev_id", "ev_type")
 
 
 BULK = """words AS (SELECT doc_id, string_split(text, ' ') AS w FROM documents),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkcdc.operators.ordered import asof_lookup, dense_positions, running
+from sparkcdc.operators.ordered import asof_lookup, range_running, running
 
 EVENT_SCHEMA = (
     "queue string, segment int, ev_id bigint, ev_time timestamp, ev_txid bigint, ev_owner int, ev_retry int, ev_type string,"
@@ -15,12 +15,13 @@ EVENT_SCHEMA = (
 )
 
 
-def append_events(df: DataFrame, order: str, ties: Sequence[str], last_id: Column, width: int, disabled: Column | None = None) -> DataFrame:
+def append_events(df: DataFrame, order: str, ties: Sequence[str], last_id: Column, disabled: Column | None = None) -> DataFrame:
     """Give rows the next ids in order. Rows that bring an id keep it; type defaults to ``default``;
-    a row for a disabled queue fails the append."""
+    a row for a disabled queue fails the append. Rows are dealt by ranges of order and ties, so a burst of any
+    length is spread; a null order goes first."""
     given = F.col("ev_id") if "ev_id" in df.columns else F.lit(None).cast("bigint")
     rows = df.withColumn("_given", given)
-    fresh = dense_positions(rows.where(F.col("_given").isNull()), [], order, "_pos", width, ties)
+    fresh = range_running(rows.where(F.col("_given").isNull()), [], [order, *ties], F.lit(1).cast("bigint"), "_pos")
     kept = rows.where(F.col("_given").isNotNull()).withColumn("_pos", F.lit(None).cast("bigint"))
     both = fresh.unionByName(kept) if "ev_id" in df.columns else fresh
     kind = F.coalesce(F.col("ev_type"), F.lit("default"))

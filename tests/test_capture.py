@@ -140,10 +140,10 @@ def test_sixth_failure_is_dead(spark):
 
 def test_append_rules(spark):
     rows = spark.createDataFrame([(30, None, "a"), (10, 5, None), (20, None, None)], "at bigint, ev_id bigint, ev_type string")
-    got = eventlog.append_events(rows, "at", [], F.lit(100).cast("bigint"), 10)
+    got = eventlog.append_events(rows, "at", [], F.lit(100).cast("bigint"))
     assert {r["at"]: (r["ev_id"], r["ev_type"]) for r in got.collect()} == {10: (5, "default"), 20: (101, "default"), 30: (102, "a")}
     with pytest.raises(PySparkException):
-        eventlog.append_events(rows, "at", [], F.lit(0).cast("bigint"), 10, disabled=F.col("at") == 20).collect()
+        eventlog.append_events(rows, "at", [], F.lit(0).cast("bigint"), disabled=F.col("at") == 20).collect()
 
 
 def test_bulk_append_order_and_errors(spark):

@@ -1,10 +1,12 @@
 """Order-dependent building blocks against brute force, with blocks small enough to cross."""
 
 import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
+from sparkcdc.operators import ordered
 from sparkcdc.operators.ordered import asof_lookup, dense_positions, nearest_ranks, running
 from sparkcdc.operators.segments import Measure, greedy_cuts
 
@@ -133,3 +135,23 @@ def test_asof_rows_follow_the_input(spark):
     left = spark.createDataFrame([(0,), (5,), (10**11,), (2 * 10**11,)], "v long")
     got = asof_lookup(left, two, [], "v", "at", ["p"], 64)
     assert sorted((r["v"], r["p"]) for r in got.collect()) == [(0, "a"), (5, "b"), (10**11, "b"), (2 * 10**11, None)]
+
+
+def test_range_running_and_median_on_any_order(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([0.5, -1.0, 3.25, 3.25, rng.random()]), i) for i in range(2000)]
+    rows += [("c", None, 1), ("d", 7.0, 1), ("e", 1.0, 1), ("e", 2.0, 2)]
+    df = spark.createDataFrame(rows, "k string, v double, i int").repartition(5)
+    got = ordered.range_running(df, ["k"], ["v", "i"], F.lit(1).cast("bigint"), "at").collect()
+    assert len(got) == len(rows)
+    for k in {r[0] for r in rows}:
+        want = sorted((r for r in rows if r[0] == k), key=lambda r: (r[1] is not None, r[1] or 0.0, r[2]))
+        assert [(r.v, r.i) for r in sorted((r for r in got if r.k == k), key=lambda r: r.at)] == [r[1:] for r in want]
+        assert sorted(r.at for r in got if r.k == k) == list(range(1, len(want) + 1))
+    medians = {r.k: r.v for r in ordered.exact_median(df, ["k"], "v").collect()}
+    for k in {r[0] for r in rows} - {"c"}:
+        assert medians[k] == statistics.median(r[1] for r in rows if r[0] == k)
+    assert "c" not in medians
+    whole = [r[1] for r in rows if r[1] is not None]
+    assert ordered.exact_median(df, [], "v").first().v == statistics.median(whole)
+    assert ordered.range_running(df.where("false"), [], ["v"], F.lit(1), "at").count() == 0
