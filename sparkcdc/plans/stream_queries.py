@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from sparkcdc.functions import codecs
 from sparkcdc.operators import outbox
-from sparkcdc.plans import batch_queries  # noqa: F401  (its derived inputs)
+from sparkcdc.operators.ordered import dense_positions
+from sparkcdc.plans import batch_queries
 from sparkcdc.plans import fixtures as fx
 from sparkcdc.plans.registry import query
 from sparkcdc.session import ensure_checkpoint_dir, stored
-from sparkcdc.streaming import apply, delivery, relay
+from sparkcdc.streaming import apply, delivery, relay, ticker
 
 EPOCH = "ep-1"
 
@@ -255,3 +256,57 @@ def relay_routed_q(spark, folder):
 def relay_boundaries_q(spark, folder):
     """The same with a boundary on every route after each batch, idle routes and empty batches included."""
     return routed_delivery(spark, folder, "boundaries", every_us=1)
+
+
+# The ticker told to pause q2 for some days, to force a tick of q1, and to take the ticks of q0 from outside.
+PAUSED_FROM, PAUSED_TO, FORCED_AT = 1704499200000000, 1704758400000000, 1704844800000000
+POLLED, FOLDED = batch_queries.CLOSED.split(",\n    fold AS", 1)
+TICKER_SQL = f"""WITH RECURSIVE {POLLED.replace("polls AS", "every_poll AS", 1)},
+    polls AS (SELECT queue, at_us, event_seq, row_number() OVER (PARTITION BY queue ORDER BY at_us) AS n FROM every_poll
+      WHERE queue <> 'q0' AND NOT (queue = 'q2' AND at_us >= {PAUSED_FROM} AND at_us < {PAUSED_TO})),
+    fold AS{FOLDED % f"(p.queue = 'q1' AND f.at_us < {FORCED_AT} AND p.at_us >= {FORCED_AT}) OR"},
+    offers AS (SELECT n // 5 AS k, at_us, n // 5 * 10 - CASE WHEN n // 5 % 7 = 0 THEN 10 ELSE 0 END AS tick_id, event_seq - CASE WHEN n // 5 % 7 = 3 THEN 200 ELSE 0 END AS event_seq
+      FROM every_poll WHERE queue = 'q0' AND n % 5 = 0),
+    taken AS (SELECT k, at_us, tick_id, event_seq, tick_id AS max_tick, event_seq AS max_seq, CAST(NULL AS VARCHAR) AS reason FROM offers WHERE k = 1
+      UNION ALL SELECT k, at_us, tick_id, event_seq, CASE WHEN r IS NULL THEN tick_id ELSE max_tick END, CASE WHEN r IS NULL THEN event_seq ELSE max_seq END, r
+      FROM (SELECT o.*, t.max_tick, t.max_seq, CASE WHEN o.tick_id <= t.max_tick THEN 'tick id not rising' WHEN o.event_seq < t.max_seq THEN 'event seq falls' END AS r
+        FROM taken t JOIN offers o ON o.k = t.k + 1))
+    SELECT queue, tick_id, at_us, event_seq, 'poll' AS kind, CAST(NULL AS VARCHAR) AS reason FROM fold WHERE ticked
+    UNION ALL SELECT 'q0', tick_id, at_us, event_seq, 'tick', reason FROM taken
+    UNION ALL SELECT * FROM (VALUES ('q2', NULL, {PAUSED_FROM + 1}, NULL, 'force', 'paused'), ('q0', NULL, {FORCED_AT}, NULL, 'force', 'external'),
+      ('none', NULL, {FORCED_AT}, NULL, 'force', 'queue not found'), ('q1', 7, {PAUSED_FROM}, 7, 'tick', 'not external'))"""
+
+
+@query("ticker_stream", TICKER_SQL, uses="ev")
+def ticker_stream_q(spark, folder):
+    """Polls, settings, forced and external ticks over four micro-batches."""
+    place = scratch(spark, "ticker")
+    polls, queues = batch_queries.polls_and_queues(spark, folder)
+    polls = stored(polls)
+    created = queues.distinct().select("queue", F.lit(0).alias("at_us"), F.lit("queue").alias("kind"), "max_count", "max_lag_us", "idle_us", F.lit(False).alias("paused"), (F.col("queue") == "q0").alias("external"))
+    n = dense_positions(polls.where("queue = 'q0'"), [], "at_us", "n", 1 << 40)
+    k = F.expr("n div 5")
+    offers = n.where("n % 5 = 0").select(
+        "queue", "at_us", F.lit("tick").alias("kind"), (k * 10 - F.when(k % 7 == 0, 10).otherwise(0)).alias("tick_id"), (F.col("event_seq") - F.when(k % 7 == 3, 200).otherwise(0)).alias("event_seq")
+    )
+    told = spark.createDataFrame(
+        [
+            ("q2", PAUSED_FROM, "queue", None, None, True), ("q2", PAUSED_FROM + 1, "force", None, None, None), ("q2", PAUSED_TO, "queue", None, None, False),
+            ("q1", FORCED_AT, "force", None, None, None), ("q0", FORCED_AT, "force", None, None, None), ("none", FORCED_AT, "force", None, None, None),
+            ("q1", PAUSED_FROM, "tick", 7, 7, None),
+        ],
+        "queue string, at_us bigint, kind string, tick_id bigint, event_seq bigint, paused boolean",
+    )
+    calls = polls.select("queue", "at_us", "event_seq", F.lit("poll").alias("kind"))
+    for more in (created, offers, told):
+        calls = calls.unionByName(more, allowMissingColumns=True)
+    schema = spark.createDataFrame([], ticker.CALLS).schema
+    calls = stored(calls.select(*[F.col(f.name).cast(f.dataType) for f in schema]))
+    span = calls.where("at_us > 0").agg(F.min("at_us").alias("low"), F.max("at_us").alias("high")).first()
+    part = F.greatest(F.lit(0), F.expr(f"(at_us - {span['low']}) * 4 div {span['high'] - span['low'] + 1}"))
+    for p in range(4):
+        calls.where(part == p).coalesce(1).write.mode("append").parquet(f"{place}/calls")
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(f"{place}/calls")
+    out = ticker.ticker_stream(source).writeStream.format("parquet").option("checkpointLocation", f"{place}/checkpoint").outputMode("append")
+    out.trigger(availableNow=True).start(f"{place}/ticks").awaitTermination()
+    return spark.read.schema(ticker.ANSWERS).parquet(f"{place}/ticks")

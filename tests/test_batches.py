@@ -121,6 +121,47 @@ def test_ticker_stream_equals_batch(spark, tmp_path):
     assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()} == want
 
 
+def test_ticker_stream_with_settings_force_and_external_ticks(spark, tmp_path):
+    from sparkcdc.streaming.ticker import ANSWERS, CALLS, ticker_stream
+
+    big = 1 << 60
+
+    def call(queue, at, kind, seq=None, tick=None, limits=(None, None, None), paused=None, external=None):
+        return (queue, at, kind, seq, tick, *limits, paused, external)
+
+    batches_of_calls = [
+        [
+            call("q", 1, "poll", 5), call("q", 2, "queue", limits=(10, 1000, 5000)), call("q", 3, "poll", 7), call("q", 4, "poll", 8),
+            call("q", 5, "force"), call("q", 6, "queue", paused=True), call("q", 7, "poll", 9), call("q", 8, "force"), call(None, 1, "poll", 1),
+            call("x", 1, "queue", limits=(10, 1000, 5000), external=True), call("x", 2, "poll", 100), call("x", 3, "tick", big, big), call("x", 3, "tick", big, big),
+            call("n", 1, "force"), call("n", 1, "poll", 3), call("n", 1, "shout", 3), call("n", None, "force"),
+        ],
+        [call("q", 9, "queue", paused=False), call("q", 10, "poll", 9), call("q", 11, "poll", 9), call("q", 11, "tick", 1, 9), call("q", 700, "poll")],
+        [call("x", 4, "tick", big - 1, big + 1), call("x", 5, "tick", None, big + 2), call("x", 6, "queue", external=False), call("x", 7, "poll", big + 20), call("x", 8, "force")],
+        [call("x", 9, "poll", big + 20)],
+    ]
+    for calls in batches_of_calls:
+        spark.createDataFrame(calls, CALLS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        source = spark.readStream.schema(CALLS).parquet(str(tmp_path / "in"))
+        out = ticker_stream(source).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).outputMode("append")
+        out.trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+    got = sorted((tuple(r) for r in spark.read.schema(ANSWERS).parquet(str(tmp_path / "out")).collect()), key=lambda r: (r[0], r[2], r[1] or 0, r[5] or ""))
+    assert got == [
+        ("n", None, 1, None, "force", "queue not found"),
+        ("q", 1, 3, 7, "poll", None),
+        ("q", None, 8, None, "force", "paused"),
+        ("q", 2, 10, 9, "poll", None),
+        ("q", 9, 11, 1, "tick", "not external"),
+        ("q", 3, 700, 9, "poll", None),
+        ("x", big, 3, big, "tick", None),
+        ("x", big, 3, big, "tick", "tick id not rising"),
+        ("x", big + 1, 4, big - 1, "tick", "event seq falls"),
+        ("x", big + 2, 5, big, "tick", None),
+        ("x", big + 3, 7, big + 20, "poll", None),
+        ("x", big + 4, 9, big + 20, "poll", None),
+    ]
+
+
 def test_receive_cuts_before_it_fans_out(spark):
     """The first rows of each window, by the letter, with retries for one owner; more subscriptions of a queue do not
     make more rows out of its events."""
