@@ -158,6 +158,33 @@ def test_inbox_stream_keeps_receipts_of_rows_an_effect_drops(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
 
 
+def test_receipts_by_bucket_over_many_batches_and_repeats(spark, tmp_path):
+    """Against a dictionary; a batch in three is repeated, one is empty, and a batch opens one run per set bit."""
+    import random
+
+    from sparkcdc.streaming.apply import Receipts
+
+    rng = random.Random(4)
+    schema = "id string, digest string"
+    store = Receipts(spark, str(tmp_path / "receipts"), schema, buckets=4)
+    known = {}
+    for batch in range(9):
+        ids = [] if batch == 3 else rng.sample(range(40), 8)
+        asked = spark.createDataFrame([(str(i),) for i in ids] * 2 + [(None,)], "id string")
+        for _ in range(2 if batch % 3 == 1 else 1):
+            store.begin(batch)
+            got = {r["id"]: r["digest"] for r in store.of(asked, batch).collect()}
+            assert got == {str(i): known[i] for i in ids if i in known}
+            fresh = [(str(i), f"d{batch}") for i in ids if i not in known]
+            store.add(spark.createDataFrame(fresh, schema), batch)
+        known |= {i: f"d{batch}" for i in ids if i not in known}
+        assert len(store.runs(batch)) == bin(batch).count("1")
+    one = store.of(spark.createDataFrame([("1",)], "id string"), 9)
+    assert "PartitionFilters: [isnotnull(bucket" in one._jdf.queryExecution().toString()
+    held = [p.parent.parent.name for p in (tmp_path / "receipts").rglob("*.parquet")]
+    assert len(set(held)) <= 6 and "run=0-8" in held and "run=0-4" in held and "run=0-2" not in held
+
+
 def test_materialize_moves_and_deletes(spark):
     ddl = "ev_id bigint, op string, old struct<id:bigint,v:string>, new struct<id:bigint,v:string>"
     rows = [
