@@ -278,8 +278,9 @@ def decode_ids(tokenizer: Tokenizer, ids: Sequence[int]) -> str:
     return b"".join(map(tokenizer.pieces.__getitem__, ids)).decode("utf-8", "replace")
 
 
-#: Bytes of text that are encoded together, and whose ids are handed over together.
-_LESSON = 6_000_000
+#: Bytes of text that are encoded together, and whose ids are handed over together. A lesson's pieces and its symbol
+#: arrays are a task's peak of memory.
+_LESSON = 2_000_000
 _SLICE = 1_000_000
 
 
@@ -319,6 +320,8 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decod
                         plain, at = part.tolist(), at.tolist()
                         columns.append(pa.array([decode_ids(tokenizer, plain[a:b]) for a, b in zip(at, at[1:])], pa.string()))
                     yield pa.RecordBatch.from_arrays(columns, names)
+                # Texts differ in length by orders: what a large batch took is handed back, not kept for the next one.
+                pa.default_memory_pool().release_unused()
 
     done = rows.mapInArrow(run, T.StructType(fields))
     return done.select("row.*", F.col("ids").alias(ids), *([F.col("decoded").alias(decoded)] if decoded else []))
