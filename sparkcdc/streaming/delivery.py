@@ -132,11 +132,18 @@ def staged(records: DataFrame, place: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(place)
 
 
-def numbered(rows: DataFrame, ticks: DataFrame, ends: DataFrame, topics: Sequence[str], batch: int, batch_bytes: int, marks: DataFrame) -> DataFrame:
+def counts(rows: DataFrame) -> DataFrame:
+    """Staged records per range, tick and topic."""
+    return rows.groupBy("_range", "batch_tick", "topic").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"), F.max("size").alias("_top"))
+
+
+def numbered(
+    rows: DataFrame, counted: DataFrame, ticks: DataFrame, ends: DataFrame, topics: Sequence[str], batch: int, batch_bytes: int, marks: DataFrame
+) -> DataFrame:
     """Staged records and the boundaries ``marks(batch_tick, topic, ...)`` with ``offset`` and ``chunk``.
 
-    ``ticks(batch_tick)`` are the batches of the micro-batch. Offsets go on from ``ends``; a topic that is not there starts at 0."""
-    counted = rows.groupBy("_range", "batch_tick", "topic").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"), F.max("size").alias("_top"))
+    ``counted`` are the ``counts`` of ``rows``, ``ticks(batch_tick)`` the batches of the micro-batch. Offsets go on from
+    ``ends``; a topic that is not there starts at 0."""
     # Every topic has a row for every tick, so that boundaries find their place too. Topics are few.
     grid = ticks.select("batch_tick", F.explode(F.array(*[F.lit(t) for t in topics])).alias("topic"))
     grid = grid.join(marks.select("batch_tick", "topic", F.lit(1).alias("_m")), ["batch_tick", "topic"], "left")
@@ -160,9 +167,9 @@ def numbered(rows: DataFrame, ticks: DataFrame, ends: DataFrame, topics: Sequenc
 
     # Where even the largest records fill a chunk by number only, the number says the chunk.
     wide = counted.groupBy("batch_tick").agg(F.max("_top").alias("_top")).where(F.col("_top") * batch > batch_bytes).select("batch_tick")
-    plain = placed.join(wide, "batch_tick", "left_anti").withColumn("chunk", F.expr(f"_pos div {batch} + 1"))
-    data = plain
+    data = placed.withColumn("chunk", F.expr(f"_pos div {batch} + 1"))
     if not wide.isEmpty():
+        plain = data.join(wide, "batch_tick", "left_anti")
         cut = placed.join(wide, "batch_tick", "left_semi").select("batch_tick", F.col("_pos").alias("ev_id"), "size")
         cut = envelope.chunk_records(cut, ["batch_tick"], batch, batch_bytes).select("batch_tick", F.col("ev_id").alias("_pos"), "chunk")
         data = plain.unionByName(placed.join(cut, ["batch_tick", "_pos"]))
@@ -213,19 +220,26 @@ def deliver(
         F.col("tick_id").alias("batch_tick"), F.explode(F.array(*[F.lit(t) for t in topics])).alias("topic"),
         utf8(F.lit(epoch)).alias("key"), utf8(boundary_value(kind, epoch, F.col("tick_time"))).alias("value"),
     )
-    out = numbered(records, ticks, ends, topics, batch, batch_bytes, marks)
-    if log.fenced:
-        done = log.marks().where(F.col("batch_id") == batch_id).select("batch_tick", "chunk").distinct()
-        out = out.join(done, ["batch_tick", "chunk"], "left_anti").select(*out.columns)
-    for part in waves(out, wave) if wave else [out]:
-        log.publish(part, batch_id)
-
-    # A torn attempt holds the offsets its repetition holds, so every attempt may be counted.
-    published = log.rows().where(F.col("batch_id") == batch_id).groupBy("topic").agg((F.max("offset") + 1).alias("_next"))
-    at = due.agg(F.max("end_us").alias("_due"))
-    all_topics = spark.createDataFrame([(t,) for t in topics], "topic string").join(ends, "topic", "full").join(published, "topic", "left")
-    all_topics = all_topics.withColumn("_due", at.scalar())
-    log.record_end(all_topics.select("topic", F.coalesce("_next", "next_offset", F.lit(0)).cast("bigint").alias("next_offset"), F.coalesce("_due", "due_us").alias("due_us")), batch_id)
+    # A row per range, tick and topic, read five times over.
+    counted = counts(records).persist()
+    try:
+        out = numbered(records, counted, ticks, ends, topics, batch, batch_bytes, marks)
+        if log.fenced:
+            done = log.marks().where(F.col("batch_id") == batch_id).select("batch_tick", "chunk").distinct()
+            out = out.join(done, ["batch_tick", "chunk"], "left_anti").select(*out.columns)
+        for part in waves(out, wave) if wave else [out]:
+            log.publish(part, batch_id)
+
+        # Every record and boundary has one offset, in whichever attempt it was published.
+        more = counted.select("topic", "_n").unionByName(marks.select("topic", F.lit(1).cast("bigint").alias("_n")))
+        published = more.groupBy("topic").agg(F.sum("_n").alias("_more"))
+        at = due.agg(F.max("end_us").alias("_due"))
+        all_topics = spark.createDataFrame([(t,) for t in topics], "topic string").join(ends, "topic", "full").join(published, "topic", "left")
+        all_topics = all_topics.withColumn("_due", at.scalar())
+        log.record_end(all_topics.select("topic", (F.coalesce("next_offset", F.lit(0)) + F.coalesce("_more", F.lit(0))).cast("bigint").alias("next_offset"), F.coalesce("_due", "due_us").alias("due_us")), batch_id)
+    finally:
+        # Also where publishing fails: the batch is staged anew, at the same place, when it is repeated.
+        counted.unpersist()
 
 
 def waves(rows: DataFrame, wave: int) -> list[DataFrame]:
