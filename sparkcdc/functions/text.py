@@ -86,6 +86,9 @@ def json_quote(text: Column) -> Column:
 def json_quote_exact(text: Column) -> Column:
     """A JSON string token byte for byte as the relay writes it: ``<``, ``>``, ``&`` and the two line separators
     as escapes, control characters in lower-case hex."""
+    # ASCII without any of them only has its quotes and backslashes escaped.
+    plain = text.rlike(r"""^[ !"#-%'-;=?-~]*+\z""")
+    escaped = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
     quoted = out = json_quote(text)
     for code in (0x0B, *range(0x0E, 0x10), *range(0x1A, 0x20)):
         # An escape starts at a backslash that no odd run of backslashes before it quotes.
@@ -94,7 +97,7 @@ def json_quote_exact(text: Column) -> Column:
     out = F.when(F.contains(quoted, F.lit(r"\u00")), out).otherwise(quoted)
     for char in "<>&\u2028\u2029":
         out = F.replace(out, F.lit(char), F.lit(f"\\u{ord(char):04x}"))
-    return out
+    return F.when(plain, F.concat(F.lit('"'), escaped, F.lit('"'))).otherwise(out)
 
 
 def _fraction(ts: Column) -> Column:

@@ -37,7 +37,7 @@ def cdc_encoder(epoch: str, routes: DataFrame | None = None, default_topic: str
     with a reason that never shows the payload."""
 
     def encode(batch: DataFrame) -> DataFrame:
-        decoded = envelope.decode_change(batch, "ev_data")
+        decoded = envelope.check_change(batch, "ev_data")
         routed = envelope.route_changes(decoded, routes, default_topic)
         value = envelope.legacy_envelope(F.lit(epoch), F.col("ev_id"), F.col("ev_data"))
         checked = F.when(F.col("reason").isNotNull(), F.raise_error(F.col("reason")).cast("string")).otherwise(value)
