@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from sparkcdc.functions import codecs
@@ -70,9 +71,14 @@ def relay_fenced_replay_q(spark, folder):
     publish = relay.fenced_sink(f"{place}/log")
 
     def twice(records, batch_id):
-        publish(records, batch_id)
-        publish(records, batch_id)
-        records.write.mode("overwrite").parquet(f"{place}/log/batches/batch_id={batch_id + 1000}")
+        # Published three times, encoded once.
+        records = records.persist(StorageLevel.DISK_ONLY)
+        try:
+            publish(records, batch_id)
+            publish(records, batch_id)
+            records.write.mode("overwrite").parquet(f"{place}/log/batches/batch_id={batch_id + 1000}")
+        finally:
+            records.unpersist()
 
     run(spark, folder, twice, place)
     return shown(relay.read_fenced(spark, f"{place}/log"))

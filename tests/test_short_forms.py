@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sparkcdc.functions.text import json_quote_exact
 from sparkcdc.operators import envelope, outbox
 from sparkcdc.plans import stream_queries
+from sparkcdc.streaming import relay
 
 UUID = "00000000-0000-0000-0000-0000000000ab"
 
@@ -87,3 +88,22 @@ def test_quoting_of_every_short_text(spark):
     for r in got:
         assert json.loads(r["q"]) == r["t"]
         assert not set("<>&  \n") & set(r["q"])
+
+
+def test_a_batch_published_again_is_encoded_once(spark, tmp_path, monkeypatch):
+    encoded = spark.sparkContext.accumulator(0)
+    plain = relay.cdc_encoder
+
+    @F.udf("string")
+    def seen(text):
+        encoded.add(1)
+        return text
+
+    def counting(*args):
+        encode = plain(*args)
+        return lambda batch: encode(batch.withColumn("ev_data", seen("ev_data")))
+
+    monkeypatch.setattr(stream_queries.relay, "cdc_encoder", counting)
+    folder = "/root/testdata/sf0.001"
+    n = stream_queries.relay_fenced_replay_q(spark, folder).count()
+    assert (n, encoded.value) == (spark.read.parquet(f"{folder}/events.parquet").count(),) * 2
