@@ -215,6 +215,8 @@ def deliver(
         due = due_batches(due.unionByName(since).withColumn("stream", F.lit(0)), every_us).where("_new")
     else:
         due = due.limit(0)
+    # A row per batch, from greedy cuts over all of them; numbers, boundaries and ends read it six times over.
+    due = due.persist()
     kind = progress_key or PROGRESS["fenced" if log.fenced else "managed"]
     marks = due.select(
         F.col("tick_id").alias("batch_tick"), F.explode(F.array(*[F.lit(t) for t in topics])).alias("topic"),
@@ -240,6 +242,7 @@ def deliver(
     finally:
         # Also where publishing fails: the batch is staged anew, at the same place, when it is repeated.
         counted.unpersist()
+        due.unpersist()
 
 
 def waves(rows: DataFrame, wave: int) -> list[DataFrame]:

@@ -225,3 +225,21 @@ def test_nothing_to_close(spark, tmp_path):
     log = delivery.Log(spark, str(tmp_path / "log"))
     delivery.deliver(spark.createDataFrame([], EVENTS), empty, empty, 0, relay.cdc_encoder("ep", None, "t"), log, ["t"], "ep")
     assert log.read().count() == 0
+
+
+def test_due_boundaries_are_worked_out_once_per_micro_batch(spark, tmp_path, monkeypatch):
+    read = spark.sparkContext.accumulator(0)
+    plain = delivery.due_batches
+
+    @F.udf("bigint")
+    def seen(n):
+        read.add(1)
+        return n
+
+    monkeypatch.setattr(delivery, "due_batches", lambda *args: plain(*args).withColumn("tick_id", seen("tick_id")))
+    source = Source(spark, tmp_path, [(n, 10 + n, change(n)) for n in range(1, 7)], [tick(spark, n, 11 + n) for n in range(7)])
+    source.arrive(*range(7))
+    log = delivery.Log(spark, str(tmp_path / "log"))
+    source.run(log, every_us=1)
+    assert [r[4] for r in shown(log)].count("boundary") == 6
+    assert read.value == 6
