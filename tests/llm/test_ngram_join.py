@@ -160,3 +160,13 @@ def test_query_against_all_pairs(spark):
     folder = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted(map(tuple, QUERIES["op7_ngram_join"](spark, folder).collect()), key=str) == brute(rows)
+
+
+def test_sieve_finds_every_chosen_row_and_few_others(spark):
+    docs = spark.range(40_000).select(F.when(F.col("id") != 7, F.col("id")).alias("id"), F.unhex(F.md5(F.col("id").cast("string"))).alias("digest"), F.lit("t").alias("text"))
+    chosen = docs.where("id IS NULL OR id % 8 = 0").select("id", "digest", F.lit(1).cast("bigint").alias("key"))
+    found = ngram_join.sieved(docs, chosen, ["id", "digest"])
+    assert found.columns == docs.columns
+    assert chosen.join(found, chosen["id"].eqNullSafe(found["id"]) & (chosen["digest"] == found["digest"]), "left_anti").isEmpty()
+    assert 5_001 <= found.count() < 5_001 + 35_000 // 6
+    assert ngram_join.sieved(docs, chosen.limit(0), ["id", "digest"]).isEmpty()
