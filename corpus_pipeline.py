@@ -12,6 +12,9 @@ text. A null in any column, repeated rows and an empty table pass through as the
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +22,24 @@ from sparkcdc.llm import bpe, langid, mixing, ngram_join, secret_scan
 from sparkcdc.llm.common import documents, written
 from sparkcdc.llm.queries import TOKENIZER
 
+#: Bytes of a batch that goes to a Python worker. Texts differ in length by orders, and most stages hand a text over
+#: twice; a batch of Spark's 10,000 rows or 64 MB is held several times over by the JVM and the worker of each task,
+#: and the JVM keeps much of what such large buffers took.
+BATCH = 4 << 20
+
+
+def _in_small_batches(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The session keeps the bound: what a stage returns is run later."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
+        return stage(spark, docs, sf_dir)
+
+    return run
+
 
+@_in_small_batches
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps what a language is found for, code-switched or not. Where no row has a usable label there is no
     language to find: every text with a word stays, its language as given."""
@@ -30,21 +50,25 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.select(*[F.coalesce("lang", "_found").alias(c) if c == "lang" else F.col(c) for c in docs.columns])
 
 
+@_in_small_batches
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the least id of each group."""
     return ngram_join.one_of_each(docs, width=5, num=80)
 
 
+@_in_small_batches
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces secrets inside the texts; every document stays."""
     return secret_scan.redact(docs)
 
 
+@_in_small_batches
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes each document as often as its source's rate and its own draw say."""
     return mixing.mix(docs)
 
 
+@_in_small_batches
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids instead of texts."""
     return bpe.encode(docs, TOKENIZER).select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids")

@@ -1,4 +1,6 @@
+import pyarrow as pa
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 from test_ngram_join import brute
 
 import corpus_pipeline
@@ -77,3 +79,19 @@ def test_mix_rows_of_every_sort(spark):
     got = mixing.copies(docs).collect()
     assert len(got) == 5 and sum(r.size for r in got) == 7 and {r.row.source: r.target for r in got} == {"x": 3.5, "y": 0.0, None: 3.0} | {"x": 4.0}
     assert mixing.mix(docs).columns == docs.columns and mixing.mix(docs.where("false")).count() == 0
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    docs = spark.range(64).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("word "), "id"), 60_000).alias("text"),
+                                  F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(1).cast("bigint").alias("n_chars"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], ["size", "rows"])
+
+    for _, stage in corpus_pipeline.STAGES:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        stage(spark, docs.limit(0), "")
+        seen = docs.coalesce(1).mapInArrow(sizes, "size bigint, rows bigint").collect()
+        # The row that reaches the bound is the last of its batch.
+        assert sum(r.rows for r in seen) == 64 and max(r.size for r in seen) < 5_000_000
