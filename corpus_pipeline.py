@@ -26,6 +26,8 @@ from sparkcdc.llm.queries import TOKENIZER
 #: twice; a batch of Spark's 10,000 rows or 64 MB is held several times over by the JVM and the worker of each task,
 #: and the JVM keeps much of what such large buffers took.
 BATCH = 4 << 20
+#: Pieces and words that a task of the last stage remembers; its workers share the executors with all that ran before.
+KNOWN = 1 << 16
 
 
 def _in_small_batches(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
@@ -71,7 +73,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @_in_small_batches
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids instead of texts."""
-    return bpe.encode(docs, TOKENIZER).select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
+    ids = bpe.encode(docs, TOKENIZER, limit=KNOWN)
+    return ids.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
 
 
 STAGES = [("language", language), ("near_duplicates", near_duplicates), ("secrets", secrets), ("mix", mix), ("bpe", encode)]

@@ -295,10 +295,11 @@ def _slices(sizes: Sequence[int], most: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
-def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None,
+           limit: int = KNOWN_PIECES) -> DataFrame:
     """Adds ``ids`` (array of int) and, if it is named, ``decoded``: what these ids decode to. Columns of
     those names are replaced. No shuffle; each task reads the tokenizer file at ``path``, which must be
-    on every executor."""
+    on every executor. A task remembers about ``limit`` pieces, and words; ids do not depend on it."""
     kept = [c for c in df.columns if c not in (ids, decoded)]
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{text}`").alias("text"))
     fields = [rows.schema["row"], T.StructField("ids", T.ArrayType(T.IntegerType()))]
@@ -307,7 +308,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decod
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = Tokenizer(path)
-        encoder = Encoder(tokenizer)
+        encoder = Encoder(tokenizer, limit)
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
             for low, high in _slices(sizes, _LESSON):

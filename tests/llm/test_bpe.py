@@ -1,5 +1,8 @@
+import gc
 import hashlib
 import random
+import sys
+import weakref
 
 import public_tokenizers
 import pytest
@@ -95,3 +98,18 @@ def test_query_against_the_library(spark, library):
         want[r.doc_id] = (len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False)))
     got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in QUERIES["op1_bpe_roundtrip"](spark, folder).collect()}
     assert got == want
+
+
+def test_forgotten_memories_go_at_once(tokenizer):
+    gc.collect()
+    gc.disable()
+    try:
+        encoder = bpe.Encoder(tokenizer, 3)
+        before = weakref.ref(encoder.piece_ids)
+        held = sys.getrefcount(encoder.pieces), sys.getrefcount(encoder.words)
+        assert held == (sys.getrefcount({}) + 1,) * 2
+        encoder.encode(["one two three four five six"])
+        encoder.encode(["seven"])
+        assert before() is None and len(encoder.pieces) == 1
+    finally:
+        gc.enable()
