@@ -46,6 +46,8 @@ KNOWN_WORDS = 1 << 18
 BAND_RATIO = 1.3
 #: Segments a band has beyond those it needs, for each side: one in so many.
 SPARE = 12
+#: Signatures are dealt in so many parts, one after the other.
+PARTS = 2
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -218,49 +220,66 @@ def signatures(classes: DataFrame) -> DataFrame:
 
 
 def shared_segments(sigs: DataFrame) -> DataFrame:
-    """(sig, key) of the segments that two classes or more share, one of them in its own band.
+    """(sig, key, weight) of the segments that two classes or more share, one of them in its own band. Of segments
+    that the same classes share one stands for all, ``weight`` is how many.
 
     Signatures are dealt by segment, sorted and read as a stream of which a task holds one batch; those
-    that stand alone, nearly all, end here.
+    that stand alone, nearly all, end here. The dealt signatures of one part are gone before the next is dealt.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The last class of a segment waits for what follows; ``tied`` if the segment had another before it.
         last: tuple[np.ndarray, np.ndarray] | None = None
+        tied = False
         for batch in batches:
             sig, mark = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             if not len(sig):
                 continue
             if last is not None:
-                # The last row again, so that a run goes on from batch to batch.
                 sig, mark = np.concatenate([last[0], sig]), np.concatenate([last[1], mark])
-            last = sig[-1:], mark[-1:]
-            same = np.concatenate([[False], sig[1:] == sig[:-1], [False]])
-            shared = same[1:] | same[:-1]
-            yield pa.RecordBatch.from_arrays([pa.array(sig[shared]), pa.array(mark[shared])], ["sig", "mark"])
-
-    dealt = sigs.repartition("sig").sortWithinPartitions("sig", "mark")
+            # Of a class's rows the last one has its own band's mark, if any has.
+            ends = np.flatnonzero(np.concatenate([(sig[1:] != sig[:-1]) | (mark[1:] >> 1 != mark[:-1] >> 1), [True]]))
+            sig, mark = sig[ends], mark[ends]
+            same = np.concatenate([[tied], sig[1:] == sig[:-1]])
+            shared = same[:-1] | same[1:]
+            yield pa.RecordBatch.from_arrays([pa.array(sig[:-1][shared]), pa.array(mark[:-1][shared])], ["sig", "mark"])
+            last, tied = (sig[-1:], mark[-1:]), bool(same[-1])
+        if tied:
+            yield pa.RecordBatch.from_arrays([pa.array(last[0]), pa.array(last[1])], ["sig", "mark"])
+
+    parts = []
+    for part in range(PARTS):
+        dealt = sigs.where(F.pmod("sig", F.lit(PARTS)) == part).repartition("sig").sortWithinPartitions("sig", "mark")
+        parts.append(written(dealt.mapInArrow(run, sigs.schema), "join-shared"))
     own = F.col("mark").bitwiseAND(1)
-    rows = dealt.mapInArrow(run, sigs.schema).groupBy("sig", (F.col("mark") - own).alias("key")).agg(F.max(own).alias("own"))
-    # Read twice below, and little of what is sorted above.
-    rows = written(rows, "join-shared")
-    sized = rows.groupBy("sig").agg(F.count("*").alias("n"), F.max("own").alias("own")).where("n > 1 AND own = 1")
-    return rows.join(sized.select("sig"), "sig", "left_semi").select("sig", "key")
+    rows = reduce(DataFrame.union, parts).select("sig", (F.col("mark") - own).alias("key"), own.alias("own"))
+    # Two hashes of all classes beside the count, the least and the greatest tell sets of classes apart.
+    hashes = [F.bit_xor(F.xxhash64("key", F.lit(salt))).alias(f"all{salt}") for salt in (0, 1)]
+    sized = rows.groupBy("sig").agg(F.max("own").alias("own"), F.count("*").alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi"), *hashes)
+    alike = sized.where("own = 1").groupBy("n", "lo", "hi", "all0", "all1").agg(F.min("sig").alias("sig"), F.count("*").alias("weight"))
+    return rows.join(alike.select("sig", "weight"), "sig").select("sig", "key", "weight")
 
 
 def sieve_marked(docs: DataFrame, chosen: DataFrame, names: list[str]) -> DataFrame:
-    """The rows with ``_maybe``: true for every row that ``chosen`` names and, of the others, for about one in eight.
-
-    One bit of eight per chosen row says that a name may be among them. These bits stay small enough to be sent to all
-    tasks long after the names themselves are not, and then only the texts of the rows found here need be dealt."""
-    place = F.pmod(F.xxhash64(*names), F.lit(max(1 << 15, 8 * chosen.count())))
-    bits = chosen.select(place.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("_bucket"))
+    """The rows with ``_maybe``: true for every row that ``chosen`` names and, of the others, for about one in 32.
+
+    Three of eight bits per chosen row say that a name may be among them. These bits, a byte a chosen row, are sent to all
+    tasks, which the names themselves are too large for, and then only the texts of the rows found here need be dealt."""
+    name, other = F.xxhash64(*names), F.xxhash64(*names, F.lit(1))
+    # A bitmap of Spark's has 1 << 15 bits.
+    bucket = F.pmod(name, F.lit(1 + 8 * chosen.count() // (1 << 15)))
+    places = [F.shiftright(other, 15 * k).bitwiseAND(F.lit((1 << 15) - 1)) for k in range(3)]
+    bits = chosen.select(bucket.alias("_bucket"), F.explode(F.array(*places)).alias("at")).groupBy("_bucket")
     # As a table its size is known before it is joined.
-    bits = written(bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("_bits")), "join-sieve")
-    bit = F.bitmap_bit_position(place)
-    byte = F.conv(F.hex(F.substr("_bits", F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("bigint")
-    found = docs.join(bits, F.bitmap_bucket_number(place) == F.col("_bucket"), "left")
-    hit = F.getbit(byte, bit.bitwiseAND(F.lit(7)).cast("int")) == 1
-    return found.select(*[F.col(f"`{c}`") for c in docs.columns], F.coalesce(hit, F.lit(False)).alias("_maybe"))
+    bits = written(bits.agg(F.bitmap_construct_agg("at").alias("_bits")), "join-sieve")
+    found = docs.join(F.broadcast(bits), bucket == F.col("_bucket"), "left")
+
+    def hit(place: Column) -> Column:
+        byte = F.conv(F.hex(F.substr("_bits", F.shiftright(place, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("bigint")
+        return F.getbit(byte, place.bitwiseAND(F.lit(7)).cast("int")) == 1
+
+    hits = reduce(and_, map(hit, places))
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns], F.coalesce(hits, F.lit(False)).alias("_maybe"))
 
 
 def sieved(docs: DataFrame, chosen: DataFrame, names: list[str]) -> DataFrame:
@@ -382,7 +401,7 @@ def links(segments: DataFrame, sketches: DataFrame, sets: Sets, num: int, den: i
             labels = components(found)
 
     hubs = segments.groupBy("sig").agg(F.min("key").alias("b"))
-    stars = segments.withColumnRenamed("key", "a").join(hubs, "sig").where("a <> b").groupBy("a", "b").agg(F.count("*").alias("n"))
+    stars = segments.withColumnRenamed("key", "a").join(hubs, "sig").where("a <> b").groupBy("a", "b").agg(F.sum("weight").alias("n"))
     likely = written(plausible(stars, sketches, num, den), "join-pairs")
     # First each class with the one hub it shares most with; that settles nearly all.
     best = likely.groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b"))

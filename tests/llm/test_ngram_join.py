@@ -170,3 +170,35 @@ def test_sieve_finds_every_chosen_row_and_few_others(spark):
     assert chosen.join(found, chosen["id"].eqNullSafe(found["id"]) & (chosen["digest"] == found["digest"]), "left_anti").isEmpty()
     assert 5_001 <= found.count() < 5_001 + 35_000 // 6
     assert ngram_join.sieved(docs, chosen.limit(0), ["id", "digest"]).isEmpty()
+
+
+def test_sieve_lets_few_others_through(spark):
+    docs = spark.range(40_000).select("id", F.unhex(F.sha2(F.col("id").cast("string").cast("binary"), 256)).alias("digest"))
+    chosen = docs.where("id % 10 = 0")
+    found = ngram_join.sieved(docs, chosen, ["id", "digest"])
+    assert found.join(chosen, ["id", "digest"], "left_semi").count() == 4_000
+    assert found.count() - 4_000 < 36_000 / 16
+
+
+@pytest.mark.parametrize("batch", [3, 10_000])
+def test_one_segment_stands_for_all_of_the_same_classes(spark, batch):
+    rng = random.Random(5)
+    rows = [(sig, 2 * rng.randrange(-4, 5) + (sig % 5 > 0 and rng.random() < 0.5)) for sig in range(300) for _ in range(rng.choice([1, 1, 2, 3, 9]))]
+    rows += [(sig, 2 * key) for sig in (400, 401, 402) for key in range(20)] + [(sig, 41) for sig in (400, 401, 402)]
+    held = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        found = ngram_join.shared_segments(spark.createDataFrame(rows, "sig bigint, mark bigint")).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", held)
+    expected = {}
+    for sig in {s for s, _ in rows}:
+        marks = {m for s, m in rows if s == sig}
+        keys = frozenset(m & ~1 for m in marks)
+        if len(keys) > 1 and any(m & 1 for m in marks):
+            expected[keys] = expected.get(keys, 0) + 1
+    members = {}
+    for r in found:
+        members.setdefault((r.sig, r.weight), set()).add(r.key)
+    assert sorted((sorted(k), w) for (_, w), k in members.items()) == sorted((sorted(k), w) for k, w in expected.items())
+    assert len(found) == sum(map(len, expected))
